@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import heapq
+import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -21,19 +24,32 @@ PIECE = 1024
 GROUP = 128
 END = 2
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-#: Words whose ids one worker keeps.
-CACHE = 400_000
+#: Parts of words whose ids one worker keeps.
+CACHE = 1_000_000
 
 _held: dict[str, tuple] = {}
 
 
+#: The vocabulary's splitter for lower-case Latin-1: contractions, letters, single numerals, runs of the rest.
+_SPLIT = re.compile("'(?:[stmd]|re|ve|ll)|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+")
+
+
+def _parts(text: str) -> list[str] | None:
+    """The splitter's parts, or None for a text that only the library splits right."""
+    try:
+        text.encode("latin-1")  # there composing changes nothing and lower case is letter by letter
+    except UnicodeEncodeError:
+        return None
+    return None if "<|" in text else _SPLIT.findall(text.lower())
+
+
 def encoder(path: str):
     """A function from a list of texts to the little-endian uint32 ids of each, as `tokenizers` gives them.
 
-    The vocabulary's splitter drops white space and never joins across it, so a text's ids are its words' ids;
-    words repeat, so their ids are kept in a bounded table. Texts with a character that Python takes for
-    white space and the vocabulary does not are encoded whole.
+    The vocabulary composes, lowers and splits a text, then encodes part by part; parts repeat, so their ids
+    are kept in a bounded table. A text beyond Latin-1, or with what can open a control word, is encoded whole.
     """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _held:
         from tokenizers import Tokenizer
 
@@ -43,18 +59,21 @@ def encoder(path: str):
     def encode(texts: list[str]) -> list[bytes]:
         if len(known) > CACHE:
             known.clear()
-        split = [None if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        new = list({w for ws in split if ws for w in ws if w not in known})
+        split = [_parts(t) for t in texts]
+        new = list(set().union(*[x for x in split if x]).difference(known))
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
-            for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        whole = iter(tok.encode_batch_fast([t for t, ws in zip(texts, split, strict=True) if ws is None], add_special_tokens=False))
-        return [np.array(next(whole).ids, "<u4").tobytes() if ws is None else b"".join([known[w] for w in ws]) for ws in split]
+            known.update(zip(part, [pack_ids(e.ids) for e in tok.encode_batch_fast(part, add_special_tokens=False)], strict=True))
+        whole = iter(tok.encode_batch_fast([t for t, x in zip(texts, split, strict=True) if x is None], add_special_tokens=False))
+        return [pack_ids(next(whole).ids) if x is None else b"".join([known[w] for w in x]) for x in split]
 
     return encode
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def difference(sizes: list[int], k: int) -> list[list[int]]:
     """Karmarkar-Karp differencing of `sizes` into k bins: lists of item numbers.
 
