@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 from .common import Query
+from .embeddings import op10_embedding_dedup
+from .fingerprint import op1_fingerprints
 from .packing import op5_packing
+from .quality import op7_quality
+from .secret_scan import op8_secrets
 from .simhash import op9_simhash
 
 QUERIES: dict[str, Query] = {
+    "op1_fingerprints": op1_fingerprints,
     "op5_packing": op5_packing,
+    "op7_quality": op7_quality,
+    "op8_secrets": op8_secrets,
     "op9_simhash": op9_simhash,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 
 SQL: dict[str, str] = {}
