@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+from . import chat
+from .chat import op6_chat
 from .common import Query
 from .embeddings import op10_embedding_dedup
 from .fingerprint import op1_fingerprints
+from .html_text import op3_html
 from .packing import op5_packing
+from .pieces import op4_sentencepiece
 from .quality import op7_quality
 from .secret_scan import op8_secrets
 from .simhash import op9_simhash
+from .training_order import op2_training_order
 
 QUERIES: dict[str, Query] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_training_order": op2_training_order,
+    "op3_html": op3_html,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_packing": op5_packing,
+    "op6_chat": op6_chat,
     "op7_quality": op7_quality,
     "op8_secrets": op8_secrets,
     "op9_simhash": op9_simhash,
     "op10_embedding_dedup": op10_embedding_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op6_chat": chat.SQL}
