@@ -1,5 +1,61 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: quality, near duplicates, secrets, packing; each stage written as Parquet and read again."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from bescheid.llm import packing, quality, secret_scan, simhash
+from bescheid.llm.common import shared_dir, table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the quality classifier accepts. It learns from the corpus's labels outside the held-out fold."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    # the work columns have names of their own, so that columns of `docs` stay as they are
+    marked = quality.score(docs.select(F.struct(*docs.columns).alias("row"), "text"), model)
+    return marked.where("predicted = 1").select("row.*")
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each near-duplicate group: that of its smallest doc_id. Rows without a doc_id all stay."""
+    kept = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(kept, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
+    first = named.withColumn("place", F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).where("place = 1")
+    return first.select("row.*").unionByName(docs.where("doc_id is null"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows, with secrets in their texts replaced by a mark and n_chars counted anew."""
+    out = secret_scan.redact(docs)
+    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all rows in windows of at most 4096 ids."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_documents),
+    ("near_duplicates", one_of_each),
+    ("secrets", without_secrets),
+    ("packing", packed),
+]
+
+#: Fingerprints, trained models and tokenizers have no SQL; the tests hold each stage against brute force.
 ORACLE_SQL = None
-STAGES = []
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces that all stages leave of the documents of `sf_dir`; stages are kept in the shared folder."""
+    docs, base = table(spark, sf_dir, "documents"), shared_dir(spark)
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        docs = spark.read.parquet(f"{base}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
