@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import announcements, reports
+from .base import Query
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {**reports.BOOK.queries, **announcements.BOOK.queries}
+SQL: dict[str, str] = {**reports.BOOK.sql, **announcements.BOOK.sql}
