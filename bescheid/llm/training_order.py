@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import base64
 import struct
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,9 +19,11 @@ from .common import shared_dir, ship, strings, table
 #: Ids of one sequence; a document's last sequence is padded with zeros.
 LENGTH = 256
 #: Bytes of text for one shard, roughly.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 END = 50256
 ROUNDS = 6
+#: Records that a worker hands over at once.
+ROWS = 4000
 KEY = 2024
 #: doc_id, number of the sequence in its document, ids used.
 HEAD = "<qii"
@@ -81,8 +82,16 @@ def _records(path: str, length: int, base: dict[int, int], total: int, shards: i
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = _tokenizer(path).encode_ordinary
         at = base[TaskContext.get().partitionId()]
+        def flush() -> pd.DataFrame:
+            order = permute(np.array(index, np.uint64), total, key)
+            out = pd.DataFrame({"shard": [k * shards // total for k in order.tolist()], "place": order, "record": record}).astype({"shard": "int32"})
+            index.clear()
+            record.clear()
+            return out
+
+        index: list[int] = []
+        record: list[bytes] = []
         for b in batches:
-            index, record = [], []
             for doc, text in zip(b["doc_id"].tolist(), strings(b["text"]), strict=True):
                 ids = np.array([*encode(text), END], "<u2").tobytes()
                 doc = NO_ID if pd.isna(doc) else int(doc)
@@ -91,8 +100,10 @@ def _records(path: str, length: int, base: dict[int, int], total: int, shards: i
                     index.append(at + n)
                     record.append(struct.pack(HEAD, doc, n, len(part) // 2) + part.ljust(2 * length, b"\0"))
                 at += -(-(len(text.encode("utf-8", "surrogatepass")) + 1) // length)
-            order = permute(np.array(index, np.uint64), total, key)
-            yield pd.DataFrame({"shard": (order.astype(object) * shards // total).astype("int32") if total > 1 << 40 else (order * shards // total).astype("int32"), "place": order, "record": record})
+                if len(record) >= ROWS:
+                    yield flush()
+            if record:
+                yield flush()
 
     return records
 
@@ -129,8 +140,8 @@ def _parser(length: int):
                 if len(content) % size:
                     raise ValueError(f"shard {shard} ends within a record")
                 rows = [(*struct.unpack_from(HEAD, content, s), s) for s in range(0, len(content), size)]
-                for k in range(0, len(rows), 20_000):
-                    part = rows[k : k + 20_000]
+                for k in range(0, len(rows), ROWS):
+                    part = rows[k : k + ROWS]
                     yield pd.DataFrame({
                         "doc_id": pd.array([None if r[0] == NO_ID else r[0] for r in part], "Int64"), "seq_no": [r[1] for r in part], "n_tokens": [r[2] for r in part],
                         "ids": [content[r[3] + HEAD_SIZE : r[3] + HEAD_SIZE + 2 * r[2]] for r in part], "shard": shard, "row": range(k, k + len(part)), "byte_offset": [r[3] for r in part],
@@ -176,8 +187,4 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = shards.starts(spark)
     first = F.create_map(*[F.lit(x) for k, s in starts.items() for x in (k, s)]) if starts else F.create_map(F.lit(0), F.lit(0))
 
-    @F.pandas_udf("long")
-    def crc(ids: pd.Series) -> pd.Series:
-        return ids.map(zlib.crc32)
-
-    return shards.read(spark).select("doc_id", "seq_no", "n_tokens", (F.element_at(first, F.col("shard")) + F.col("row")).cast("long").alias("slot"), "shard", "byte_offset", crc("ids").alias("ids_crc32"))
+    return shards.read(spark).select("doc_id", "seq_no", "n_tokens", (F.element_at(first, F.col("shard")) + F.col("row")).cast("long").alias("slot"), "shard", "byte_offset", F.crc32("ids").alias("ids_crc32"))
