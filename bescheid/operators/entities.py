@@ -24,43 +24,69 @@ def signatures(df: DataFrame) -> DataFrame:
     })
 
 
-def fold(rows: list[tuple]) -> Iterator[tuple]:
-    """Link procedures of one municipality in order: (procedure_id, plan, parcel, developer, title signature, title,
-    location, company, type) to (procedure_id, project_id, confidence, reason).
+class Fold:
+    """The projects of one municipality so far. `link` takes procedures in order.
 
-    Each sees the projects that earlier ones created: first one whose place contains its parcel, else whose name
-    contains its plan, else with its developer; else it founds a project. Later links do not change a project.
+    A procedure joins the first project whose place contains its parcel, else the first whose name contains its
+    plan, else the first of its developer (among fifty with one); else it founds a project. Later links do not
+    change a project, so the state grows with the projects, not with the procedures.
     """
-    projects: list[tuple[str, str | None, str | None, str | None]] = []
-    for pid, plan, parcel, developer, words, title, place, company, kind in rows:
-        hit = None
+
+    def __init__(self) -> None:
+        self.projects: list[tuple[str, str | None, str | None]] = []
+        self.developers: list[tuple[str, str]] = []
+
+    def link(self, pid, plan, parcel, developer, words, title, place, company, kind) -> tuple[str, float, str]:
         if parcel:
-            hit = next(((p[0], 0.95, "PARCEL_MATCH") for p in projects if p[1] and parcel in p[1]), None)
-        if hit is None and plan:
-            hit = next(((p[0], 0.9, "PLAN_TOKEN_MATCH") for p in projects if p[2] and plan in p[2]), None)
-        if hit is None and developer and words:
-            hit = next(((p[0], 0.8, "DEV+TITLE_MATCH") for p in [q for q in projects if q[3]][:50] if p[3] == developer), None)
-        if hit is None:
-            project = f"project-{pid}"
-            projects.append((project, parcel or place, f"B-Plan {plan}" if plan else title or None, developer if company else None))
-            hit = (project, 0.85, "PERMIT_36_NEW") if kind == "PERMIT_36_EINVERNEHMEN" else (project, 1.0, "NEW_PROJECT")
-        yield pid, *hit
+            for p in self.projects:
+                if p[1] and parcel in p[1]:
+                    return p[0], 0.95, "PARCEL_MATCH"
+        if plan:
+            for p in self.projects:
+                if p[2] and plan in p[2]:
+                    return p[0], 0.9, "PLAN_TOKEN_MATCH"
+        if developer and words:
+            for project, name in self.developers:
+                if name == developer:
+                    return project, 0.8, "DEV+TITLE_MATCH"
+        project = f"project-{pid}"
+        self.projects.append((project, parcel or place, f"B-Plan {plan}" if plan else title or None))
+        if company and developer and len(self.developers) < 50:
+            self.developers.append((project, developer))
+        return (project, 0.85, "PERMIT_36_NEW") if kind == "PERMIT_36_EINVERNEHMEN" else (project, 1.0, "NEW_PROJECT")
+
+
+def fold(rows: list[tuple]) -> Iterator[tuple]:
+    """(procedure_id, project_id, confidence, reason) of one municipality's rows, in order."""
+    state = Fold()
+    for r in rows:
+        yield r[0], *state.link(*r)
 
 
 _FIELDS = ["doc_id", "plan_token", "parcel_token", "developer_token", "title_signature", "title", "location", "company", "procedure_type"]
 
 
-def _group(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["seen", "doc_id"], na_position="first")
-    rows = [tuple(None if pd.isna(v) else v for v in r) for r in pdf[_FIELDS].itertuples(index=False)]
-    out = pd.DataFrame(list(fold(rows)), columns=["procedure_id", "project_id", "link_confidence", "link_reason"])
-    out.insert(0, "municipality_key", pdf["municipality_key"].iloc[0])
-    return out
+def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    at, state = None, Fold()
+    for b in batches:
+        out = []
+        for key, *row in b[["municipality_key", *_FIELDS]].itertuples(index=False, name=None):
+            key = None if pd.isna(key) else key
+            if key != at:
+                at, state = key, Fold()
+            row = [None if pd.isna(v) else v for v in row]
+            out.append((key, int(row[0]), *state.link(*row)))
+        yield pd.DataFrame(out, columns=["municipality_key", "procedure_id", "project_id", "link_confidence", "link_reason"])
 
 
 def link(procedures: DataFrame) -> DataFrame:
-    """Procedure to project links. The order matters within a municipality only, so municipalities run in parallel."""
-    return procedures.select("municipality_key", "seen", *_FIELDS).groupBy("municipality_key").applyInPandas(_group, LINK_SCHEMA)
+    """Procedure to project links.
+
+    The order (seen, doc_id) decides within a municipality, so municipalities run in parallel and each is streamed
+    in order through one task, which keeps its projects and not its rows.
+    """
+    rows = procedures.select("municipality_key", "seen", *_FIELDS).repartition("municipality_key")
+    return rows.sortWithinPartitions("municipality_key", F.col("seen").asc_nulls_first(), "doc_id").mapInPandas(_stream, LINK_SCHEMA)
 
 
 def link_by_key(procedures: DataFrame) -> DataFrame:
