@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from urllib.parse import urljoin, urlsplit
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,11 +12,37 @@ from pyspark.sql.types import StringType
 
 ANCHOR = r"<a\s[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>"
 
-#: Words in link texts or addresses, by kind.
-SESSION_TERMS = ["sitzung", "tagesordnung"]
-ISSUE_TERMS = ["ausgabe", "amtsblatt", "nr.", "jahrgang"]
+# Words in link texts and addresses that decide what is harvested, and guessed paths.
+SECTION_TERMS = [
+    "bauen", "planung", "bebauungsplan", "bauleitplanung", "b-plan", "stadtplanung", "flaechennutzungsplan", "fnp", "bekanntmachung", "bekanntmachungen", "amtliche", "öffentlich", "oeffentlich",
+    "satzung", "satzungen", "verordnung", "verordnungen", "verfahren", "beteiligung", "auslegung", "aufstellung", "bauvorbescheid", "baugenehmigung", "bauantrag", "bauvorhaben",
+    "bauausschuss", "planungsausschuss", "gemeindevertretung",
+]
+PLAN_TERMS = ["bebauungsplan", "b-plan", "bauleitplanung", "aufstellungsbeschluss", "auslegung", "satzung", "bauvorbescheid", "baugenehmigung", "einvernehmen", "verfahren", "beteiligung"]
+COMMITTEES = ["bauausschuss", "hauptausschuss", "gemeindevertretung", "stadtverordnetenversammlung", "ortsbeirat", "bau- und planungsausschuss", "planungsausschuss"]
+SESSION_TERMS = ["sitzung", "sitzungstag", "datum"]
+DIRECT_SESSION_TERMS = ["sitzung", "tagesordnung", "beschluss"]
+ITEM_TERMS = [
+    "bebauungsplan", "b-plan", "bauleitplanung", "bauvorbescheid", "baugenehmigung", "einvernehmen", "§ 36", "§36", "§ 35", "§35", "§ 34", "§34", "bauantrag", "bauvoranfrage", "vorbescheid",
+    "stellungnahme", "kenntnisnahme", "antrag auf errichtung", "batteriespeicher", "energiespeicher", "speicheranlage", "speicher", "photovoltaik", "umspannwerk", "energie", "containeranlage",
+]
+ITEM_MARKERS = ["si0200", "si0300", "dokument", "vorlage", "antrag"]
+ISSUE_TERMS = ["ausgabe", "nummer", "jahr", "2023", "2024", "2025"]
+GAZETTE_TERMS = [
+    "bebauungsplan", "b-plan", "bauleitplanung", "aufstellungsbeschluss", "öffentliche auslegung", "satzungsbeschluss", "bauvorbescheid", "baugenehmigung", "§ 36", "§36", "gemeindliches einvernehmen",
+    "batteriespeicher", "energiespeicher", "speicheranlage",
+]
 DOCUMENT_ENDS = [".pdf", ".doc", ".docx"]
-PLAN_TERMS = ["bebauungsplan", "b-plan", "bauleitplanung", "aufstellungsbeschluss", "auslegung", "satzungsbeschluss", "bauantrag", "bauvorbescheid", "einvernehmen"]
+SECTION_PATHS = [
+    "/bekanntmachungen", "/amtliche-bekanntmachungen", "/oeffentliche-bekanntmachungen", "/öffentliche-bekanntmachungen", "/aktuelles/bekanntmachungen", "/bauleitplanung", "/stadtplanung",
+    "/bebauungsplaene", "/bebauungspläne", "/bauleitplaene", "/bauleitpläne", "/planung-und-bauen", "/bauen-und-wohnen", "/b-plan", "/bebauungsplan", "/verfahren", "/beteiligung",
+]
+COMMITTEE_PATHS = ["/si0100.asp", "/si0100.php", "/index.php", "/sitzungen", "/gremien", "/tagesordnung", "/beschlussvorlagen", "/niederschriften", "/protokolle"]
+GAZETTE_PATHS = ["/amtsblatt", "/amtliches-mitteilungsblatt", "/bekanntmachungen", "/amtliche-bekanntmachungen", "/veröffentlichungen", "/veroeffentlichungen"]
+URL_PATTERNS = {
+    "ris": ["https://{}.sessionnet.de", "https://ris.{}.de", "https://{}.allris.de", "https://allris.{}.de"],
+    "gazette": ["https://{}.de/amtsblatt", "https://www.{}.de/amtsblatt"],
+}
 
 
 def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
@@ -133,5 +159,38 @@ def typed_links(found: DataFrame) -> DataFrame:
     return mine.withColumn("kind", kind)
 
 
-def host(url: str) -> str:
-    return urlsplit(url).netloc
+def guessed_urls(names: DataFrame, slug: str) -> DataFrame:
+    """One row per name, kind and pattern with its address."""
+    made = [F.struct(F.lit(k).alias("kind"), F.replace(F.lit(p), F.lit("{}"), F.col(slug)).alias("url")) for k, ps in URL_PATTERNS.items() for p in ps]
+    return names.withColumn("x", F.explode(F.array(*made))).select(*names.columns, "x.kind", "x.url")
+
+
+def section_paths(bases: DataFrame, pages: DataFrame) -> DataFrame:
+    """Addresses of the fixed section paths below each base that are among `pages` (url)."""
+    tried = bases.withColumn("path", F.explode(F.array(*[F.lit(p) for p in SECTION_PATHS]))).withColumn("url", F.concat("base", "path"))
+    return tried.join(pages.select("url").distinct(), "url", "left_semi")
+
+
+def dated(text: Column) -> Column:
+    """The first day that a session's name spells: d.m.y, else d-m-y, else y-m-d; null where none is valid."""
+    made = lambda p, y, m, d: F.try_to_date(F.nullif(F.concat_ws("-", *[F.regexp_extract(text, p, g) for g in (y, m, d)]), F.lit("--")), "y-M-d")
+    return F.coalesce(made(r"([0-9]{1,2})\.([0-9]{1,2})\.([0-9]{4})", 3, 2, 1), made(r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})", 3, 2, 1), made(r"([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})", 1, 2, 3))
+
+
+def sessions(found: DataFrame) -> DataFrame:
+    """Links that name a session, with its day."""
+    return by_term(found, SESSION_TERMS, "text").withColumn("day", dated(F.col("text")))
+
+
+def gazette_items(pages: DataFrame, found: DataFrame) -> DataFrame:
+    """Of pages (page_id, url, html) with a planning word: their PDF links, or the page itself where it has none."""
+    hit = pages.where(any_term(F.lower("html"), GAZETTE_TERMS)).select("page_id", "url")
+    pdfs = found.where(F.lower("href").endswith(".pdf")).join(hit.select("page_id"), "page_id", "left_semi").select("page_id", F.col("href").alias("item"), F.lit("document").alias("kind"))
+    own = hit.join(pdfs.select("page_id").distinct(), "page_id", "left_anti").select("page_id", F.col("url").alias("item"), F.lit("issue").alias("kind"))
+    return pdfs.unionByName(own)
+
+
+def heading(html: Column | str) -> Column:
+    """A page's first heading, else its title."""
+    h = F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1), "<[^>]*>", ""))
+    return F.coalesce(F.nullif(h, F.lit("")), F.nullif(F.trim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit("")))

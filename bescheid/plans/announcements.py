@@ -261,7 +261,7 @@ def reason_code(spark: SparkSession, d: str) -> DataFrame:
 
 
 _ADDED = """CASE page_id % 5 WHEN 0 THEN '<a href="/bekanntmachung/ausgabe-7.pdf?x=1">Amtsblatt <b>Ausgabe 7</b></a>' WHEN 1 THEN '<a class="t" href="https://sessionnet.example.org/si0100.asp#a">Sitzung</a><a href="/bekanntmachung/ausgabe-7.pdf#s">Bebauungsplan Nr. 3</a>'
-WHEN 2 THEN '<A HREF="/plan.PDF">B-Plan Auslegung</A>' ELSE '' END"""
+WHEN 2 THEN '<A HREF="/plan.PDF">B-Plan Auslegung</A><a href="/g1">Bauausschuss</a><a href="/s1">Sitzung am 3.4.2023</a>' WHEN 3 THEN '<a href="/s2">Sitzungstag 2022-12-01</a><a href="/s3">Datum 31-02-2024</a><a href="/vorlage/7">TOP 3 Energie</a><p>Bebauungsplan</p>' ELSE '' END"""
 PG = f"pg AS (SELECT page_id, url, coalesce(html, '') || {_ADDED} AS html FROM pages)"
 
 
@@ -300,6 +300,32 @@ def ranked_links(spark: SparkSession, d: str) -> DataFrame:
     return r.select("href", L.council_rank(c("href")).alias("council"), L.gazette_rank(c("href")).alias("gazette"), "n").orderBy(F.desc("council"), F.desc("gazette"), "href").limit(20)
 
 
+def _term_query(name: str, terms: list[str], where: str) -> None:
+    x = {"text": "lower(text)", "href": "lower(href)", "both": "lower(text || ' ' || href)"}[where]
+
+    @query(name, f"WITH {PG}, {L.LINKS_SQL} SELECT page_id, CAST(pos AS INT) AS pos, href, text FROM l WHERE {S.any_sql(x, terms)}")
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return L.by_term(_links(spark, d), terms, where).select("page_id", "pos", "href", "text")
+
+
+_term_query("section_links", L.SECTION_TERMS, "both")
+_term_query("committee_links", L.COMMITTEES, "text")
+_term_query("session_item_links", L.ITEM_TERMS, "text")
+_term_query("direct_session_links", L.DIRECT_SESSION_TERMS, "text")
+_term_query("item_marker_links", L.ITEM_MARKERS, "href")
+
+
+@query("session_links", f"WITH {PG}, {L.LINKS_SQL} SELECT page_id, href, coalesce(CAST(try_strptime(regexp_extract(text, '[0-9]{{1,2}}\\.[0-9]{{1,2}}\\.[0-9]{{4}}'), '%d.%m.%Y') AS DATE), CAST(try_strptime(regexp_extract(text, '[0-9]{{1,2}}-[0-9]{{1,2}}-[0-9]{{4}}'), '%d-%m-%Y') AS DATE), CAST(try_strptime(regexp_extract(text, '[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}'), '%Y-%m-%d') AS DATE)) AS day FROM l WHERE {S.any_sql('lower(text)', L.SESSION_TERMS)}")
+def session_links(spark: SparkSession, d: str) -> DataFrame:
+    return L.sessions(_links(spark, d)).select("page_id", "href", "day")
+
+
+@query("gazette_items", f"WITH {PG}, {L.LINKS_SQL}, h AS (SELECT page_id, url FROM pg WHERE {S.any_sql('lower(html)', L.GAZETTE_TERMS)}), p AS (SELECT page_id, href AS item, 'document' AS kind FROM l WHERE lower(href) LIKE '%.pdf' AND page_id IN (SELECT page_id FROM h)) SELECT * FROM p UNION ALL SELECT page_id, url, 'issue' FROM h WHERE page_id NOT IN (SELECT page_id FROM p)")
+def gazette_items(spark: SparkSession, d: str) -> DataFrame:
+    pages = B.read(spark, d, "pages").select("page_id", "url", F.expr(f"coalesce(html, '') || {_ADDED}").alias("html"))
+    return L.gazette_items(pages, L.links(pages))
+
+
 @query("absolute_links")
 def absolute_links(spark: SparkSession, d: str) -> DataFrame:
     return _links(spark, d).select("page_id", "pos", L.absolute("url", "href").alias("address"))
@@ -341,6 +367,7 @@ def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return base, u.where(c("at") >= cut).select((c("k") % 1100).alias("key"), c("k").alias("v"), F.struct("at", "k").alias("order"))
 
 
+_REVIEWS = f"{B.PROCEDURES_SQL}, {B.PROJECTS_SQL}, p AS (SELECT project_id, needs_review FROM projects), r AS (SELECT project_id, bool_or(review_recommended) AS asked FROM links l JOIN procedures q ON q.procedure_id = l.procedure_id GROUP BY 1)"
 _BASE = _SPLIT.replace("min_by(k, day_)", "arg_min(k, (day_, k))")
 
 
@@ -497,3 +524,79 @@ def window_counts(spark: SparkSession, d: str) -> DataFrame:
     """Jobs by day and type through an event-time stream with a watermark."""
     return jobs.daily_counts(spark, f"{d}/events.parquet")
 
+
+
+@query("page_text", "SELECT page_id, sha256(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', '', 'g'), '<[^>]*>', chr(10), 'g'), '\\s*\\n\\s*', chr(10), 'g'), chr(10) || ' ')) AS text_sha256 FROM pages WHERE html IS NOT NULL")
+def page_text(spark: SparkSession, d: str) -> DataFrame:
+    return B.read(spark, d, "pages").where("html is not null").select("page_id", X.sha256(store.page_text("html")).alias("text_sha256"))
+
+
+@query("page_heads", "SELECT page_id, coalesce(nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')), ''), nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), '')) AS title FROM pages WHERE html IS NOT NULL")
+def page_heads(spark: SparkSession, d: str) -> DataFrame:
+    return B.read(spark, d, "pages").where("html is not null").select("page_id", L.heading("html").alias("title"))
+
+
+@query("url_patterns", "SELECT n_nationkey, k AS kind, replace(p, '{}', s) AS url FROM (SELECT n_nationkey, " + X.slug_sql("n_name", "D") + " AS s FROM nation), (VALUES " + ", ".join(f"('{k}', '{p}')" for k, ps in L.URL_PATTERNS.items() for p in ps) + ") AS t(k, p)")
+def url_patterns(spark: SparkSession, d: str) -> DataFrame:
+    return L.guessed_urls(B.read(spark, d, "nation").select("n_nationkey", X.slug("n_name", "D").alias("slug")), "slug").select("n_nationkey", "kind", "url")
+
+
+@query("path_fallback", "SELECT n_nationkey, 'https://www.' || lower(n_name) || '.de' || p AS url FROM nation, (VALUES " + ", ".join(f"('{p}')" for p in L.SECTION_PATHS) + ") AS t(p) WHERE length(n_name || p) % 3 = 0")
+def path_fallback(spark: SparkSession, d: str) -> DataFrame:
+    n = B.read(spark, d, "nation").select("n_nationkey", "n_name", F.concat(F.lit("https://www."), F.lower("n_name"), F.lit(".de")).alias("base"))
+    tried = n.select("n_nationkey", "n_name", "base", F.explode(F.array(*[F.lit(p) for p in L.SECTION_PATHS])).alias("p"))
+    good = tried.where(F.length(F.concat("n_name", "p")) % 3 == 0).select(F.concat("base", "p").alias("url"))
+    return L.section_paths(n, good).select("n_nationkey", "url")
+
+
+@query("point_lookup", f"WITH {B.SEED_SQL} SELECT e.event_id, s.name FROM events e JOIN seed s ON s.municipality_key = e.user_id % 25 WHERE e.event_id % 97 = 0")
+def point_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Lookups by key as one join with the small side."""
+    e = B.read(spark, d, "events").where("event_id % 97 = 0").select("event_id", (c("user_id") % 25).alias("municipality_key"))
+    return e.join(B.seed(spark, d).select("municipality_key", "name"), "municipality_key").select("event_id", "name")
+
+
+@query("reset_counts", "SELECT 'documents' AS name, count(*) AS rows_before, 0 AS rows_after FROM documents UNION ALL SELECT 'events', count(*), 0 FROM events UNION ALL SELECT 'orders', count(*), 0 FROM orders")
+def reset_counts(spark: SparkSession, d: str) -> DataFrame:
+    """What clearing the tables would remove and leave."""
+    out = None
+    for t in ("documents", "events", "orders"):
+        x = B.read(spark, d, t)
+        one = x.agg(F.count("*").alias("rows_before")).crossJoin(x.limit(0).agg(F.count("*").cast("int").alias("rows_after"))).select(F.lit(t).alias("name"), "rows_before", "rows_after")  # one row each
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("link_upsert", f"WITH {B.PROCEDURES_SQL}, b AS (SELECT procedure_id % 500 AS project_id, procedure_id % 7 AS procedure_id, max(bess_score) AS c FROM procedures WHERE procedure_id % 2 = 0 GROUP BY 1, 2), n AS (SELECT procedure_id % 500 AS project_id, procedure_id % 7 AS procedure_id, arg_max(grid_score, procedure_id) AS c FROM procedures WHERE procedure_id % 2 = 1 OR procedure_id % 3 = 0 GROUP BY 1, 2) SELECT coalesce(n.project_id, b.project_id) AS project_id, coalesce(n.procedure_id, b.procedure_id) AS procedure_id, coalesce(n.c, b.c) AS link_confidence FROM b FULL JOIN n ON b.project_id = n.project_id AND b.procedure_id = n.procedure_id")
+def link_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Links merged by their two keys; the last of the delta wins."""
+    p = B.procedures(spark, d)
+    keys = [(c("procedure_id") % 500).alias("project_id"), (c("procedure_id") % 7).alias("link"), "procedure_id"]
+    base = p.where("procedure_id % 2 = 0").select(*keys, c("bess_score").alias("v")).groupBy("project_id", "link").agg(F.max("v").alias("v"), F.max("procedure_id").alias("at"))
+    delta = p.where("procedure_id % 2 = 1 or procedure_id % 3 = 0").select(*keys, c("grid_score").alias("v")).select("project_id", "link", "v", c("procedure_id").alias("at"))
+    return M.last_wins(base, delta, ["project_id", "link"], "at").select("project_id", c("link").alias("procedure_id"), c("v").alias("link_confidence"))
+
+
+@query("number_labels", "SELECT o_orderkey, replace(format('{:,}', o_orderkey * 1000), ',', '.') AS grouped, substr(o_orderpriority, 1, 3) AS short FROM orders")
+def number_labels(spark: SparkSession, d: str) -> DataFrame:
+    return B.read(spark, d, "orders").select("o_orderkey", X.grouped(c("o_orderkey") * 1000).alias("grouped"), F.substring("o_orderpriority", 1, 3).alias("short"))
+
+
+@query("diagnostics_maps", "SELECT user_id, max(CASE WHEN event_id % 2 = 1 THEN event_type END) AS last_odd, count(*) FILTER (event_id % 2 = 1) AS odd FROM events GROUP BY 1")
+def diagnostics_maps(spark: SparkSession, d: str) -> DataFrame:
+    """Two maps merged, the right one's values winning, then read."""
+    odd = c("event_id") % 2 == 1
+    per = B.read(spark, d, "events").groupBy("user_id").agg(F.max(F.when(odd, c("event_type"))).alias("t"), F.count_if(odd).cast("string").alias("n"))
+    left, right = F.create_map(F.lit("last_odd"), F.lit("none"), F.lit("odd"), c("n")), F.create_map(F.lit("last_odd"), c("t"))
+    return per.select("user_id", merged(left, right).alias("m")).select("user_id", F.element_at("m", F.lit("last_odd")).alias("last_odd"), F.element_at("m", F.lit("odd")).cast("long").alias("odd"))
+
+
+def merged(left, right):
+    """A map with all entries of both; the right side's value stands where both have a key."""
+    return F.map_concat(F.map_filter(left, lambda k, v: ~F.array_contains(F.map_keys(right), k)), right)
+
+
+@query("review_flags", f"WITH {_REVIEWS} SELECT project_id, needs_review OR coalesce(asked, FALSE) AS needs_review FROM p LEFT JOIN r USING (project_id)")
+def review_flags(spark: SparkSession, d: str) -> DataFrame:
+    procs = B.procedures(spark, d)
+    return M.flag_reviews(B.projects(procs).select("project_id", "needs_review"), B.project_links(procs), procs.select("procedure_id", "review_recommended")).select("project_id", "needs_review")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import authority
 
 #: Words that make the whole file worth reading.
-TRIGGERS = ["batteriespeicher", "energiespeicher", "bebauungsplan", "umspannwerk"]
+TRIGGERS = ["batteriespeicher", "energiespeicher", "bebauungsplan", "aufstellungsbeschluss"]
 
 
 def cache_key(url: Column | str) -> Column:
@@ -53,6 +53,17 @@ def features(answers: DataFrame) -> DataFrame:
     return f.select("id", either("name", "bezeichnung").alias("name"), either("planart", "planArt").alias("planart"), either("gemeinde", "gemeindename").alias("gemeinde"))
 
 
+def page_text(html: Column | str) -> Column:
+    """A page's text, a line for each stretch between tags; scripts, styles and comments give nothing."""
+    bare = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->", "")
+    return F.btrim(F.regexp_replace(F.regexp_replace(bare, "<[^>]*>", "\n"), r"\s*\n\s*", "\n"), F.lit("\n "))
+
+
+def text_cache_key(url: Column, size: Column) -> Column:
+    """Key of a file's cached text: its address and length, so that a changed file is read again."""
+    return F.sha2(F.concat(url, size.cast("string")), 256)
+
+
 def files(spark, path: str, most_bytes: int | None = None) -> DataFrame:
     """Files below a folder with their digest; larger ones are left out before their content is read."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
