@@ -40,13 +40,16 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """`df` checkpointed in the shared folder: computed once, and safe when executors go."""
+def cut(df: DataFrame, few: bool = False) -> DataFrame:
+    """`df` checkpointed in the shared folder: computed once, and safe when executors go.
+
+    `few`: at most two files for each core of the cluster, for frames of ids that many shuffle partitions share.
+    """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         base = spark.conf.get("spark.checkpoint.dir", None)
         spark.sparkContext.setCheckpointDir(base or f"file://{tempfile.mkdtemp(prefix='bescheid-')}")
-    return df.checkpoint()
+    return (df.coalesce(2 * spark.sparkContext.defaultParallelism) if few else df).checkpoint()
 
 
 def chunks(texts: list[str], limit: int = 1_000_000) -> Iterator[slice]:
@@ -114,7 +117,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     adaptive skew joins. Only a count and a checksum reach the driver.
     """
     cur = cut(
-        edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct()
+        edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct(), few=True
     )
     seen = None
     for _ in range(most_rounds):
@@ -129,7 +132,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct()
         small = large.groupBy("hi").agg(F.min("lo").alias("m"))
         out = large.join(small, "hi").where("lo != m").select(F.col("m").alias("lo"), F.col("lo").alias("hi"))
-        cur = cut(out.unionByName(small.select(F.col("m").alias("lo"), "hi")).distinct())
+        cur = cut(out.unionByName(small.select(F.col("m").alias("lo"), "hi")).distinct(), few=True)
     return cur.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
 
 

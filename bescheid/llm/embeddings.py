@@ -99,8 +99,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, bits: int = BITS, t
     ship(vectors.sparkSession)
     rows = vectors.select("vec_id", "embedding")
     known = rows.where("vec_id is not null and embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('inf')) and exists(embedding, x -> x != 0)")
-    same = cut(known.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")))
-    coded = cut(same.mapInPandas(_coder(bits, tables), "node long, copies long, unit binary, codes binary, keys array<long>"))
+    same = cut(known.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), few=True)
+    coded = cut(same.mapInPandas(_coder(bits, tables), "node long, copies long, unit binary, codes binary, keys array<long>"), few=True)
     hot = (
         coded.select("node", F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block)
         .select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))

@@ -115,7 +115,7 @@ def near_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
         rows = exploded.select("mask", F.col("fp").bitwiseAND(F.col("m")).alias("key"), "fp", "node")
         hot = None
         if level + 1 < len(levels):
-            hot = cut(rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).drop("n"))
+            hot = cut(rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).drop("n"), few=True)
             hot = None if hot.isEmpty() else hot
         cold = rows if hot is None else rows.join(hot, ["mask", "key"], "left_anti")
         edges.append(cold.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInPandas(_links(radius), "a long, b long"))
@@ -147,7 +147,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = WORDS, b
     """
     ship(docs.sparkSession)
     marked = cut(docs.select("doc_id", "text").mapInPandas(_fingerprints(words), "doc_id long, fp long"))
-    nodes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("node")))
+    nodes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("node")), few=True)
     ids = marked.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("fp"), F.max("fp").alias("other")).where("fp != other")
     links = near_links(nodes.where("node is not null"), radius, bucket)
     # a doc_id with several texts ties their fingerprints together
