@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, ship, strings, table
@@ -198,21 +198,31 @@ def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     parts = ranges or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     probes = [(i + 1) / parts for i in range(parts - 1)]
     bounds = docs.agg(F.percentile_approx("doc_id", F.lit(probes), F.lit(20 * parts))).first()[0] if probes else None
-    bounds = sorted(set(bounds or []))
-    at = F.coalesce(F.size(F.filter(F.lit(bounds), lambda x: x < F.col("doc_id"))), F.lit(0)) if bounds else F.lit(0)
-    docs = docs.withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(at))
-    firsts = {r["part"]: r["doc_id"] for r in docs.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("there"), "doc_id"))["doc_id"].alias("doc_id")).collect()}
-    used = sorted(firsts)
-    if not used:
+    docs = docs.withColumn("part", _range_of(sorted(set(bounds or []))))
+    least = F.min(F.struct(F.col("doc_id").isNotNull().alias("there"), "doc_id"))["doc_id"]
+    firsts = sorted(((r["part"], r["doc_id"]) for r in docs.groupBy("part").agg(least.alias("doc_id")).collect()), key=lambda r: r[0])  # a row a range
+    if not firsts:
         return spark.createDataFrame([], SCHEMA)
-    before = {p: used[i - 1] for i, p in enumerate(used)}
-    # the least text of a range's first doc_id, in case several rows have it
-    leads = docs.where(F.concat_ws(":", "part", F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).isin([f"{p}:{'-' if d is None else d}" for p, d in firsts.items()])).groupBy("part", "doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    moved = F.element_at(F.create_map(*[F.lit(x) for p in used for x in (p, before[p])]), F.col("part"))
-    rows = docs.select("part", "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("extra")).unionByName(leads.select(moved.alias("part"), "doc_id", "text", F.lit(True).alias("extra")))
+    # each range's first doc_id and the range before it (the last one's for the first); as many rows as ranges
+    lead = spark.createDataFrame([(p, d, firsts[i - 1][0]) for i, (p, d) in enumerate(firsts)], "own int, lead long, before int")
+    of = (F.col("part") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("lead"))
+    # several rows may have that doc_id: the least text comes first
+    leads = docs.join(F.broadcast(lead), of).groupBy("before", "doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    rows = docs.select("part", "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("extra")).unionByName(leads.select(F.col("before").alias("part"), "doc_id", "text", F.lit(True).alias("extra")))
     return rows.repartition("part").sortWithinPartitions("part", "extra", F.col("doc_id").asc_nulls_first(), "text").mapInPandas(_rows, SCHEMA)
 
 
+def _range_of(bounds: list[int]) -> Column:
+    """How many bounds lie below doc_id (0 for null), looked up among every k-th bound, then among k."""
+    if not bounds:
+        return F.lit(0)
+    k = max(1, int(len(bounds) ** 0.5))
+    below = lambda x: x < F.col("doc_id")
+    coarse = F.size(F.filter(F.lit(bounds[k - 1 :: k]), below))
+    fine = F.size(F.filter(F.get(F.lit([bounds[i : i + k] for i in range(0, len(bounds) + k, k)]), coarse), below))
+    return F.when(F.col("doc_id").isNull(), 0).otherwise(coarse * k + fine)
+
+
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 

@@ -184,7 +184,5 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, length: int
 def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shards of all documents, written to the shared folder and read back: each sequence with its slot and place."""
     shards = write(table(spark, sf_dir, "documents", "doc_id", "text"), shared_dir(spark))
-    starts = shards.starts(spark)
-    first = F.create_map(*[F.lit(x) for k, s in starts.items() for x in (k, s)]) if starts else F.create_map(F.lit(0), F.lit(0))
-
-    return shards.read(spark).select("doc_id", "seq_no", "n_tokens", (F.element_at(first, F.col("shard")) + F.col("row")).cast("long").alias("slot"), "shard", "byte_offset", F.crc32("ids").alias("ids_crc32"))
+    starts = spark.createDataFrame(sorted(shards.starts(spark).items()), "shard int, start long")  # a row a shard
+    return shards.read(spark).join(F.broadcast(starts), "shard").select("doc_id", "seq_no", "n_tokens", (F.col("start") + F.col("row")).alias("slot"), "shard", "byte_offset", F.crc32("ids").alias("ids_crc32"))
