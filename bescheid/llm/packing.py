@@ -21,7 +21,7 @@ WINDOW = 4096
 #: A document's rest after whole windows is cut into pieces of at most so many ids.
 PIECE = 1024
 #: Windows that one differencing fills.
-GROUP = 128
+GROUP = 256
 END = 2
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Parts of words whose ids one worker keeps.
