@@ -52,6 +52,8 @@ CONTAINER_SIGNAL = [
 ]
 PRIVILEGED = ["einvernehmen", "stellungnahme", "bauantrag", "bauvoranfrage", "vorhaben", "kenntnisnahme", "antrag auf errichtung"]
 PRIVILEGED_SHORT = ["einvernehmen", "stellungnahme", "bauantrag", "bauvoranfrage"]
+#: Agenda titles of a council source whose attachments are worth fetching.
+AGENDA = ["einvernehmen", "bauantrag", "bauvorbescheid", "vorbescheid", "stellungnahme", "energie", "speicher", "photovoltaik", "umspannwerk"]
 
 #: Storage score by sums of weights.
 STORAGE_WEIGHTS = {

@@ -10,6 +10,16 @@ from ..functions.matcher import has, hits, weight
 from ..functions.text import normalize, normalize_sql
 
 
+def wants_attachments(title: Column, source: Column) -> Column:
+    """Council items whose title has an agenda word."""
+    return F.coalesce(source == "RIS", F.lit(False)) & has(hits(F.lower(title)), *T.AGENDA)
+
+
+def skips_file(size: Column, score: Column, mode: str = "fast", most_mb: int = 25) -> Column:
+    """Large files of items with a middling score are left out in fast mode."""
+    return (size > most_mb * 1024 * 1024) & (score < 0.8) if mode == "fast" else F.lit(False)
+
+
 def any_sql(x: str, wanted) -> str:
     return "(" + " OR ".join(f"contains({x}, '{t}')" for t in wanted) + ")"
 

@@ -77,6 +77,11 @@ def worklist_topk(spark: SparkSession, d: str) -> DataFrame:
     return _scored(spark, d).where("score >= 0.3").orderBy(F.desc("score"), "doc_id").limit(100).select("doc_id", "score")
 
 
+@query("attachment_gate", f"WITH {_SCORED}, g AS (SELECT doc_id, coalesce(discovery_source = 'RIS', FALSE) AND {S.any_sql('lower(title)', S.T.AGENDA)} AS wanted, doc_id * 997 % 50000000 > 25 * 1024 * 1024 AND score < 0.8 AS skipped FROM s) SELECT * FROM g")
+def attachment_gate(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).select("doc_id", S.wants_attachments(c("title"), c("discovery_source")).alias("wanted"), S.skips_file(c("doc_id") * 997 % 50_000_000, c("score")).alias("skipped"))
+
+
 _STATUS = f"CASE WHEN score >= {S.threshold_sql()} THEN 'ENQUEUED' WHEN doc_id % 17 = 0 THEN 'ERROR' ELSE 'SKIPPED' END"
 
 

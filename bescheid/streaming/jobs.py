@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge, scoring
@@ -30,6 +30,17 @@ def route(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return jobs.where("candidate_id is null"), jobs.where("candidate_id is not null")
 
 
+def counted(jobs: DataFrame, name: str = "jobs") -> tuple[DataFrame, Observation]:
+    """`jobs` with counters (rows, extraction jobs, sources) that are there once it has been written: no extra pass."""
+    seen = Observation(name)
+    return jobs.observe(seen, F.count("*").alias("jobs"), F.count("candidate_id").alias("extractions"), F.collect_set("source").alias("sources")), seen
+
+
+def by_host(requests: DataFrame) -> DataFrame:
+    """Requests (url) so that one task owns all of a host: the place for a delay per host."""
+    return requests.repartition(F.try_parse_url(F.col("url"), F.lit("HOST")))
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new folder that all executors see: below spark.checkpoint.dir, or a local one where none is set."""
     base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='jobs-')}"

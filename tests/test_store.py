@@ -71,3 +71,21 @@ def test_stream_restarts_repeat_nothing(spark, tmp_path):
     assert spark.read.parquet(f"{base}/t").count() == 3
     d, e = jobs.route(spark.createDataFrame([("RIS", "m", None, "fast", "", "", ""), ("RIS", "m", "1", "fast", "", "", "")], jobs.JOB))
     assert d.count() == e.count() == 1
+
+
+def test_counters(spark):
+    df, seen = jobs.counted(spark.createDataFrame([("RIS", "m", None, "fast", "", "", ""), ("RIS", "m", "1", "fast", "", "", "")], jobs.JOB))
+    df.write.format("noop").mode("overwrite").save()
+    assert (seen.get["jobs"], seen.get["extractions"], seen.get["sources"]) == (2, 1, ["RIS"])
+    assert jobs.by_host(spark.createDataFrame([("https://a.de/x",), ("https://a.de/y",), (None,)], "url string")).count() == 3
+
+
+def test_exports(spark, sf, tmp_path):
+    from bescheid.plans import exports
+
+    out = exports.procedures_workbook(spark, sf, f"{tmp_path}/procedures.xlsx")
+    other = exports.projects_workbook(spark, sf, f"{tmp_path}/projects.xlsx")
+    exports.coverage_csv(spark, sf, f"{tmp_path}/coverage")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/coverage/by_county").count() == 5
+    if out.endswith(".csv"):
+        assert spark.read.option("header", True).csv(f"{out}/all").count() == 1500 and spark.read.option("header", True).csv(f"{other}/diagnostics").count() > 5
