@@ -214,13 +214,16 @@ def _added(joined: str, cp: np.ndarray, named_at, weights: np.ndarray, trans: np
     return spans
 
 
-def scan(texts: list[str], added: bool = True) -> list[list[tuple[int, int, int]]]:
+Field = tuple[np.ndarray, np.ndarray]
+
+
+def scan(texts: list[str], field: Field | None = None, added: bool = True) -> list[list[tuple[int, int, int]]]:
     """For each text its spans (start, end, kind number), by start then kind; code points, end exclusive.
 
     Base spans are the fixed patterns' matches, leftmost and non-overlapping per kind. The field adds spans
     that overlap no base span. Empty texts have none.
     """
-    weights, trans = model() if added else (None, None)
+    weights, trans = (field or model()) if added else (None, None)
     found: list[list[tuple[int, int, int]]] = []
     for part in chunks(texts):
         own = texts[part]
@@ -266,37 +269,40 @@ def redacted(text: str, spans: list[tuple[int, int, int]], mark: str = "<secret>
     return "".join([*out, text[at:]]) if out else text
 
 
-def _scanner(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        texts = strings(b["text"])
-        found = scan(texts)
-        base = [[x for x in r if x[2] < 3] for r in found]
-        yield pd.DataFrame({
-            "doc_id": b["doc_id"].astype("Int64"),
-            **{f"n_{KINDS[k]}": [sum(x[2] == k for x in r) for r in found] for k in range(4)},
-            "base_sha256": [hashlib.sha256(as_text(r).encode()).hexdigest() for r in base],
-            "spans": [as_text(r) for r in found],
-        })
+def _scanner(field: Field):
+    def scanner(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = scan(strings(b["text"]), field)
+            base = [[x for x in r if x[2] < 3] for r in found]
+            yield pd.DataFrame({
+                "doc_id": b["doc_id"].astype("Int64"),
+                **{f"n_{KINDS[k]}": [sum(x[2] == k for x in r) for r in found] for k in range(4)},
+                "base_sha256": [hashlib.sha256(as_text(r).encode()).hexdigest() for r in base],
+                "spans": [as_text(r) for r in found],
+            })
+
+    return scanner
 
 
 def find(docs: DataFrame) -> DataFrame:
     """One row per row of `docs` (doc_id, text): counts by kind, digest of the base spans, all spans.
 
-    A narrow stage over whole texts. Null texts are empty: no spans, the digest of the empty string.
+    A narrow stage over whole texts, with one field, fitted on the driver, for all tasks. Null texts are empty: no spans, the digest of the empty string.
     A null doc_id stays null. Repeated rows each have their row. Other columns are not read.
     """
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInPandas(_scanner, "doc_id long, n_assign long, n_access long, n_hex long, n_crf long, base_sha256 string, spans string")
+    return docs.select("doc_id", "text").mapInPandas(_scanner(model()), "doc_id long, n_assign long, n_access long, n_hex long, n_crf long, base_sha256 string, spans string")
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """`docs` with every span of its column text replaced by a mark; nulls and all other columns stay."""
     ship(docs.sparkSession)
+    field = model()
 
     @F.pandas_udf("string")
     def clean(text: pd.Series) -> pd.Series:
         texts = strings(text)
-        return pd.Series([redacted(t, s) if isinstance(x, str) else None for x, t, s in zip(text.tolist(), texts, scan(texts), strict=True)], dtype=object)
+        return pd.Series([redacted(t, s) if isinstance(x, str) else None for x, t, s in zip(text.tolist(), texts, scan(texts, field), strict=True)], dtype=object)
 
     return docs.withColumn("text", clean("text"))
 
