@@ -78,10 +78,10 @@ def stride(length: int) -> int:
     return HEAD_SIZE + 2 * length + 1
 
 
-def _records(path: str, length: int, base: dict[int, int], total: int, shards: int, key: int):
+def _records(path: str, length: int, base: dict[int, tuple[int, int]], total: int, shards: int, key: int):
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = _tokenizer(path).encode_ordinary
-        at = base[TaskContext.get().partitionId()]
+        at, end = base.get(TaskContext.get().partitionId(), (0, 0))
         def flush() -> pd.DataFrame:
             order = permute(np.array(index, np.uint64), total, key)
             out = pd.DataFrame({"shard": [k * shards // total for k in order.tolist()], "place": order, "record": record}).astype({"shard": "int32"})
@@ -104,6 +104,8 @@ def _records(path: str, length: int, base: dict[int, int], total: int, shards: i
                     yield flush()
             if record:
                 yield flush()
+        if at != end:
+            raise ValueError("the documents came in another order than when they were counted")
 
     return records
 
@@ -169,7 +171,7 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None, length: int
     sizes = rows.groupBy(F.spark_partition_id().alias("task")).agg(F.sum(room).alias("room"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes")).collect()  # a row a task
     base, total = {}, 0
     for r in sorted(sizes):
-        base[r["task"]] = total
+        base[r["task"]] = (total, total + r["room"])
         total += r["room"]
     shards = max(1, -(-sum(r["bytes"] for r in sizes) // shard_bytes))
     schema = "shard int, place long, record binary"
