@@ -57,9 +57,16 @@ def _hits(text: pd.Series) -> pd.Series:
     return text.map(numbers_in)
 
 
-def hits(text: Column | str) -> Column:
-    """Numbers of all known terms that `text` holds, ascending; null for null. Terms are in lower case."""
-    return _hits(text)
+#: The same, but never moved or repeated by the optimizer: a filter on what follows from it stays above it.
+_hits_once = F.pandas_udf(lambda text: text.map(numbers_in), ArrayType(IntegerType())).asNondeterministic()
+
+
+def hits(text: Column | str, once: bool = False) -> Column:
+    """Numbers of all known terms that `text` holds, ascending; null for null. Terms are in lower case.
+
+    `once`: for columns that filters follow, which would else scan below and above the filter.
+    """
+    return _hits_once(text) if once else _hits(text)
 
 
 def numbers(wanted: Iterable[str]) -> list[int]:

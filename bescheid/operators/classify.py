@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import terms as T
-from ..functions.matcher import count, has, hits
+from ..functions.matcher import TERMS, count, has, hits, numbers
 from ..functions.text import normalize
 from .scoring import any_sql, clamp, part, with_hits
 
@@ -130,7 +130,7 @@ def relevance_sql(c: str = "comb", t: str = "nn", o: str = "orig", date: str = "
 FAMILIES = (T.STORAGE_EXPLICIT, T.PLANNING_STEP + T.PERMIT_STRONG, T.LEGAL_BASIS)
 
 
-def evidence(text: Column, comb: Column, most: int = 5) -> Column:
+def evidence(text: Column, comb: Column, hc: Column, most: int = 5) -> Column:
     """Text around the first usable term of each family, 100 characters to either side.
 
     Places are those in the normal form, applied to the text as written; a term whose slice is empty there gives
@@ -138,7 +138,7 @@ def evidence(text: Column, comb: Column, most: int = 5) -> Column:
     """
     found = []
     for family in FAMILIES:
-        held = F.filter(F.lit(family), lambda t: F.instr(comb, t) > 0)
+        held = F.transform(F.filter(F.lit(numbers(family)), lambda n: F.array_contains(hc, n)), lambda n: F.element_at(F.lit(TERMS), n + 1))
 
         def cut(t: Column) -> Column:
             at = F.instr(comb, t) - 1
@@ -174,7 +174,7 @@ def classify(df: DataFrame) -> DataFrame:
     })
     return df.withColumns({
         "review_recommended": F.col("is_relevant") & F.col("confidence_score").between(0.35, 0.65),
-        "evidence_snippets": F.when(F.col("is_relevant"), evidence(F.col("text"), F.col("comb"))).otherwise(F.array().cast("array<string>")),
+        "evidence_snippets": F.when(F.col("is_relevant"), evidence(F.col("text"), F.col("comb"), h)).otherwise(F.array().cast("array<string>")),
     }).drop("vague", "explicit")
 
 

@@ -118,7 +118,12 @@ def decision_date(text: pd.Series) -> pd.Series:
 
 
 def companies(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit("(?U)" + COMPANY), F.lit(0))
+    """All spans from a capital to the next legal form.
+
+    Only the text up to the last legal form is searched: without one, each capital would walk to the end.
+    """
+    head = F.regexp_extract(text, r"(?sU)^.*(?:GmbH|AG|UG|KG)\b", 0)
+    return F.regexp_extract_all(head, F.lit("(?U)" + COMPANY), F.lit(0))
 
 
 def developer(found: Column) -> Column:

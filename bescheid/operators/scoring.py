@@ -78,7 +78,7 @@ def threshold_sql(source: str = "discovery_source", mode: str = "fast") -> str:
 def with_hits(df: DataFrame) -> DataFrame:
     """Adds the normal forms of text and title and what they hold: `hc` (both), `ht` (title), `ho` (as written)."""
     df = df.withColumns({"nt": normalize("text"), "nn": normalize("title")})
-    return df.withColumns({"comb": F.concat_ws(" ", "nt", "nn"), "orig": F.lower(F.concat_ws(" ", "text", "title"))}).withColumns({"hc": hits("comb"), "ht": hits("nn"), "ho": hits("orig")})
+    return df.withColumns({"comb": F.concat_ws(" ", "nt", "nn"), "orig": F.lower(F.concat_ws(" ", "text", "title"))}).withColumns({"hc": hits("comb", once=True), "ht": hits("nn", once=True), "ho": hits("orig", once=True)})
 
 
 #: DuckDB's counterpart over the fixture `fx`.

@@ -10,6 +10,8 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.store import dealt
+
 TITLES = [
     "Aufstellungsbeschluss zum Bebauungsplan Nr. 12 Batteriespeicher am Mühlenweg", "Bauvorbescheid Batteriespeicher Gewerbegebiet Ost", "Baugenehmigung für eine Speicheranlage mit Wechselrichter",
     "Gemeindliches Einvernehmen nach § 36 BauGB, Energiespeicher", "Bauantrag Photovoltaik und Stromspeicher im Außenbereich", "Frühzeitige Beteiligung Solarpark Nord mit Großspeicher",
@@ -43,4 +45,4 @@ FROM documents WHERE doc_id IS NOT NULL"""
 
 def announcements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fixture over the whole `documents` table."""
-    return spark.sql(sql().replace("FROM documents", "FROM {documents}"), documents=spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return spark.sql(sql().replace("FROM documents", "FROM {documents}"), documents=dealt(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")))

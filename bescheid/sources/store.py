@@ -11,6 +11,15 @@ from ..functions.text import authority
 TRIGGERS = ["batteriespeicher", "energiespeicher", "bebauungsplan", "aufstellungsbeschluss"]
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """A scanned table for row-by-row work: dealt out once over the cores if it has fewer files than they are.
+
+    A file of one row group is one task however many cores wait; tables of many files stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df._jdf.inputFiles()) < cores else df
+
+
 def cache_key(url: Column | str) -> Column:
     return F.sha2(F.col(url) if isinstance(url, str) else url, 256)
 

@@ -143,3 +143,9 @@ def test_link_keys_equal_fold_without_overlaps(spark):
     df = spark.createDataFrame(rows, "municipality_key string, doc_id long, seen date, plan_token string, parcel_token string, developer_token string, title_signature string, title string, location string, company string, procedure_type string")
     fold = {(r.procedure_id, r.project_id) for r in entities.link(df).collect()}
     assert fold == {(r.procedure_id, r.project_id) for r in entities.link_by_key(df).collect()}
+
+
+def test_companies_equal_the_pattern(spark, sf):
+    df = fixture.announcements(spark, sf).select("text").unionByName(spark.createDataFrame([("ÄHRE AG. BLAG!! Ümit UGX, Kern KG",), ("",), ("GmbH",)], "text string"))
+    for t, got in df.select("text", extract.companies(F.col("text"))).collect():
+        assert got == re.findall(extract.COMPANY, t)
