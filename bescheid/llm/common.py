@@ -14,11 +14,17 @@ from pyspark.sql import functions as F
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The named Parquet table; only `columns` when given. Workers get the path of this package."""
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, deal: bool = False) -> DataFrame:
+    """The named Parquet table; only `columns` when given. Workers get the path of this package.
+
+    `deal`: a table of fewer files than cores is dealt out once by rows, for row-by-row work; a file of one row
+    group is else one task. Tables of many files, as a cluster's are, stay as they are.
+    """
     ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if deal and len(df._jdf.inputFiles()) < cores else df
 
 
 def ship(spark: SparkSession) -> None:

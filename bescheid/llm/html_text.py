@@ -370,4 +370,4 @@ def extract(pages: DataFrame, net: Labeller | None = None) -> DataFrame:
 
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages; see `extract`."""
-    return extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return extract(table(spark, sf_dir, "pages", "page_id", "url", "html", deal=True))

@@ -197,5 +197,5 @@ def _both(path: str):
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoding and decoding of all documents in one pass: counts, digests of ids and of the decoded text."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", deal=True)
     return docs.mapInPandas(_both(public_tokenizers.path("piece_bpe_32k.model")), "doc_id long, n_pieces long, n_bytes long, score double, ids_crc32 long, decoded_crc32 long, round_trip boolean")

@@ -188,6 +188,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents; see `train` and `score`."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", deal=True)
     model = train(docs, table(spark, sf_dir, "labels"))
     return score(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")

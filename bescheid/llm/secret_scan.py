@@ -309,4 +309,4 @@ def redact(docs: DataFrame) -> DataFrame:
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of all documents; see `find`."""
-    return find(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return find(table(spark, sf_dir, "documents", "doc_id", "text", deal=True))

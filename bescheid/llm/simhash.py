@@ -159,5 +159,5 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = WORDS, b
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints and near-duplicate components of all documents; see `near_duplicates`."""
-    found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+    found = near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text", deal=True))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
