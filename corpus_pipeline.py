@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bescheid.llm import packing, quality, secret_scan, simhash
+from bescheid.llm import packing, quality, secret_scan, similar, simhash
 from bescheid.llm.common import shared_dir, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -23,8 +23,17 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each near-duplicate group: that of its smallest doc_id. Rows without a doc_id all stay."""
-    kept = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    """One row of each group by op9's contract: that of its smallest doc_id. Rows without a doc_id all stay."""
+    return _firsts(docs, simhash.near_duplicates(docs))
+
+
+def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As `one_of_each`, for groups of texts whose five-word shingles have a Jaccard similarity of at least 0.8."""
+    return _firsts(docs, similar.near_duplicates(docs))
+
+
+def _firsts(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    kept = grouped.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
     first = named.withColumn("place", F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).where("place = 1")
     return first.select("row.*").unionByName(docs.where("doc_id is null"))
@@ -43,7 +52,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality", good_documents),
-    ("near_duplicates", one_of_each),
+    ("near_duplicates", one_of_similar),
     ("secrets", without_secrets),
     ("packing", packed),
 ]
