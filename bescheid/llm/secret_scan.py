@@ -26,11 +26,13 @@ KEYWORDS = ("password", "passwd", "pwd", "secret", "token", "apikey", "accesskey
 #: First characters of issued keys.
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk_live_", "sk-", "AIza", "eyJ", "npm_", "pypi-", "SG.")
 O, B, I = 0, 1, 2  # noqa: E741
-FEATURES = 23
+FEATURES = 29
 _SPACE = np.array([chr(i).isspace() or not i for i in range(0x3001)])  # NUL parts the texts of a chunk
 _MIXED = re.compile(r"[a-z]+|[A-Z]+|[0-9]+|[^a-zA-Z0-9]")
 _HEX = re.compile(r"[0-9a-fA-F]{16,}")
 _TRIM = "\"'`,;()[]{}<>"
+#: The announcing words in lower case, with other marks between their letters; `_announces` decides.
+_ANNOUNCE = re.compile("|".join(r"[^a-z\s=\x00]*".join(k) for k in KEYWORDS))
 
 
 def _shape(tok: str) -> tuple[list[float], bool]:
@@ -44,27 +46,43 @@ def _shape(tok: str) -> tuple[list[float], bool]:
     sym = n - lower - upper - digit
     rate = (len(_MIXED.findall(core)) - 1) / max(n - 1, 1)
     known = core.startswith(PREFIXES) and n >= 16
-    loose = bool(digit and lower + upper and n >= 16 and rate >= 0.2 and sym <= n // 5 and "@" not in core and "://" not in core)
+    loose = bool((digit and lower + upper or lower and upper) and n >= 16 and rate >= 0.2 and sym <= n // 5 and "@" not in core and "://" not in core)
     mixed = bool(digit and upper and lower)
     x = [1.0, n >= 12, n >= 16, n >= 24, n >= 36, bool(digit and lower + upper), mixed, digit / n, rate, sym / n, digit == n, "@" in core, "://" in core or core.startswith("www."), known, bool(_HEX.fullmatch(core)), loose, loose and mixed]
     return [float(v) for v in x], loose or known
 
 
 def _announces(tok: str) -> bool:
-    letters = "".join(c for c in tok.partition("=")[0].lower() if "a" <= c <= "z")
-    return letters.endswith(KEYWORDS)
+    return _letters(tok).endswith(KEYWORDS)
+
+
+def _letters(tok: str) -> str:
+    return "".join(c for c in tok.partition("=")[0].lower() if "a" <= c <= "z")
 
 
 def token_features(tok: str, before: list[str], after: str, named: bool) -> list[float]:
     """A token's shape with up to two words before it, the word after it, and whether its file names secrets.
 
-    Context counts only for tokens that can be secrets by themselves, so plain words all look alike.
+    Context counts for tokens that look random, and for any token next to an announcing word.
     """
     x, random_like = _shape(tok)
     usable = len(tok) >= 8 and (random_like or bool(x[5]))
-    told = usable and (any(_announces(b) for b in before) or ("=" in tok and _announces(tok)))
-    sign = usable and bool(before) and before[-1].rstrip("\"'")[-1:] in ("=", ":")
-    return [*x, float(told), float(sign), float(named and random_like), float(told and random_like), float(usable and bool(after) and _candidate(after)), 0.0]
+    told = _told(tok, before)
+    sign = (usable or told) and bool(before) and before[-1].rstrip("\"'")[-1:] in ("=", ":")
+    core = tok.strip(_TRIM)
+    own = "=" in tok[:-1] and _announces(tok)
+    core = core.partition("=")[2].strip(_TRIM) if own else core
+    mid = core.rstrip(".!?:")
+    kinds = sum(map(bool, (re.search("[a-z]", mid), re.search("[A-Z]", mid[1:]), re.search("[0-9]", mid), re.search(r"[^\w\s-]|_", mid, re.ASCII))))
+    bearer = bool(before) and _letters(before[-1]).endswith("bearer")
+    lone = told and not x[5] and not random_like
+    more = [told and kinds >= 2, told and kinds >= 3, lone and (sign or own), lone and (sign or own or bearer) and len(mid) >= 10, lone and bearer and len(mid) >= 16, told and (sign or own) and kinds >= 2]
+    return [*x, float(told and usable), float(sign), float(named and random_like), float(told and random_like), float(usable and bool(after) and _candidate(after)), *map(float, more), 0.0]
+
+
+def _told(tok: str, before: list[str]) -> bool:
+    """Whether an announcing word stands up to two words before the token, or before its own equals sign."""
+    return any(_announces(b) for b in before) or ("=" in tok and _announces(tok))
 
 
 PLAIN = [0.0] * FEATURES
@@ -72,8 +90,11 @@ PLAIN[0], PLAIN[-1] = 1.0, 3.0  # a strong sign of its own, so that plain words
 
 
 def _candidate(tok: str) -> bool:
-    """Tokens that the field looks at one by one: those of eight characters with a digit."""
-    return len(tok) >= 8 and any("0" <= c <= "9" for c in tok)
+    """Tokens that the field looks at one by one wherever they stand: of eight characters with a digit, or of sixteen.
+
+    Others cannot look random, so they are looked at only next to an announcing word (`_told`).
+    """
+    return len(tok) >= 16 or (len(tok) >= 8 and any("0" <= c <= "9" for c in tok))
 
 
 def _word(r: random.Random, letters: str = string.ascii_lowercase) -> str:
@@ -104,10 +125,12 @@ def _examples(count: int = 600) -> Iterator[list[tuple[str, int]]]:
             toks.append((w, O))
             p = r.random()
             if p < 0.05:
-                value = r.choice((some(alnum, 20, 40), "ghp_" + some(alnum, 36, 36), "sk_live_" + some(alnum, 24, 24), "xoxb-" + some(string.digits, 11, 11) + "-" + some(alnum, 24, 24), "AIza" + some(alnum + "_-", 35, 35), "eyJ" + some(b64, 30, 60) + "." + some(b64, 30, 60), "glpat-" + some(alnum, 20, 20), some(string.hexdigits.lower(), 32, 64)))
+                value = r.choice((some(alnum, 20, 40), "ghp_" + some(alnum, 36, 36), "sk_live_" + some(alnum, 24, 24), "xoxb-" + some(string.digits, 11, 11) + "-" + some(alnum, 24, 24), "AIza" + some(alnum + "_-", 35, 35), "eyJ" + some(b64, 30, 60) + "." + some(b64, 30, 60), "glpat-" + some(alnum, 20, 20), "sk_live_" + some(string.ascii_letters, 24, 24), "ghp_" + some(string.ascii_letters, 36, 36), some(string.ascii_letters, 20, 40), some(string.hexdigits.lower(), 32, 64)))
                 lead = r.choice((["password", "="], ["token:"], ["secret", "is"], ["Bearer"], ["Authorization:", "Bearer"], ["api_key", ":"], ["credentials"], ["pwd="], []))
                 toks += [(x, O) for x in lead]
                 toks.append((r.choice((value, f'"{value}"', f"'{value}',")), B))
+            elif p < 0.08 and p >= 0.06:
+                toks += _announced(r, some)
             elif p < 0.06:
                 toks += [("-----BEGIN", O), ("PRIVATE", O), ("KEY-----", O), (some(b64, 64, 64) + "7a", B), (some(b64, 64, 64) + "x4", I), (some(b64, 20, 64) + "9B=", I)]
             elif p < 0.16:
@@ -115,13 +138,25 @@ def _examples(count: int = 600) -> Iterator[list[tuple[str, int]]]:
                     f"+{some('123456789', 1, 2)}-{some(string.digits, 3, 3)}-{some(string.digits, 7, 7)}", some(string.digits, 8, 16), f"{_word(r)}.{_word(r)}{some(string.digits, 1, 3)}@example.com",
                     f"https://{_word(r)}.example.org/{_word(r)}/{some(string.digits, 1, 6)}", f"{some('12', 1, 1)}{some(string.digits, 1, 2)}.{some(string.digits, 1, 3)}.{some(string.digits, 1, 3)}.{some(string.digits, 1, 3)}", f"20{some(string.digits, 2, 2)}-0{some('123456789', 1, 1)}-1{some(string.digits, 1, 1)}",
                     f"{_word(r)}{some(string.digits, 1, 4)}", f"{some(string.digits, 3, 4)}-{some(string.digits, 4, 4)}", f"v{some(string.digits, 1, 2)}.{some(string.digits, 1, 2)}.{some(string.digits, 1, 3)}", f"{some(string.digits, 1, 3)},{some(string.digits, 3, 3)}.{some(string.digits, 2, 2)}", f"DE{some(string.digits, 20, 20)}", f"isbn{some(string.digits, 13, 13)}",
-                    "-".join(some("0123456789abcdef", k, k) for k in (8, 4, 4, 4, 12)), f"#{some('0123456789abcdef', 7, 12)}",
+                    "".join(_word(r)[:9].capitalize() for _ in range(r.randint(2, 5))), "-".join(_word(r) for _ in range(r.randint(2, 5))), "-".join(some("0123456789abcdef", k, k) for k in (8, 4, 4, 4, 12)), f"#{some('0123456789abcdef', 7, 12)}",
                 )), O))
             elif p < 0.18:
                 toks += [(x, O) for x in r.choice((["the", "secret", "is"], ["token", "of"], ["password", "policy"]))]
+            elif p < 0.22:
+                toks += [(x, O) for x in (*r.choice((["the", "secret", "is"], ["token", "of"], ["Password:"], ["password"], ["secret", "of", "the"], ["bearer", "of"], ["credentials"], ["Token:"], ["auth"])), _word(r, letters)[:9] + r.choice(("", "", ",", ".")), _word(r, letters))]
         yield toks
 
 
+def _announced(r: random.Random, some) -> list[tuple[str, int]]:
+    """Announced secrets that are short or have no digit."""
+    mixed = "".join(r.sample([r.choice(string.ascii_lowercase), r.choice(string.ascii_uppercase), r.choice(string.digits), r.choice("!#$%&*+?@^_"), *some(string.ascii_letters + string.digits, 0, 8)], 4)) + some(string.ascii_letters + string.digits + "!#$%&*", 1, 8)
+    lone = r.choice((some(string.ascii_letters, 16, 40), some(string.ascii_lowercase, 10, 30)))
+    lead, value = r.choice(((["Authorization:", "Bearer"], some(string.ascii_letters, 16, 40)), (["Bearer"], some(string.ascii_lowercase, 20, 40)), (["pwd:"], lone), (["password:"], lone), (["password", "="], lone), (["token", ":"], lone), (["secret="], lone), (["password", "is"], mixed), (["pwd:"], mixed), (["password", "="], mixed), (["secret", ":"], mixed), (["credentials"], mixed)))
+    if r.random() < 0.15:
+        return [(r.choice(("password=", "pwd=", "api_key=")) + r.choice((mixed, lone)), B)]
+    return [*((x, O) for x in lead), (r.choice((value, value, f'"{value}"', f"{value},")), B)]
+
+
 @lru_cache(maxsize=1)
 def model() -> tuple[np.ndarray, np.ndarray]:
     """The field, fitted on invented examples with a fixed seed: the same weights everywhere."""
@@ -130,7 +165,8 @@ def model() -> tuple[np.ndarray, np.ndarray]:
         words = [t for t, _ in toks]
         named = any(_announces(w) for w in words)
         for i, w in enumerate(words):
-            xs.append(token_features(w, words[max(0, i - 2) : i], words[i + 1] if i + 1 < len(words) else "", named) if _candidate(w) else PLAIN)
+            before = words[max(0, i - 2) : i]
+            xs.append(token_features(w, before, words[i + 1] if i + 1 < len(words) else "", named) if _candidate(w) or _told(w, before) else PLAIN)
         ys += [y for _, y in toks]
         lengths.append(len(toks))
     return crf.train(np.array(xs), np.array(ys), np.array(lengths), 3, steps=120, rate=0.25, l2=0.3)
@@ -142,45 +178,51 @@ def _decided(unary: np.ndarray, trans: np.ndarray) -> np.ndarray:
     return (unary[:, O] - unary[:, B] > gain[0]) & (unary[:, O] - unary[:, I] > gain[1])
 
 
-def _tokens_at(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, number) of the candidate tokens; a number counts all tokens of the joined texts."""
+def _tokens_at(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) of all tokens of the joined texts."""
     white = np.where(cp <= 0x3000, _SPACE[np.minimum(cp, 0x3000)], False)
-    begin = ~white
-    begin[1:] &= white[:-1]
-    starts = np.flatnonzero(begin)
-    if not len(starts):
-        return starts, starts, starts
-    close = white.copy()
-    close[0] = False
-    close[1:] &= ~white[:-1]
-    ends = np.flatnonzero(close)
-    ends = np.append(ends, len(cp)) if len(ends) < len(starts) else ends
-    digit = np.flatnonzero((cp >= 48) & (cp <= 57))
+    edge = np.diff(white.astype(np.int8), prepend=1, append=1)
+    return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
+def _looked_at(joined: str, cp: np.ndarray, starts: np.ndarray, ends: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Numbers of the tokens that `_candidate` names or `_told` may: those at or up to two after an announcing word."""
     has = np.zeros(len(starts), bool)
-    has[np.searchsorted(starts, digit, side="right") - 1] = True
+    has[np.searchsorted(starts, np.flatnonzero((cp >= 48) & (cp <= 57)), side="right") - 1] = True
     has &= ends - starts >= 8
-    k = np.flatnonzero(has)
-    return starts[k], ends[k], k
+    has |= ends - starts >= 16
+    low = joined.replace("\u0130", "I").lower()  # the one letter whose small form is longer
+    at = np.array([m.start() for m in _ANNOUNCE.finditer(low)], np.int64)
+    for k in np.unique(np.searchsorted(starts, at, side="right") - 1).tolist():
+        tok = joined[starts[k] : ends[k]]
+        if _announces(tok):
+            has[k] |= "=" in tok
+            near = slice(k + 1, k + 3)
+            has[near] |= part[near] == part[k]
+    return np.flatnonzero(has)
 
 
 def _added(joined: str, cp: np.ndarray, named_at, weights: np.ndarray, trans: np.ndarray) -> list[tuple[int, int]]:
     """Spans that Viterbi tags in the joined texts.
 
     A plain word prefers "outside" by more than its two transitions can make up for (`_decided`), so every best
-    path passes there: decoding the stretches of candidates between plain words is decoding the whole sequence.
+    path passes there: decoding the stretches of other tokens between plain words is decoding the whole sequence.
     """
     if not _decided(np.array([PLAIN]) @ weights, trans)[0]:
         raise ValueError("the field leaves plain words undecided")
-    start, end, number = _tokens_at(cp)
-    if not len(start):
+    starts, ends = _tokens_at(cp)
+    if not len(starts):
+        return []
+    part = np.searchsorted(np.flatnonzero(cp == 0), starts)
+    number = _looked_at(joined, cp, starts, ends, part)
+    if not len(number):
         return []
+    start, end = starts[number], ends[number]
     xs = []
-    for s, e in zip(start.tolist(), end.tolist(), strict=True):
-        line = joined.rfind("\x00", 0, s) + 1
-        before = joined[max(line, s - 200) : s].split()[-2:]
-        stop = joined.find("\x00", e)
-        after = joined[e : min(e + 200, stop)].split(None, 1)
-        xs.append(token_features(joined[s:e], before, after[0] if after else "", named_at(s)))
+    for k in number.tolist():
+        before = [joined[starts[i] : ends[i]] for i in range(max(0, k - 2), k) if part[i] == part[k]]
+        after = joined[starts[k + 1] : ends[k + 1]] if k + 1 < len(starts) and part[k + 1] == part[k] else ""
+        xs.append(token_features(joined[starts[k] : ends[k]], before, after, named_at(int(starts[k]))))
     unary = np.array(xs) @ weights
     sure = _decided(unary, trans)
     out, i = [], 0

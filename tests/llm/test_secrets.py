@@ -1,0 +1,26 @@
+"""Secrets that the fixed patterns do not see: short ones, ones of letters only, and what touches a base span."""
+
+import pytest
+
+from bescheid.llm import secret_scan
+
+ANNOUNCED = [
+    ("Authorization: Bearer {}", "QwErTyUiOpAsDfGhJkLzXcVb"), ("Authorization: Bearer {}", "abcdefghijklmnopqrstuvwxyz"), ("pwd: {}", "correcthorsebattery"),
+    ("password is {}", "Xy7!k"), ("password is {} please", "Xy7!k"), ("use password = '{}' now", "aB!cD"), ("api_key: {}", "Hk#9"), ("my key {} ok", "sk_live_abcdefGhijKlmnopqrStuvwX"),
+]
+
+
+@pytest.mark.parametrize("text, secret", ANNOUNCED)
+def test_any_announced_token_is_looked_at(text, secret):
+    whole = f"some words before, {text.format(secret)}"
+    assert secret not in secret_scan.redacted(whole, secret_scan.scan([whole])[0])
+
+
+def test_plain_words_stay():
+    clean = ["password policy applies", "Password: required", "Token: the first one", "secret ingredient", "password must be changed", "Wissenschaftlichen Gemeinschaft", "Donaudampfschifffahrtsgesellschaft", "bearer of good news", "the password is wrong.", "well-known state-of-the-art things", "token = value", "call getUserNameFromTable first"]
+    assert secret_scan.scan(clean) == [[]] * len(clean)
+
+
+def test_announcing_words_end_with_their_text():
+    texts = ["the password", "Xy7!k is no secret of mine", "İİ PASS-WORD: Xy7!k", "a\x00Xy7!k"]
+    assert [[t[s:e] for s, e, _ in x] for t, x in zip(texts, secret_scan.scan(texts), strict=True)] == [[], [], ["Xy7!k"], []]
