@@ -263,7 +263,7 @@ def scan(texts: list[str], field: Field | None = None, added: bool = True) -> li
     """For each text its spans (start, end, kind number), by start then kind; code points, end exclusive.
 
     Base spans are the fixed patterns' matches, leftmost and non-overlapping per kind. The field adds spans
-    that overlap no base span. Empty texts have none.
+    that lie in no base span; they may overlap some. Empty texts have none.
     """
     weights, trans = (field or model()) if added else (None, None)
     found: list[list[tuple[int, int, int]]] = []
@@ -291,7 +291,7 @@ def scan(texts: list[str], field: Field | None = None, added: bool = True) -> li
             for s, e in _added(joined, cp, lambda s: named[int(np.searchsorted(offset, s, side="right")) - 1], weights, trans):
                 i = int(np.searchsorted(offset, s, side="right")) - 1
                 s, e = s - int(offset[i]), e - int(offset[i])
-                if all(e <= a or b <= s for a, b, _ in rows[i]):
+                if not any(a <= s and e <= b for a, b, k in rows[i] if k < 3):
                     rows[i].append((s, e, 3))
         found += [sorted(r, key=lambda x: (x[0], x[2])) for r in rows]
     return found
