@@ -7,6 +7,7 @@ import random
 import re
 import string
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,8 +19,6 @@ from .common import ship, strings, table
 
 PATH, WORDS, EXTRA, HIDDEN = 512, 64, 8, 12
 WIDTH = PATH + WORDS + EXTRA
-#: Open elements that a block's path keeps: the outermost and the innermost.
-OUTER, INNER = 6, 14
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -49,10 +48,12 @@ def _bucket(word: str, size: int) -> int:
 
 
 class Block:
-    __slots__ = ("text", "path", "linked")
+    """A text with the hashed names of all its open elements, the innermost tag, whether a title is open, and its share in links."""
 
-    def __init__(self, text: str, path: list[tuple[str, tuple[int, ...]]], linked: float):
-        self.text, self.path, self.linked = text, path, linked
+    __slots__ = ("text", "ids", "tag", "titled", "linked")
+
+    def __init__(self, text: str, ids: frozenset[int], tag: str, titled: bool, linked: float):
+        self.text, self.ids, self.tag, self.titled, self.linked = text, ids, tag, titled, linked
 
 
 def blocks(page: str) -> list[Block]:
@@ -63,17 +64,37 @@ def blocks(page: str) -> list[Block]:
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[int, ...]]] = []
+    tags: Counter[str] = Counter()  # of the stack
+    held: Counter[int] = Counter()  # hashed names of the stack
+    ids: frozenset[int] | None = frozenset()
     parts: list[str] = []
     linked = 0
     total = 0
 
+    def cut(i: int, end: int | None = None) -> None:
+        nonlocal ids
+        for tag, own in stack[i:end]:
+            tags[tag] -= 1
+            for x in own:
+                if held[x] == 1:
+                    del held[x]
+                    ids = None
+                else:
+                    held[x] -= 1
+        del stack[i:end]
+
+    def unlink() -> None:
+        """Take the innermost open link off the stack; what stands in it stays open."""
+        i = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "a")
+        cut(i, i + 1)
+
     def flush() -> None:
-        nonlocal linked, total
+        nonlocal ids, linked, total
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                path = stack if len(stack) <= OUTER + INNER else stack[:OUTER] + stack[-INNER:]
-                out.append(Block(text, list(path), linked / max(total, 1)))
+                ids = frozenset(held) if ids is None else ids
+                out.append(Block(text, ids, stack[-1][0] if stack else "", tags["title"] > 0, linked / max(total, 1)))
             parts.clear()
         linked = total = 0
 
@@ -83,7 +104,7 @@ def blocks(page: str) -> list[Block]:
             if parts or not text.isspace():
                 parts.append(text)
                 total += len(text)
-                if any(t[0] == "a" for t in stack[-4:]):
+                if tags["a"] > 0:
                     linked += len(text)
             continue
         tag = m["tag"] or m["tag2"]
@@ -96,27 +117,38 @@ def blocks(page: str) -> list[Block]:
         if not inline:
             flush()
         if m["end"] or m["end2"]:
-            for i in range(len(stack) - 1, max(-1, len(stack) - 1 - (8 if inline else 10_000)), -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
+            if tags[tag] > 0:
+                for i in range(len(stack) - 1, max(-1, len(stack) - 1 - 8) if inline else -1, -1):
+                    if stack[i][0] == tag:
+                        cut(i)
+                        break
+                else:
+                    if tag == "a":
+                        unlink()
             continue
         for group in (_CLOSES.get(tag), _BEFORE.get(tag)):
             if group:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in group:
-                        del stack[i:]
+                        cut(i)
                         break
                     if stack[i][0] not in _INLINE and stack[i][0] != "p":
                         break
         if tag in _VOID:
             continue
-        ids = [_bucket("<" + tag, PATH)]
+        if tag == "a" and tags["a"] > 0:  # links do not nest: the next one ends one left open
+            unlink()
+        own = [_bucket("<" + tag, PATH)]
         attrs = m["attrs"]
         if attrs and "=" in attrs:
             for x in _NAMES.findall(attrs):
-                ids += [_bucket("." + w, PATH) for w in re.findall(r"[a-z]+", "".join(x).lower())[:12]]
-        stack.append((tag, tuple(ids)))
+                own += [_bucket("." + w, PATH) for w in re.findall(r"[a-z]+", "".join(x).lower())]
+        stack.append((tag, tuple(own)))
+        tags[tag] += 1
+        for x in own:
+            if x not in held:
+                ids = None
+            held[x] += 1
     flush()
     return out
 
@@ -128,12 +160,11 @@ def vectors(found: list[Block]) -> np.ndarray:
     counts = np.zeros((n, EXTRA), np.float32)
     for i, b in enumerate(found):
         row = i * WIDTH
-        seen = {x for _, ids in b.path for x in ids}
-        cells += [row + x for x in seen]
+        cells += [row + x for x in b.ids]
         words = b.text.lower().split(" ")
         at = row + PATH
         cells += [at + _bucket(w, WORDS) for w in words]
-        counts[i] = (1.0, np.log1p(len(b.text)) / 6, b.linked, min(len(words), 100) / 100, b.text[-1] in ".!?…:", b.text.count(",") / len(words), i / n, bool(b.path) and b.path[-1][0][0] == "h" and len(b.path[-1][0]) == 2)
+        counts[i] = (1.0, np.log1p(len(b.text)) / 6, b.linked, min(len(words), 100) / 100, b.text[-1] in ".!?…:", b.text.count(",") / len(words), i / n, b.tag[:1] == "h" and len(b.tag) == 2)
     x = np.bincount(np.array(cells, np.int64), minlength=n * WIDTH).reshape(n, WIDTH).astype(np.float32)
     np.minimum(x[:, :PATH], 1, out=x[:, :PATH])
     x[:, PATH : PATH + WORDS] /= np.maximum(x[:, PATH : PATH + WORDS].sum(axis=1, keepdims=True), 1)
@@ -306,7 +337,7 @@ def labeller(pages: int = 2500, passes: int = 6, seed: int = 3) -> Labeller:
         page, main = _page(r)
         found = blocks(page)
         if found:
-            data.append((vectors(found), np.array([b.text in main and not any(t == "title" for t, _ in b.path) for b in found], np.float32)))
+            data.append((vectors(found), np.array([b.text in main and not b.titled for b in found], np.float32)))
     net = Labeller()
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(x) for k, x in net.p.items()}
