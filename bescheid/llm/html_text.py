@@ -22,6 +22,7 @@ WIDTH = PATH + WORDS + EXTRA
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"""|<svg\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?<=/)>"""  # closed by itself: nothing is in it
     r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-z][a-z0-9-]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"|<(?P<end2>/?)(?P<tag2>[a-z][a-z0-9-]*)[^>]*>"

@@ -32,3 +32,10 @@ def test_deep_text_in_a_link_is_linked():
     many = "<span>" * 12
     assert [b.linked for b in html_text.blocks(f"<a href=x>{many}text</a><p>after")] == [1.0, 0.0]
     assert [b.linked for b in html_text.blocks("<a name=x><div><p>in</p></div><a href=y>link</a><p>after")] == [1.0, 1.0, 0.0]
+
+
+def test_svg_closed_by_itself_drops_nothing():
+    page = "<p>before <svg class=icon title='a>b'/> it</p><p>article</p>{}<p>end"
+    for more in ("", "<svg><text>drawn</text></svg>"):
+        assert [b.text for b in html_text.blocks(page.format(more))] == ["before it", "article", "end"]
+    assert [b.text for b in html_text.blocks("<p>x<svg a=b><path d='1'/></svg>y")] == ["xy"]
