@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 import uuid
@@ -115,21 +116,24 @@ def forest(pairs_a: list[int], pairs_b: list[int]) -> list[tuple[int, int]]:
     return [(x, r) for x in list(up) if (r := root(x)) != x]
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, most_rounds: int | None = None) -> DataFrame:
     """Connected components of edges (a, b): (node, root), root the smallest node; isolated nodes are absent.
 
     Alternating large and small stars (Kiveris et al. 2014). Each round is aggregations and equi-joins,
     checkpointed; a hub's minimum is pre-aggregated before the shuffle and its rows can be split by
-    adaptive skew joins. Only a count and a checksum reach the driver.
+    adaptive skew joins. Only a count and a checksum reach the driver. Rounds go on until nothing changes; if
+    `most_rounds` do not reach that, it is an error.
     """
     cur = cut(
         edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct(), few=True
     )
     seen = None
-    for _ in range(most_rounds):
+    for done in itertools.count():
         sig = cur.agg(F.count("*"), F.bit_xor(F.xxhash64("lo", "hi"))).first()
         if sig == seen or not sig[0]:
             break
+        if done == most_rounds:
+            raise RuntimeError(f"components still change after {most_rounds} rounds")
         seen = sig
         both = cur.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             cur.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
