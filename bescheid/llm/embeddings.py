@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, forest, runs, ship, table
+from .common import components, cut, forest, mapped, runs, ship, table
 
 COSINE = 0.9
 #: 14 signs agree for two vectors at cosine 0.9 with probability 0.114, so 48 tables miss 0.3 % of such pairs
@@ -100,7 +100,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, bits: int = BITS, t
     rows = vectors.select("vec_id", "embedding")
     known = rows.where("vec_id is not null and embedding is not null and size(embedding) > 0 and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('inf')) and exists(embedding, x -> x != 0)")
     same = cut(known.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), few=True)
-    coded = cut(same.mapInPandas(_coder(bits, tables), "node long, copies long, unit binary, codes binary, keys array<long>"), few=True)
+    coded = cut(mapped(same, _coder(bits, tables), "node long, copies long, unit binary, codes binary, keys array<long>"), few=True)
     hot = (
         coded.select("node", F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block)
         .select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
@@ -112,7 +112,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, bits: int = BITS, t
         .withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
         .select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "node", "copies", "unit", "codes")
     )
-    found = cut(dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInPandas(_compare(cosine, bits), "a long, b long, n long"))
+    found = cut(mapped(dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high"), _compare(cosine, bits), "a long, b long, n long"))
     links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("far"))
     spread = known.groupBy("vec_id").agg(F.min("embedding").alias("x"), F.max("embedding").alias("y")).where("x != y").select("vec_id")
     tied = known.join(spread, "vec_id", "left_semi").join(same, "embedding").select(F.col("vec_id").alias("a"), F.col("node").alias("b"))

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, ship, strings, table
+from .common import chunks, mapped, ship, strings, table, whole
 
 #: Rounds of parsing; phrases of round r are about 3 ** r bytes long. Names from round FIRST on are kept.
 ROUNDS, FIRST = 6, 2
@@ -177,7 +177,7 @@ def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if size > 4_000_000:
                     yield done(rows)
                     rows, size = [], 0
-            held = None if extra else (part, None if pd.isna(doc) else int(doc), text)
+            held = None if extra else (part, whole(doc), text)
         if rows:
             yield done(rows)
 
@@ -209,7 +209,7 @@ def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     # several rows may have that doc_id: the least text comes first
     leads = docs.join(F.broadcast(lead), of).groupBy("before", "doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
     rows = docs.select("part", "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("extra")).unionByName(leads.select(F.col("before").alias("part"), "doc_id", "text", F.lit(True).alias("extra")))
-    return rows.repartition("part").sortWithinPartitions("part", "extra", F.col("doc_id").asc_nulls_first(), "text").mapInPandas(_rows, SCHEMA)
+    return mapped(rows.repartition("part").sortWithinPartitions("part", "extra", F.col("doc_id").asc_nulls_first(), "text"), _rows, SCHEMA)
 
 
 def _range_of(bounds: list[int]) -> Column:

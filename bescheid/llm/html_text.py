@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ship, strings, table
+from .common import mapped, ship, strings, table
 
 PATH, WORDS, EXTRA, HIDDEN = 512, 64, 8, 12
 WIDTH = PATH + WORDS + EXTRA
@@ -385,7 +385,7 @@ def _extractor(net: Labeller):
             for at in range(0, len(pages), 500):
                 texts = main_texts(pages[at : at + 500], net)
                 rows = b.iloc[at : at + 500]
-                yield pd.DataFrame({"page_id": rows["page_id"].astype("Int64").to_numpy(), "url": rows["url"].to_numpy(), "text": texts, "n_chars": [len(t) for t in texts]}).astype({"page_id": "Int64"})
+                yield pd.DataFrame({"page_id": rows["page_id"].array, "url": rows["url"].array, "text": texts, "n_chars": [len(t) for t in texts]})
 
     return extract
 
@@ -397,7 +397,7 @@ def extract(pages: DataFrame, net: Labeller | None = None) -> DataFrame:
     stay; repeated rows each have their row. Empty table: no rows. Other columns are not read.
     """
     ship(pages.sparkSession)
-    return pages.select("page_id", "url", "html").mapInPandas(_extractor(net or labeller()), "page_id long, url string, text string, n_chars long")
+    return mapped(pages.select("page_id", "url", "html"), _extractor(net or labeller()), "page_id long, url string, text string, n_chars long")
 
 
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:

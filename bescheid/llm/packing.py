@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ship, strings, table
+from .common import mapped, ship, strings, table, whole
 
 WINDOW = 4096
 #: A document's rest after whole windows is cut into pieces of at most so many ids.
@@ -23,7 +23,8 @@ PIECE = 1024
 #: Windows that one differencing fills.
 GROUP = 256
 END = 2
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+NUMBERS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+SCHEMA = ", ".join(f"{x} long" for x in ("doc_id", *NUMBERS))
 #: Parts of words whose ids one worker keeps.
 CACHE = 1_000_000
 
@@ -140,7 +141,8 @@ def _packer(path: str, window: int, piece: int, group: int):
                     out.append((*rows[i], base + used, at))
                     at += rows[i][2]
                 used += 1
-            return pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]).astype({"doc_id": "Int64"})
+            doc, *rest = zip(*out, strict=True)
+            return pd.DataFrame({"doc_id": pd.array(doc, "Int64"), **dict(zip(NUMBERS, (np.array(x, np.int64) for x in rest), strict=True))})
 
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
@@ -150,7 +152,7 @@ def _packer(path: str, window: int, piece: int, group: int):
                 for doc, ids in zip(names[at : at + 500], encode(texts[at : at + 500]), strict=True):
                     view = memoryview(ids + end)
                     n = len(view) // 4
-                    doc = None if pd.isna(doc) else int(doc)
+                    doc = whole(doc)
                     for s, m in pieces(n, window, piece):
                         row = (doc, s, m, zlib.crc32(view[4 * s : 4 * (s + m)]), n)
                         if m == window:
@@ -179,7 +181,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, piece:
     Repeated rows: each packed on its own. Empty table: no rows. Other columns are not read.
     """
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInPandas(_packer(path or public_tokenizers.path("word_bpe_49k.json"), window, piece, group), SCHEMA)
+    return mapped(docs.select("doc_id", "text"), _packer(path or public_tokenizers.path("word_bpe_49k.json"), window, piece, group), SCHEMA)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ship, strings, table
+from .common import mapped, ship, strings, table
 
 MARK = "▁"
 #: A character that is no piece costs this much more than the worst piece.
@@ -170,14 +170,14 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     bytes of their UTF-8. A null doc_id and repeated rows stay. Other columns are not read.
     """
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInPandas(_encoder(path or public_tokenizers.path("piece_bpe_32k.model")), "doc_id long, ids binary, n_bytes long, score double")
+    return mapped(docs.select("doc_id", "text"), _encoder(path or public_tokenizers.path("piece_bpe_32k.model")), "doc_id long, ids binary, n_bytes long, score double")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """`encoded` (doc_id, ids) with its text. Decoding what `encode` gave returns the text, but for U+2581,
     which stands for a space in this format, and null, which returns empty."""
     ship(encoded.sparkSession)
-    return encoded.select("doc_id", "ids").mapInPandas(_decoder(path or public_tokenizers.path("piece_bpe_32k.model")), "doc_id long, ids binary, text string")
+    return mapped(encoded.select("doc_id", "ids"), _decoder(path or public_tokenizers.path("piece_bpe_32k.model")), "doc_id long, ids binary, text string")
 
 
 def _both(path: str):
@@ -198,4 +198,4 @@ def _both(path: str):
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoding and decoding of all documents in one pass: counts, digests of ids and of the decoded text."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", deal=True)
-    return docs.mapInPandas(_both(public_tokenizers.path("piece_bpe_32k.model")), "doc_id long, n_pieces long, n_bytes long, score double, ids_crc32 long, decoded_crc32 long, round_trip boolean")
+    return mapped(docs, _both(public_tokenizers.path("piece_bpe_32k.model")), "doc_id long, n_pieces long, n_bytes long, score double, ids_crc32 long, decoded_crc32 long, round_trip boolean")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import crf
-from .common import chunks, ship, strings, table
+from .common import chunks, mapped, ship, strings, table
 
 KINDS = ("assign", "access", "hex", "crf")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -333,7 +333,7 @@ def find(docs: DataFrame) -> DataFrame:
     A null doc_id stays null. Repeated rows each have their row. Other columns are not read.
     """
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInPandas(_scanner(model()), "doc_id long, n_assign long, n_access long, n_hex long, n_crf long, base_sha256 string, spans string")
+    return mapped(docs.select("doc_id", "text"), _scanner(model()), "doc_id long, n_assign long, n_access long, n_hex long, n_crf long, base_sha256 string, spans string")
 
 
 def redact(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, forest, runs, ship, strings, table
+from .common import components, cut, forest, mapped, runs, ship, strings, table
 
 RADIUS = 3
 WORDS = 3
@@ -118,7 +118,7 @@ def near_links(fps: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
             hot = cut(rows.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).drop("n"), few=True)
             hot = None if hot.isEmpty() else hot
         cold = rows if hot is None else rows.join(hot, ["mask", "key"], "left_anti")
-        edges.append(cold.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInPandas(_links(radius), "a long, b long"))
+        edges.append(mapped(cold.repartition("mask", "key").sortWithinPartitions("mask", "key"), _links(radius), "a long, b long"))
         if hot is None:
             break
         rows = rows.join(hot, ["mask", "key"], "left_semi")
@@ -146,7 +146,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, words: int = WORDS, b
     Rows with the same doc_id are one member. Empty table: no rows. Other columns are not read.
     """
     ship(docs.sparkSession)
-    marked = cut(docs.select("doc_id", "text").mapInPandas(_fingerprints(words), "doc_id long, fp long"))
+    marked = cut(mapped(docs.select("doc_id", "text"), _fingerprints(words), "doc_id long, fp long"))
     nodes = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("node")), few=True)
     ids = marked.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("fp"), F.max("fp").alias("other")).where("fp != other")
     links = near_links(nodes.where("node is not null"), radius, bucket)

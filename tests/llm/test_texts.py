@@ -64,8 +64,10 @@ def test_permutation():
 def test_shards(spark, odd, none, tmp_path):
     shards = T.write(odd, f"file://{tmp_path}/s", length=64, shard_bytes=50_000)
     rows, starts = shards.read(spark).collect(), shards.starts(spark)
-    tok = T._tokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    want = sorted((r.doc_id or -1, n, ids[n * 64 : n * 64 + 64]) for r in odd.collect() for ids in [[*tok.encode_ordinary(r.text or ""), T.END]] for n in range(-(-len(ids) // 64)))
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tok, end = T._tokenizer(path), T.end_id(path)
+    assert end == 50256
+    want = sorted((r.doc_id or -1, n, ids[n * 64 : n * 64 + 64]) for r in odd.collect() for ids in [[*tok.encode_ordinary(r.text or ""), end]] for n in range(-(-len(ids) // 64)))
     got = sorted((r.doc_id or -1, r.seq_no, np.frombuffer(r.ids, "<u2").tolist()) for r in rows)
     assert got == want and len(starts) > 1
     assert sorted(starts[r.shard] + r.row for r in rows) == list(range(len(rows)))
@@ -81,6 +83,45 @@ def test_shards(spark, odd, none, tmp_path):
     assert T.write(none, f"file://{tmp_path}/n").read(spark).count() == 0
 
 
+def test_shards_depend_on_data_and_key_alone(spark, odd, tmp_path):
+    docs = odd.union(spark.createDataFrame([(None, f"null {i}", None, None) for i in range(40)] + [(i, f"text {i} " * (i % 90), None, None) for i in range(300)], odd.schema))
+    made = []
+    for n, key in ((1, 1), (7, 1), (1, 2)):
+        s = T.write(docs.repartition(n, "text"), f"file://{tmp_path}/{n}-{key}", length=32, shard_bytes=20_000, key=key)
+        starts = s.starts(spark)
+        made.append([tuple(r)[:5] + (bytes(r.ids),) for r in sorted(s.read(spark).collect(), key=lambda r: starts[r.shard] + r.row)])
+    assert len(starts) > 3 and made[0] == made[1] != made[2] and sorted(map(repr, made[0])) != made[0]
+    # slots follow the permutation of the indexes
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tok, end = T._tokenizer(path), T.end_id(path)
+    rows = docs.selectExpr("doc_id", "coalesce(text, '') as text", "xxhash64(doc_id, coalesce(text, '')) as number").collect()
+    rooms = max(len(r.text.encode()) for r in rows) // 32 + 1
+    numbers, want = T.SPACE // rooms, []
+    for r in rows:
+        ids = [*tok.encode_ordinary(r.text), end]
+        for n in range(-(-len(ids) // 32)):
+            part = np.array(ids[32 * n : 32 * n + 32], "<u2").tobytes()
+            place = int(T.permute(np.array([r.number % numbers * rooms + n]), numbers * rooms, 1)[0])
+            want.append((place, T.struct.pack(T.HEAD, T.NO_ID if r.doc_id is None else r.doc_id, n, len(part) // 2) + part.ljust(64, b"\0"), (r.doc_id, n, part)))
+    assert [x[2] for x in sorted(want, key=lambda x: x[:2])] == [(x[0], x[1], x[5]) for x in made[0]]
+    from_there = T.Shards(f"file://{tmp_path}/7-1", 32).resume(spark, 100).collect()
+    assert [(r.doc_id, r.seq_no, bytes(r.ids)) for r in sorted(from_there, key=lambda r: r.slot)] == [(x[0], x[1], x[5]) for x in made[0][100:]]
+
+
+def test_training_order_query(spark, sf):
+    rows = T.op2_training_order(spark, sf).collect()
+    assert sorted(r.slot for r in rows) == list(range(len(rows)))
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tok, end = T._tokenizer(path), T.end_id(path)
+    want = {}
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        ids = [*tok.encode_ordinary(r.text or ""), end]
+        for n in range(-(-len(ids) // T.LENGTH)):
+            part = ids[T.LENGTH * n : T.LENGTH * (n + 1)]
+            want[r.doc_id, n] = len(part), zlib.crc32(np.array(part, "<u2").tobytes())
+    assert {(r.doc_id, r.seq_no): (r.n_tokens, r.ids_crc32) for r in rows} == want and len(rows) == len(want)
+
+
 def best(text, vocab):
     """Highest score over all segmentations."""
     top = [0.0] + [float("-inf")] * len(text)
