@@ -299,10 +299,10 @@ def first_links(spark: SparkSession, d: str) -> DataFrame:
     return L.first_per_address(_links(spark, d)).select("page_id", "address", "pos")
 
 
-@query("ranked_links", f"WITH {PG}, {L.LINKS_SQL}, r AS (SELECT href, CASE WHEN contains(lower(href), 'allris') OR contains(lower(href), 'sessionnet') THEN 10 ELSE 0 END + CASE WHEN contains(lower(href), 'si0100') OR contains(lower(href), 'ris') THEN 5 ELSE 0 END AS council, CASE WHEN contains(lower(href), 'amtsblatt') THEN 10 ELSE 0 END + CASE WHEN contains(lower(href), 'bekanntmachung') THEN 5 ELSE 0 END AS gazette FROM l) SELECT href, council, gazette, count(*) AS n FROM r GROUP BY ALL ORDER BY council DESC, gazette DESC, href LIMIT 20")
+@query("ranked_links", f"WITH {PG}, {L.LINKS_SQL}, r AS (SELECT href, CASE WHEN contains(lower(href), 'allris') OR contains(lower(href), 'sessionnet') THEN 10 ELSE 0 END + CASE WHEN contains(lower(href), 'si0100') OR contains(lower(href), 'ris') THEN 5 ELSE 0 END AS council, CASE WHEN contains(lower(href), 'amtsblatt') THEN 10 ELSE 0 END + CASE WHEN contains(lower(href), 'bekanntmachung') THEN 5 ELSE 0 END AS gazette FROM l) SELECT href, council, gazette, count(*) AS n FROM r GROUP BY ALL")
 def ranked_links(spark: SparkSession, d: str) -> DataFrame:
     r = _links(spark, d).groupBy("href").agg(F.count("*").alias("n"))
-    return r.select("href", L.council_rank(c("href")).alias("council"), L.gazette_rank(c("href")).alias("gazette"), "n").orderBy(F.desc("council"), F.desc("gazette"), "href").limit(20)
+    return r.select("href", L.council_rank(c("href")).alias("council"), L.gazette_rank(c("href")).alias("gazette"), "n").orderBy(F.desc("council"), F.desc("gazette"), "href")
 
 
 def _term_query(name: str, terms: list[str], where: str) -> None:
@@ -554,10 +554,10 @@ def path_fallback(spark: SparkSession, d: str) -> DataFrame:
     return L.section_paths(n, good).select("n_nationkey", "url")
 
 
-@query("point_lookup", f"WITH {B.SEED_SQL} SELECT e.event_id, s.name FROM events e JOIN seed s ON s.municipality_key = e.user_id % 25 WHERE e.event_id % 97 = 0")
+@query("point_lookup", f"WITH {B.SEED_SQL} SELECT e.event_id, s.name FROM events e JOIN seed s ON s.municipality_key = e.user_id % 25")
 def point_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Lookups by key as one join with the small side."""
-    e = B.read(spark, d, "events").where("event_id % 97 = 0").select("event_id", (c("user_id") % 25).alias("municipality_key"))
+    e = B.read(spark, d, "events").select("event_id", (c("user_id") % 25).alias("municipality_key"))
     return e.join(B.seed(spark, d).select("municipality_key", "name"), "municipality_key").select("event_id", "name")
 
 
