@@ -1,4 +1,9 @@
-"""Near duplicates by Jaccard similarity of word shingles: MinHash bands find candidates, whole sets decide."""
+"""SimHash near-dedup at a similarity: fingerprints under covering masks and MinHash bands find candidates, whole sets decide.
+
+A radius that covering masks can afford (3 of 64 bits) reaches pairs of about 0.98 only; at a Jaccard similarity of
+0.8 fingerprints differ in up to 14 bits, which would ask for 2 ** 15 masks. So the masks keep their guarantee for
+what lies within the radius, and bands of least hashes find the rest.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +12,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, cut, forest, runs, ship, strings
+from .common import components, cut, forest, mapped, runs, ship, strings
+from .simhash import RADIUS, majority, near_links
 
 WORDS, LEAST = 5, 0.8
-#: A pair of similarity s shares no band with probability (1 - s ** ROWS) ** BANDS: 1.4e-7 at 0.8.
-BANDS, ROWS = 30, 4
+#: A pair of similarity s shares no band with probability (1 - s ** ROWS) ** BANDS: 8.5e-7 at 0.8. A pair of
+#: similarity 0.3 shares one with probability 0.03, so texts alike in part only do not chain to large groups.
+BANDS, ROWS = 46, 6
 #: Members of a candidate group that are compared at once; larger groups are dealt out as pairs of blocks.
 BLOCK = 256
 #: Tasks that share the rows of one bucket.
@@ -37,12 +44,12 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
 
 
 def bands(h: np.ndarray) -> list[int]:
-    """One number for each band: a hash of the least values under ROWS hash functions. No shingles, no bands."""
+    """One number for each band: a hash of its number and the least values under ROWS hash functions. No shingles, no bands."""
     if not len(h):
         return []
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
-    for at in range(0, len(h), 4096):
-        np.minimum(least, ((h[at : at + 4096, None] ^ _KEYS[0]) * _KEYS[1]).min(axis=0), out=least)
+    for at in range(0, len(h), 512):
+        np.minimum(least, ((h[at : at + 512, None] ^ _KEYS[0]) * _KEYS[1]).min(axis=0), out=least)
     raw = least.tobytes()
     return [xxhash.xxh64_intdigest(raw[8 * ROWS * k : 8 * ROWS * (k + 1)], k) - (1 << 63) for k in range(BANDS)]
 
@@ -51,7 +58,8 @@ def _signatures(words: int):
     def signatures(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sets = [shingles(t, words) for t in strings(b["text"])]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "key": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "bands": [bands(s) for s in sets]})
+            fp = np.array([majority(s) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
+            yield pd.DataFrame({"doc_id": b["doc_id"], "row": b["row"], "key": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "fp": fp, "bands": [bands(s) for s in sets]})
 
     return signatures
 
@@ -101,31 +109,72 @@ def _links(words: int, least: float):
     return links
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = LEAST, block: int = BLOCK) -> DataFrame:
-    """doc_id, component_id of the rows of `docs` (doc_id, text) that have a doc_id.
+def _candidates(nodes: DataFrame) -> DataFrame:
+    """Edges (a, b) whose components hold every pair of nodes with a common band or fingerprints within RADIUS bits."""
+    rows = nodes.select("node", F.explode("bands").alias("value")).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALT)))
+    heads = rows.groupBy("value").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last")
+    heads = heads.select("value", "head", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("salt"))
+    banded = rows.join(heads, ["value", "salt"]).select(F.col("node").alias("a"), F.col("head").alias("b"))
+    full = nodes.where("size(bands) > 0")
+    first = cut(full.groupBy("fp").agg(F.min("node").alias("node")), few=True)
+    equal = full.join(first.withColumnRenamed("node", "head"), "fp").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    return banded.unionByName(equal).where("a != b").unionByName(near_links(first))
 
-    component_id is the smallest doc_id that links of a Jaccard similarity of at least `least` reach. Equal sets of
-    shingles are one node. Nodes that share a band with others are joined to candidate groups, in which whole
-    sets are compared: every pair within a group, in blocks if it is large, so a link is never estimated. Null and
-    empty texts are alike. Rows with the same doc_id are one member. Empty table: no rows.
-    """
+
+def _row_hash(docs: DataFrame) -> Column:
+    """A hash of a whole row; rows with one doc_id and one hash count as equal."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _classes(docs: DataFrame, words: int, least: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, key of its set of shingles) for each row, and (key, root) for each different set."""
     ship(docs.sparkSession)
-    docs = docs.select("doc_id", "text").where("doc_id is not null")
-    marked = cut(docs.mapInPandas(_signatures(words), "doc_id long, key binary, bands array<long>"))
-    nodes = cut(marked.groupBy("key").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), few=True)
-    rows = nodes.select("node", F.posexplode("bands").alias("band", "value")).withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALT)))
-    heads = rows.groupBy("band", "value").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head != last")
-    heads = heads.select("band", "value", "head", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("salt"))
-    groups = cut(components(rows.join(heads, ["band", "value", "salt"]).select(F.col("node").alias("a"), F.col("head").alias("b"))), few=True)
+    slim = docs.select("doc_id", "text", _row_hash(docs).alias("row")).where("doc_id is not null")
+    marked = cut(mapped(slim, _signatures(words), "doc_id long, row long, key binary, fp long, bands array<long>"))
+    # numbered once, in what is written: the smallest row stands for its set
+    first = F.min(F.struct("doc_id", "row"))
+    nodes = cut(marked.groupBy("key").agg(first.alias("first"), F.first("fp").alias("fp"), F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), few=True)
+    groups = cut(components(_candidates(nodes)), few=True)
     members = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
     blocks = members.groupBy("root").agg(F.ceil(F.count("*") / block).alias("blocks"))
     members = members.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    cells = docs.join(members, docs["doc_id"] == members["node"]).select("root", "node", "block", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
+    again = marked.groupBy("doc_id", "row").agg(F.count("*").alias("times")).where("times > 1")
+    members = cut(members.join(nodes.select("node", "first.doc_id", "first.row"), "node").join(again, ["doc_id", "row"], "left"), few=True)
+    texts = lambda those: slim.join(those, ["doc_id", "row"]).select("root", "node", "block", "blocks", "text")
+    # of a row that is there several times one text goes on
+    cells = texts(members.where("times is null")).unionByName(texts(members.where("times > 1")).groupBy("root", "node", "block", "blocks").agg(F.first("text").alias("text")))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     cells = cells.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "text")
-    links = cells.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInPandas(_links(words, least), "a long, b long")
-    # a doc_id with several texts ties their sets together
-    twice = marked.groupBy("doc_id").agg(F.min("key").alias("key"), F.max("key").alias("other")).where("key != other").select("doc_id")
-    same = marked.select("doc_id", "key").join(twice, "doc_id", "left_semi").join(nodes.select("key", "node"), "key").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    of = components(links.unionByName(same))
-    named = nodes.join(of, nodes["node"] == of["node"], "left").select("key", F.coalesce("root", nodes["node"]).alias("component_id"))
-    return marked.select("doc_id", "key").join(named, "key").select("doc_id", "component_id")
+    links = mapped(cells.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j"), _links(words, least), "a long, b long")
+    of = components(links).withColumnRenamed("node", "member")
+    named = nodes.join(of, F.col("node") == F.col("member"), "left").select("key", F.coalesce("root", "node").alias("root"))
+    return marked.select("doc_id", "row", "key"), named
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = LEAST, block: int = BLOCK) -> DataFrame:
+    """doc_id, component_id of the rows of `docs` (doc_id, text) that have a doc_id.
+
+    component_id is the smallest doc_id that links of a Jaccard similarity of at least `least` reach. Equal sets of
+    shingles are one node. Nodes that share a band, or whose fingerprints differ in at most RADIUS bits, are joined
+    to candidate groups, in which whole sets are compared: every pair within a group, in blocks if it is large, so a
+    link is never estimated. Null and empty texts are alike; texts are read whole. Rows with the same doc_id but
+    different texts are members of their own. Empty table: no rows. Other columns are not read but for ties.
+    """
+    marked, named = _classes(docs, words, least, block)
+    rows = marked.join(named, "key")
+    least_id = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(least_id, "root").select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, least: float = LEAST, block: int = BLOCK) -> DataFrame:
+    """`docs` with one row of each class of `near_duplicates`: that of the smallest doc_id, then of the smallest hash
+    of the whole row. Rows without a doc_id all stay."""
+    marked, named = _classes(docs, words, least, block)
+    times = marked.groupBy("key", "doc_id", "row").agg(F.count("*").alias("times"))
+    kept = times.join(named, "key").groupBy("root").agg(F.min(F.struct("doc_id", "row", "times")).alias("x")).select("x.*")
+    kept = cut(kept.withColumnRenamed("doc_id", "_id").withColumnRenamed("row", "_row"), few=True)
+    hashed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col("doc_id").alias("_id"), _row_hash(docs).alias("_row"))
+    once = hashed.join(kept.where("times = 1"), ["_id", "_row"], "left_semi").select("whole")
+    # of rows that are equal in all columns one stays
+    equal = hashed.join(kept.where("times > 1"), ["_id", "_row"], "left_semi").groupBy("_id", "_row").agg(F.first("whole").alias("whole")).select("whole")
+    return once.unionByName(equal).select("whole.*").unionByName(docs.where("doc_id is null"))

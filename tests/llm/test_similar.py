@@ -72,3 +72,25 @@ def test_stage_odd_rows(spark, odd, none):
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect())[:2] == [1, 2] and kept.where("doc_id is null").count() == 1
     two = spark.createDataFrame([(1, "a b c"), (1, "x y z"), (2, "x y z"), (3, "q")], "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in similar.near_duplicates(two).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_rows_of_one_id(spark):
+    """Different texts under one doc_id are documents of their own; of rows alike in id and text one stays, always the same."""
+    rows = [(1, "a b c", "p"), (1, "x y z", "q"), (2, "x y z", "r"), (2, "x y z", "s"), (3, "only here", "t"), (3, "only here", "t"), (3, "only here", "u"), (None, "a b c", "v")]
+    stage = dict(pipe.STAGES)["near_duplicates"]
+    seen = set()
+    for k in range(3):
+        df = spark.createDataFrame(random.Random(k).sample(rows, len(rows)), "doc_id long, text string, `odd.name` string").repartition(k + 1)
+        kept = sorted(map(tuple, stage(spark, df, "").collect()), key=str)
+        assert [x[:2] for x in kept] == [(1, "a b c"), (1, "x y z"), (3, "only here"), (None, "a b c")]
+        seen.add(str(kept))
+    assert len(seen) == 1
+
+
+def test_repeated_rows_count_once(spark):
+    """A candidate group in which one row is repeated many times."""
+    w = [f"w{i}" for i in range(200)]
+    texts = [" ".join(w), " ".join(w[:-1]), " ".join(w[:-2] + ["new"])]
+    df = spark.createDataFrame([(5, texts[0])] * 300 + [(6, texts[1]), (7, texts[2]), (8, "other")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in similar.near_duplicates(df, block=2).collect()} == {5: 5, 6: 5, 7: 5, 8: 8}
+    assert sorted(r.doc_id for r in similar.one_of_each(df).collect()) == [5, 8]
