@@ -24,21 +24,23 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group by op9's contract: that of its smallest doc_id. Rows without a doc_id all stay."""
-    return _firsts(docs, simhash.near_duplicates(docs))
-
-
-def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """As `one_of_each`, for groups of texts whose five-word shingles have a Jaccard similarity of at least 0.8."""
-    return _firsts(docs, similar.near_duplicates(docs))
-
-
-def _firsts(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    grouped = simhash.near_duplicates(docs)
     kept = grouped.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
     first = named.withColumn("place", F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).where("place = 1")
     return first.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
+def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of texts whose five-word shingles have a Jaccard similarity of at least 0.8, links followed.
+
+    The row of the smallest doc_id stays, of several the one with the smallest hash of all columns; different texts
+    under one doc_id are documents of their own. Null and empty texts are alike. Rows without a doc_id all stay.
+    Very long texts count whole. Empty table: no rows. Columns of any name stay.
+    """
+    return similar.one_of_each(docs)
+
+
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, with secrets in their texts replaced by a mark and n_chars counted anew."""
     out = secret_scan.redact(docs)
