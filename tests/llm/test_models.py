@@ -102,12 +102,18 @@ def test_field_adds_and_spares():
 
 def test_viterbi_by_stretches_equals_the_whole():
     w, a = secret_scan.model()
-    words = "plain words before Bearer eyJhbGciOiJIUzI1NiIsInR5cCI6 aB3dE5gH7jK9mN1pQ3 xx and 12345678 more".split()
-    feats = [secret_scan.token_features(t, words[max(0, i - 2) : i], words[i + 1] if i + 1 < len(words) else "", False) if secret_scan._candidate(t) else secret_scan.PLAIN for i, t in enumerate(words)]
-    tags = crf.viterbi(np.array(feats) @ w, a, 0)
-    text = " ".join(words)
-    got = {text[s:e] for s, e, k in secret_scan.scan([text])[0] if k == 3}
-    assert got == {" ".join(words[i : i + 1 + next((j for j, x in enumerate(tags[i + 1 :]) if x != 2), len(tags))]) for i, t in enumerate(tags) if t == 1}
+    texts = ["plain words before Bearer eyJhbGciOiJIUzI1NiIsInR5cCI6 aB3dE5gH7jK9mN1pQ3 xx and 12345678 more", *(" ".join(t for t, _ in row) for row in secret_scan.examples(60, 5))]
+    for text in texts:
+        joined, starts, ends, _, x, _ = secret_scan._of_texts([text])
+        tags = crf.viterbi(x @ w, a, 0)
+        want = []
+        for i, t in enumerate(tags):
+            if t == 1 or (t == 2 and (i == 0 or tags[i - 1] == 0)):
+                want.append([starts[i], ends[i]])
+            elif t == 2:
+                want[-1][1] = ends[i]
+        got = secret_scan._added(joined, starts, ends, np.zeros(len(starts), int), x, w, a)
+        assert [text[s:e].strip(secret_scan._TRIM) for s, e in want] == [text[s:e] for s, e in got]
 
 
 def test_secret_rows(spark, odd, none):
