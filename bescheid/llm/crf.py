@@ -57,20 +57,27 @@ def marginals(unary: np.ndarray, trans: np.ndarray, lengths: np.ndarray, pairs:
 
 
 def train(x: np.ndarray, y: np.ndarray, lengths: np.ndarray, k: int, steps: int = 120, rate: float = 0.1, l2: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (F x K) and transitions (K x K) by Adam on the mean log-likelihood; deterministic."""
-    f = x.shape[1]
-    theta = np.zeros(f * k + k * k)
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
+    """Weights (F x K) and transitions (K x K) for known labels `y`."""
     seen = np.zeros((k, k))
     inner = np.ones(len(y), bool)
     inner[np.cumsum(lengths)[lengths > 0] - 1] = False
     at = np.flatnonzero(inner)
     np.add.at(seen, (y[at], y[at + 1]), 1)
-    one = np.eye(k)[y]
+    return fit(x, np.eye(k)[y], seen, lengths, steps, rate, l2)
+
+
+def fit(x: np.ndarray, share: np.ndarray, seen: np.ndarray, lengths: np.ndarray, steps: int = 120, rate: float = 0.1, l2: float = 1.0, start: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and transitions by Adam on the mean expected log-likelihood; deterministic.
+
+    `share` has the probability of each label at each place, `seen` the expected number of each pair of labels.
+    """
+    f, k = x.shape[1], share.shape[1]
+    theta = np.zeros(f * k + k * k) if start is None else np.concatenate([p.ravel() for p in start])
+    m, v = np.zeros_like(theta), np.zeros_like(theta)
     for i in range(1, steps + 1):
         w, a = theta[: f * k].reshape(f, k), theta[f * k :].reshape(k, k)
         p, pair, _ = marginals(x @ w, a, lengths, pairs=True)
-        g = np.concatenate(((x.T @ (one - p)).ravel(), (seen - pair).ravel())) / max(1, len(y)) - l2 / max(1, len(y)) * theta
+        g = np.concatenate(((x.T @ (share - p)).ravel(), (seen - pair).ravel())) / max(1, len(x)) - l2 / max(1, len(x)) * theta
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta = theta + rate * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.999**i)) + 1e-8)
     return theta[: f * k].reshape(f, k), theta[f * k :].reshape(k, k)

@@ -11,10 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import crf
-from .common import chunks, ship, strings, table
+from .common import chunks, mapped, ship, strings, table
 
 #: Labelled documents that the field is fitted on at most: a bounded sample by hash of the id.
 TRAIN_DOCS = 3000
+#: Lines of one document that the fit reads at most, evenly spread in runs; so the sample is bounded in bytes. Scoring reads all.
+TRAIN_LINES = 400
+#: What the label says of a document's lines: a good one's share of good text is at least, a bad one's at most this.
+GOOD, BAD = 0.9, 0.4
+#: Documents spliced from a good and a bad one, and rounds of estimating the lines' labels.
+SPLICES, ROUNDS = 500, 3
 _KINDS = ("lower", "upper", "digit", "space", "punct", "excl", "pipe", "symbol", "other", "newline")
 _TOP = 0x300
 
@@ -86,13 +92,20 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     twin = (doc[order][1:] == doc[order][:-1]) & (sums[order][1:] == sums[order][:-1])
     x[order[1:][twin], 13] = 1
     x[order[:-1][twin], 13] = 1
-    same = np.concatenate(([False], doc[1:] == doc[:-1]))
-    for i, f in enumerate(NEAR):
-        x[1:, len(OWN) + i] = np.where(same[1:], x[:-1, f], 0)
-        x[:-1, len(OWN) + len(NEAR) + i] = np.where(same[1:], x[1:, f], 0)
+    _neighbours(x, lines)
     return x, lines, size + 1
 
 
+def _neighbours(x: np.ndarray, lines: np.ndarray) -> None:
+    """Fill in what each line reads from the line before and after it in its text."""
+    doc = np.repeat(np.arange(len(lines)), lines)
+    same = doc[1:] == doc[:-1]
+    x[:, len(OWN) :] = 0
+    for i, f in enumerate(NEAR):
+        x[1:, len(OWN) + i] = np.where(same, x[:-1, f], 0)
+        x[:-1, len(OWN) + len(NEAR) + i] = np.where(same, x[1:, f], 0)
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights and transitions of the field, then the logistic that turns a document's good share into a score."""
@@ -102,10 +115,12 @@ class Model:
     slope: float
     offset: float
 
+    def lines(self, x: np.ndarray, lines: np.ndarray) -> np.ndarray:
+        """The probability that a line is good, for every line."""
+        return crf.marginals(x @ self.weights, self.trans, lines)[:, 1]
+
     def shares(self, x: np.ndarray, lines: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        p = crf.marginals(x @ self.weights, self.trans, lines)[:, 1]
-        first = np.concatenate(([0], np.cumsum(lines)[:-1]))
-        return np.add.reduceat(p * weight, first) / np.add.reduceat(weight, first)
+        return _shares(self.lines(x, lines), lines, weight)
 
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.weights is None:
@@ -113,16 +128,68 @@ class Model:
         return 1 / (1 + np.exp(-(self.slope * self.shares(*line_features(texts)) + self.offset)))
 
 
+def _shares(p: np.ndarray, lines: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Length-weighted share of good lines in each text."""
+    first = np.concatenate(([0], np.cumsum(lines)[:-1]))
+    return np.add.reduceat(p * weight, first) / np.add.reduceat(weight, first)
+
+
+def _believed(unary: np.ndarray, trans: np.ndarray, lines: np.ndarray, weight: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """`unary` with the least push per document for which its lines agree with its label.
+
+    Of all distributions over a document's lines that have the share its label asks for, this is the one nearest
+    to the field: every line's good score moves by the same amount, found by halving.
+    """
+    low, high = np.zeros(len(y)), np.full(len(y), 12.0)
+    way = np.where(y == 1, 1.0, -1.0)
+    pushed = lambda d: unary + np.column_stack((np.zeros(len(unary)), np.repeat(way * d, lines)))
+    meets = lambda d: np.where(y == 1, (s := _shares(crf.marginals(pushed(d), trans, lines)[:, 1], lines, weight)) >= GOOD, s <= BAD)
+    none = meets(low)
+    for _ in range(8):
+        mid = (low + high) / 2
+        ok = meets(mid)
+        high, low = np.where(ok, mid, high), np.where(ok, low, mid)
+    return pushed(np.where(none, 0.0, high))
+
+
+def _spliced(x: np.ndarray, lines: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, lines, places of the lines in x) of texts made of a good and a bad document, in turns in either order."""
+    first = np.concatenate(([0], np.cumsum(lines)[:-1]))
+    pairs = list(zip(np.flatnonzero(y == 1).tolist(), np.flatnonzero(y == 0).tolist(), strict=False))[:SPLICES]
+    parts = [p[:: 1 if i % 2 else -1] for i, p in enumerate(pairs)]
+    at = np.concatenate([np.arange(first[d], first[d] + lines[d]) for p in parts for d in p])
+    many = np.array([lines[a] + lines[b] for a, b in parts], np.int64)
+    out = x[at].copy()
+    _neighbours(out, many)
+    return out, many, at
+
+
 def fit(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> Model:
-    """The model of (label, line features, line weights) rows. Every line starts from its document's label."""
+    """The model of (label, line features, line weights) rows.
+
+    A label is known for a document, not for its lines: those are latent. They start from the document's label;
+    then, in turns, the lines' labels are estimated by the field under what the label says of their share
+    (`_believed`), and the field is fitted to the estimates. Texts spliced from a good and a bad document show it
+    how labels change within a text.
+    """
     good = sum(r[0] for r in rows)
     if not rows or good in (0, len(rows)):
         return Model(None, None, 0.0, good / len(rows) if rows else 0.5)
     lines = np.array([len(r[1]) for r in rows], np.int64)
     x, weight = np.concatenate([r[1] for r in rows]).astype(np.float64), np.concatenate([r[2] for r in rows])
     y = np.array([r[0] for r in rows])
-    w, a = crf.train(x, np.repeat(y, lines), lines, 2)
-    share = Model(w, a, 1.0, 0.0).shares(x, lines, weight)
+    mixed, many, at = _spliced(x, lines, y)
+    both, all_lines = np.concatenate((x, mixed)), np.concatenate((lines, many))
+    label = np.repeat(y, lines)
+    field = crf.train(both, np.concatenate((label, label[at])), all_lines, 2)
+    for _ in range(ROUNDS):
+        w, a = field
+        believed = _believed(x @ w, a, lines, weight, y)
+        p, seen, _ = crf.marginals(believed, a, lines, pairs=True)
+        # a spliced text has its parts' estimates
+        q, switched, _ = crf.marginals(np.log(np.maximum(p[at], 1e-6)), a, many, pairs=True)
+        field = crf.fit(both, np.concatenate((p, q)), seen + switched, all_lines, steps=30, start=field)
+    share = Model(*field, 1.0, 0.0).shares(x, lines, weight)
     z, slope, offset = share - 0.5, 1.0, 0.0
     for _ in range(50):  # Newton's steps, slightly shrunk
         p = 1 / (1 + np.exp(-(slope * z + offset)))
@@ -131,7 +198,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> Model:
         h = np.array([[(r * z * z).sum() + 0.05, (r * z).sum()], [(r * z).sum(), r.sum()]])
         step = np.clip(np.linalg.solve(h, g), -3, 3)
         slope, offset = slope + step[0], offset + step[1]
-    return Model(w, a, float(slope), float(offset - 0.5 * slope))
+    return Model(*field, float(slope), float(offset - 0.5 * slope))
 
 
 def held_out(doc_id) -> F.Column:
@@ -142,8 +209,13 @@ def held_out(doc_id) -> F.Column:
 def _sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
-        for doc, label, text in zip(b["doc_id"], b["quality"], strings(b["text"]), strict=True):
+        for doc, label, text in zip(b["doc_id"].tolist(), b["quality"].tolist(), strings(b["text"]), strict=True):
             x, _, weight = line_features([text])
+            if len(x) > TRAIN_LINES:
+                # ten runs of neighbouring lines
+                run = TRAIN_LINES // 10
+                keep = np.unique(np.concatenate([np.arange(s, s + run) for s in np.linspace(0, len(x) - run, 10).astype(int)]))
+                x, weight = x[keep], weight[keep]
             out.append((doc, label, x.astype("<f4").tobytes(), weight.astype("<f8").tobytes()))
         yield pd.DataFrame(out, columns=["doc_id", "quality", "x", "weight"])
 
@@ -151,19 +223,18 @@ def _sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """Fit on at most `train_docs` labelled documents outside the held-out fold, chosen by hash of their id.
 
-    Only their line features, of this bounded sample, reach the driver.
+    Only features of this bounded sample reach the driver: at most TRAIN_LINES lines of each. Labels other than 0 and
+    1, null ids and labels without a document are not used; of several labels of one document the best counts, of
+    several texts the least; null and empty texts are one empty line. Without both labels the score is the share
+    of good documents, or a half without any. Empty tables: a half.
     """
     chosen = (
         labels.select("doc_id", "quality").where("quality in (0, 1) and doc_id is not null").where(~held_out("doc_id"))
         .groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
     )
-    rows = (
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # `train_docs` rows at most
-        .groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
-        .mapInPandas(_sampled, "doc_id long, quality int, x binary, weight binary")
-        .collect()
-    )
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # `train_docs` rows at most
+    rows = mapped(found, _sampled, "doc_id long, quality int, x binary, weight binary").collect()
     rows.sort(key=lambda r: r["doc_id"])
     return fit([(r["quality"], np.frombuffer(r["x"], "<f4").reshape(-1, WIDTH), np.frombuffer(r["weight"], "<f8")) for r in rows])
 
@@ -171,8 +242,9 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` with score (0 to 1) and predicted (1 where score >= 0.5) of its column text; a narrow stage.
 
-    The score reads the text alone. Null and empty texts are one empty line. All rows and columns stay,
-    but columns named score and predicted are replaced. Empty table: no rows.
+    The score reads the text alone, whole. Null and empty texts are one empty line; equal texts have equal scores.
+    All rows and columns stay, but columns named score and predicted are replaced: put others' into a struct first,
+    as the pipeline does. Empty table: no rows.
     """
     from pyspark.sql.types import DoubleType
 
