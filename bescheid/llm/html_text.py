@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import mapped, ship, strings, table
 
-PATH, WORDS, EXTRA, HIDDEN = 512, 64, 8, 12
+PATH, WORDS, EXTRA, HIDDEN = 512, 128, 10, 12
 WIDTH = PATH + WORDS + EXTRA
 
 _TOKEN = re.compile(
@@ -92,7 +92,7 @@ def blocks(page: str) -> list[Block]:
     def flush() -> None:
         nonlocal ids, linked, total
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
                 ids = frozenset(held) if ids is None else ids
                 out.append(Block(text, ids, stack[-1][0] if stack else "", tags["title"] > 0, linked / max(total, 1)))
@@ -103,15 +103,13 @@ def blocks(page: str) -> list[Block]:
         text = m["text"]
         if text is not None:
             if parts or not text.isspace():
-                parts.append(text)
+                parts.append(html.unescape(text) if "&" in text else text)
                 total += len(text)
                 if tags["a"] > 0:
                     linked += len(text)
             continue
         tag = m["tag"] or m["tag2"]
         if tag is None:
-            if m["raw"] is not None and m["raw"].lower() not in ("svg", "noscript"):
-                continue
             continue
         tag = tag.lower()
         inline = tag in _INLINE
@@ -119,16 +117,12 @@ def blocks(page: str) -> list[Block]:
             flush()
         if m["end"] or m["end2"]:
             if tags[tag] > 0:
-                for i in range(len(stack) - 1, max(-1, len(stack) - 1 - 8) if inline else -1, -1):
-                    if stack[i][0] == tag:
-                        cut(i)
-                        break
-                else:
-                    if tag == "a":
-                        unlink()
+                i = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag)
+                # an inline element that ends below open blocks ends alone
+                cut(i, i + 1 if inline and any(x not in _INLINE for x, _ in stack[i + 1 :]) else None)
             continue
         for group in (_CLOSES.get(tag), _BEFORE.get(tag)):
-            if group:
+            if group and any(tags[x] > 0 for x in group):
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] in group:
                         cut(i)
@@ -154,22 +148,23 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-def vectors(found: list[Block]) -> np.ndarray:
-    """One row per block: its tag path and words, both hashed, and a few measures."""
+def measures(found: list[Block]) -> np.ndarray:
     n = len(found)
-    cells: list[int] = []
-    counts = np.zeros((n, EXTRA), np.float32)
+    out = np.zeros((n, EXTRA), np.float32)
     for i, b in enumerate(found):
-        row = i * WIDTH
-        cells += [row + x for x in b.ids]
+        words = b.text.count(" ") + 1
+        out[i] = (1.0, np.log1p(len(b.text)) / 6, b.linked, min(words, 100) / 100, b.text[-1] in ".!?…:", b.text.count(",") / words, i / n, b.tag[:1] == "h" and len(b.tag) == 2, np.log1p(n) / 6, "©" in b.text)
+    return out
+
+
+def vectors(found: list[Block]) -> np.ndarray:
+    """One row per block: its tag path and words, both hashed, and a few measures. For training; see `Labeller.projected`."""
+    x = np.zeros((len(found), WIDTH), np.float32)
+    for i, b in enumerate(found):
+        x[i, list(b.ids)] = 1
         words = b.text.lower().split(" ")
-        at = row + PATH
-        cells += [at + _bucket(w, WORDS) for w in words]
-        counts[i] = (1.0, np.log1p(len(b.text)) / 6, b.linked, min(len(words), 100) / 100, b.text[-1] in ".!?…:", b.text.count(",") / len(words), i / n, b.tag[:1] == "h" and len(b.tag) == 2)
-    x = np.bincount(np.array(cells, np.int64), minlength=n * WIDTH).reshape(n, WIDTH).astype(np.float32)
-    np.minimum(x[:, :PATH], 1, out=x[:, :PATH])
-    x[:, PATH : PATH + WORDS] /= np.maximum(x[:, PATH : PATH + WORDS].sum(axis=1, keepdims=True), 1)
-    x[:, PATH + WORDS :] = counts
+        np.add.at(x[i], [PATH + _bucket(w, WORDS) for w in words], np.float32(1 / len(words)))
+    x[:, PATH + WORDS :] = measures(found)
     return x
 
 
@@ -207,11 +202,31 @@ class Labeller:
             out[t] = hs
         return out
 
+    def projected(self, found: list[Block], part: int = 4096) -> np.ndarray:
+        """What `vectors` times the input weights of both directions gives, from the few cells that are not zero.
+
+        A path's rows are summed once for all its blocks; words are summed for `part` blocks at a time.
+        """
+        w = np.concatenate((self.p["x0"], self.p["x1"]), axis=1)
+        paths: dict[frozenset[int], int] = {}
+        path = [paths.setdefault(b.ids, len(paths)) for b in found]
+        out = np.array([w[list(ids)].sum(axis=0) if ids else np.zeros(w.shape[1]) for ids in paths], np.float32)[path]
+        for at in range(0, len(found), part):
+            words = [b.text.lower().split(" ") for b in found[at : at + part]]
+            many = np.array([len(x) for x in words])
+            cells = np.bincount(np.repeat(np.arange(len(words)), many) * WORDS + np.array([_bucket(y, WORDS) for x in words for y in x]), minlength=len(words) * WORDS).reshape(-1, WORDS)
+            out[at : at + part] += (cells / many[:, None]).astype(np.float32) @ w[PATH : PATH + WORDS]
+        return out + measures(found) @ w[PATH + WORDS :]
+
     def forward(self, x: np.ndarray, mask: np.ndarray, tape: dict | None = None) -> np.ndarray:
+        return self.labels(np.concatenate((x @ self.p["x0"], x @ self.p["x1"]), axis=2), mask, tape)
+
+    def labels(self, z: np.ndarray, mask: np.ndarray, tape: dict | None = None) -> np.ndarray:
+        """P(main) at each step from the projections of both directions."""
         states = []
         for d in (0, 1):
             keep = None if tape is None else []
-            states.append(self._run(x @ self.p[f"x{d}"] + self.p[f"b{d}"], mask, d, keep))
+            states.append(self._run(z[:, :, 4 * self.h * d : 4 * self.h * (d + 1)] + self.p[f"b{d}"], mask, d, keep))
             if tape is not None:
                 tape[d] = keep
         both = np.concatenate(states, axis=2)
@@ -254,7 +269,12 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 _BOILER = "home about contact login register subscribe newsletter privacy cookies cookie accept terms copyright rights reserved share search menu follow us read more related posts comment reply advertisement sponsored sign up next previous archive tags categories sitemap impressum datenschutz anmelden suche kontakt startseite accueil contacto inicio buscar"
 
 
-def _page(r: random.Random) -> tuple[str, set[str]]:
+#: Layouts of invented pages and their weights: telling names or elements; names that say nothing; nested divs without
+#: names; text and little else; a table as frame; lines parted by <br>.
+FAMILIES = {"named": 10, "utility": 3, "divs": 3, "plain": 3, "table": 2, "breaks": 1}
+
+
+def _page(r: random.Random, family: str = "named") -> tuple[str, set[str]]:
     """An invented page and the texts of its main blocks."""
     main: set[str] = set()
     letters = r.choice((string.ascii_lowercase, string.ascii_lowercase + "äöüßéèêçñáíó"))
@@ -316,26 +336,62 @@ def _page(r: random.Random) -> tuple[str, set[str]]:
     title = words(2, 8)
     body = f"<h1>{keep(title)}</h1>" if r.random() < 0.85 else ""
     n = r.choice((0, 1, 1, 2, 3, 5, 8, 13, 20))
-    for k in range(r.randint(1, 3)):
-        body += paras(n // (k + 1), True)
-        if r.random() < 0.2:
-            body += r.choice((ad, side, form, notice))()
-    if r.random() < 0.1:
-        body += remarks()
-    article = r.choice((lambda: f"<article>{body}</article>", lambda: f"<article>{body}</article>", lambda: f"<main>{body}</main>", lambda: f"<main><article>{body}</article></main>", lambda: box("div", ["content", "article", "main", "post", "entry-content", "article-body", "main-content", "story", "text"], body), lambda: box("section", ["content", "article", "main", "post"], body)))()
-    top = [f() for f in (header, nav, ad, notice, form, side) if r.random() < 0.4]
-    r.shuffle(top)
-    low = [f() for f in (remarks, side, ad, form, notice, nav, footer) if r.random() < 0.4]
+    top: list[str] = []
+    low: list[str] = []
+    if family == "named":
+        for k in range(r.randint(1, 3)):
+            body += paras(n // (k + 1), True)
+            if r.random() < 0.2:
+                body += r.choice((ad, side, form, notice))()
+        if r.random() < 0.1:
+            body += remarks()
+        article = r.choice((lambda: f"<article>{body}</article>", lambda: f"<article>{body}</article>", lambda: f"<main>{body}</main>", lambda: f"<main><article>{body}</article></main>", lambda: box("div", ["content", "article", "main", "post", "entry-content", "article-body", "main-content", "story", "text"], body), lambda: box("section", ["content", "article", "main", "post"], body)))()
+        top = [f() for f in (header, nav, ad, notice, form, side) if r.random() < 0.4]
+        r.shuffle(top)
+        low = [f() for f in (remarks, side, ad, form, notice, nav, footer) if r.random() < 0.4]
+    else:
+        # nothing but links, forms, elements and words tells the rest of such a page from its text
+        own = lambda k: " ".join(r.choice(_BOILER.split()) for _ in range(k))
+        name = (lambda: f' class="{" ".join(r.choice(("mt", "px", "flex", "col", "row", "w", "grid", "x", "css", "sc", "wrap", "box")) + "-" + word() for _ in range(r.randint(1, 6)))}"') if family == "utility" else (lambda: "")
+        div = lambda inner: f"<div{name()}>{inner}</div>"
+        menu = lambda: div(links(2, 9))
+        foot = lambda: r.choice((lambda: div(f"&copy; {r.randint(1990, 2030)} {word().capitalize()} {own(r.randint(0, 5))}"), lambda: div(f"<p>Copyright {word()}. {own(4)}</p>" + links(1, 4)), lambda: f"<footer{name()}>&copy; {own(r.randint(2, 6))}</footer>"))()
+        consent = lambda: div(f"<p>{own(r.randint(5, 15))}</p><button>{own(1)}</button>")
+        logo = lambda: r.choice((lambda: div(f'<a href="/">{word().capitalize()}</a>'), lambda: f"<header{name()}><a href=/>{word()}</a> {links(1, 5)}</header>"))()
+        more = lambda: div(f"<h3>{own(r.randint(1, 3))}</h3>{links(2, 6)}")
+        n = max(n, 1)
+        if family == "breaks":
+            body += div("<br>".join(keep(words(1, 60)) for _ in range(n))) if r.random() < 0.5 else "<br><br>".join(keep(words(1, 60)) for _ in range(n))
+        elif family == "plain" and r.random() < 0.5:
+            body = body if r.random() < 0.5 else ""
+            a, b = r.choice(((1, 6), (1, 6), (3, 30)))
+            body += "".join(f"<p>{keep(words(a, b))}</p>" for _ in range(r.choice((1, 1, 1, 2, 4, 12, 60))))
+        else:
+            body += "".join(div(keep(words(3, 90))) for _ in range(n)) if r.random() < 0.25 else paras(n, True)
+        top = [] if family == "plain" and r.random() < 0.6 else [f() for f in (logo, menu, consent) if r.random() < 0.5]
+        low = [] if family == "plain" and r.random() < 0.6 else [f() for f in (more, menu, consent, foot) if r.random() < 0.4]
+        article = body if family in ("plain", "breaks") else div(body)
+        for _ in range(r.randint(0, 3)) if family in ("divs", "utility") else ():
+            article = div(article)
+        if family == "table":
+            cells = [f"<td>{x}" for x in top]
+            r.shuffle(cells)
+            article = f"<table><tr>{'<tr>'.join(cells)}<td>{article}</td>{''.join(f'<td>{x}</td>' for x in low[:1])}</tr><tr><td>{''.join(low[1:])}</td></tr></table>"
+            top, low = [], []
     page = f'<!DOCTYPE html><html lang="en"><head><meta charset="utf-8"><title>{html.escape(title, quote=False)}</title><style>p{{}}</style><script>var t="</p>";</script></head><body>{"".join(top)}<!-- {word()} -->{article}{"".join(low)}'
     return page + r.choice(("</body></html>", "")), main
 
 
 @lru_cache(maxsize=1)
-def labeller(pages: int = 2500, passes: int = 6, seed: int = 3) -> Labeller:
-    """The network, trained on invented pages with a fixed seed. A title in the head is no main text."""
+def labeller(pages: int = 3200, passes: int = 6, seed: int = 3, without: str = "") -> Labeller:
+    """The network, trained on invented pages with a fixed seed. A title in the head is no main text.
+
+    `without`: a family that it must not see, for measuring what it makes of unknown layouts.
+    """
     r, data = random.Random(seed), []
+    names = [x for x in FAMILIES if x != without]
     for _ in range(pages):
-        page, main = _page(r)
+        page, main = _page(r, r.choices(names, [FAMILIES[x] for x in names])[0])
         found = blocks(page)
         if found:
             data.append((vectors(found), np.array([b.text in main and not b.titled for b in found], np.float32)))
@@ -371,7 +427,7 @@ def main_texts(pages: list[str], net: Labeller) -> list[str]:
         while end < len(order) and (end - at + 1) * len(found[order[end]]) <= 4000:
             end += 1
         part = order[at:end]
-        p = net.forward(*_padded([vectors(found[i]) for i in part]))
+        p = net.labels(*_padded([net.projected(found[i]) for i in part]))
         for k, i in enumerate(part):
             out[i] = "\n".join([b.text for b, q in zip(found[i], p[:, k].tolist(), strict=False) if q >= 0.5])
         at = end
@@ -394,7 +450,8 @@ def extract(pages: DataFrame, net: Labeller | None = None) -> DataFrame:
     """page_id, url, text, n_chars for every row of `pages` (page_id, url, html), from the whole html.
 
     A narrow stage. Null or empty html and pages without main text give an empty text. Null page_id and url
-    stay; repeated rows each have their row. Empty table: no rows. Other columns are not read.
+    stay; repeated rows each have their row. A very long page is read whole; its memory grows with its blocks, about
+    1 kB each. Empty table: no rows. Other columns are not read.
     """
     ship(pages.sparkSession)
     return mapped(pages.select("page_id", "url", "html"), _extractor(net or labeller()), "page_id long, url string, text string, n_chars long")
