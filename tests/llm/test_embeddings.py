@@ -75,3 +75,42 @@ def test_odd_rows(spark):
 def test_one_id_with_two_vectors_is_one_member(spark):
     got = K.near_vectors(frame(spark, [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 2.0]), (3, [-1.0, -1.0])])).collect()
     assert {(r.vec_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 3)}
+
+
+def test_recall_beside_the_large_table(spark):
+    """The table's vectors with planted neighbours just above the cosine, all links by brute force."""
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()]
+    v = np.array([x for _, x in rows[:1500]], np.float64)
+    v /= np.sqrt(np.square(v).sum(axis=1, keepdims=True))
+    r = np.random.default_rng(3)
+    w = r.normal(size=v.shape)
+    w -= (v * w).sum(axis=1, keepdims=True) * v
+    c = 0.9001 + 0.05 * r.random((len(v), 1)) ** 2
+    near = c * v + np.sqrt(1 - c * c) * w / np.sqrt(np.square(w).sum(axis=1, keepdims=True))
+    rows += [(10**6 + i, x) for i, x in enumerate(near.astype(np.float32).tolist())]
+    all_ = np.array([x for _, x in rows], np.float64)
+    all_ /= np.sqrt(np.square(all_).sum(axis=1, keepdims=True))
+    links = (all_ @ all_.T >= 0.9).sum(axis=1) - 1
+    want = {i: int(n) for (i, _), n in zip(rows, links, strict=True)}
+    got = {x.vec_id: x.n_links for x in K.near_vectors(frame(spark, rows)).collect()}
+    assert got.keys() == want.keys() and all(got[i] <= want[i] for i in want)
+    assert sum(got.values()) >= 0.995 * sum(want.values()) > 2000
+
+
+def test_plan_follows_the_number_of_vectors():
+    for n, cosine in ((10, 0.9), (50_000, 0.9), (10**9, 0.9), (10**6, 0.8)):
+        bits, tables = K.plan(n, cosine)
+        p = (1 - np.arccos(cosine) / np.pi) ** bits
+        assert (1 - p) ** tables <= K.MISS and (bits == 6 or n / 2**bits <= K.STRANGERS)
+
+
+def test_sketches_keep_partners():
+    r = np.random.default_rng(4)
+    a = r.normal(size=(4000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = r.normal(size=a.shape)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.9 * a + np.sqrt(1 - 0.81) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    g = K.planes(64, 6, 14)[:, : K.SKETCH]
+    far = ((a @ g > 0) != (b @ g > 0)).sum(axis=1)
+    assert (far > K.sketch_limit()).sum() <= 2 and (((a @ g > 0) != (a[::-1] @ g > 0)).sum(axis=1) <= K.sketch_limit()).sum() == 0
