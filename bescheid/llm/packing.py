@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 import struct
@@ -44,23 +45,41 @@ def _parts(text: str) -> list[str] | None:
     return None if "<|" in text else _SPLIT.findall(text.lower())
 
 
+#: The normalizer and splitter that `_parts` follows, as the tokenizers library writes them.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def _in_parts(spec: dict) -> bool:
+    """Whether a tokenizer's texts may be encoded part by part: it has the known normalizer and splitter, and added tokens open with "<|"."""
+    return spec["normalizer"] == _NORMALIZER and spec["pre_tokenizer"] == _SPLITTER and not spec["model"].get("dropout") and all(t["content"].startswith("<|") for t in spec["added_tokens"])
+
+
 def encoder(path: str):
     """A function from a list of texts to the little-endian uint32 ids of each, as `tokenizers` gives them.
 
-    The vocabulary composes, lowers and splits a text, then encodes part by part; parts repeat, so their ids
-    are kept in a bounded table. A text beyond Latin-1, or with what can open a control word, is encoded whole.
+    Where the file's normalizer and splitter are the known ones, a text is composed, lowered and split here and
+    encoded part by part; parts repeat, so their ids are kept in a bounded table. A text beyond Latin-1, or with
+    what can open a control word, and any text of another tokenizer is encoded whole by the library.
     """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _held:
         from tokenizers import Tokenizer
 
-        _held[path] = (Tokenizer.from_file(path), {})
-    tok, known = _held[path]
+        tok = Tokenizer.from_file(path)
+        _held[path] = (tok, {}, _in_parts(json.loads(tok.to_str())))
+    tok, known, in_parts = _held[path]
 
     def encode(texts: list[str]) -> list[bytes]:
         if len(known) > CACHE:
             known.clear()
-        split = [_parts(t) for t in texts]
+        split = [_parts(t) if in_parts else None for t in texts]
         new = list(set().union(*[x for x in split if x]).difference(known))
         for i in range(0, len(new), 20_000):
             part = new[i : i + 20_000]
@@ -124,7 +143,7 @@ def pieces(n: int, window: int = WINDOW, piece: int = PIECE) -> list[tuple[int,
     return out
 
 
-def _packer(path: str, window: int, piece: int, group: int):
+def _packer(path: str, window: int, piece: int, group: int, end: int):
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(path)
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 32
@@ -144,13 +163,13 @@ def _packer(path: str, window: int, piece: int, group: int):
             doc, *rest = zip(*out, strict=True)
             return pd.DataFrame({"doc_id": pd.array(doc, "Int64"), **dict(zip(NUMBERS, (np.array(x, np.int64) for x in rest), strict=True))})
 
-        end = np.array([END], "<u4").tobytes()
+        last = np.array([end], "<u4").tobytes()
         for batch in batches:
             texts, names = strings(batch["text"]), batch["doc_id"].tolist()
             for at in range(0, len(texts), 500):
                 done = []
                 for doc, ids in zip(names[at : at + 500], encode(texts[at : at + 500]), strict=True):
-                    view = memoryview(ids + end)
+                    view = memoryview(ids + last)
                     n = len(view) // 4
                     doc = whole(doc)
                     for s, m in pieces(n, window, piece):
@@ -171,17 +190,18 @@ def _packer(path: str, window: int, piece: int, group: int):
     return pack
 
 
-def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, piece: int = PIECE, group: int = GROUP) -> DataFrame:
+def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, piece: int = PIECE, group: int = GROUP, end: int = END) -> DataFrame:
     """Every id of every document of `docs` (doc_id, text) in exactly one piece of one window.
 
     A narrow stage: each task tokenizes its rows, differences about `group` windows of pieces at a time and
     emits them, so nothing is shuffled, memory is bounded by a group, and a lost task is simply run again with
     the same result. sequence_id is the task's number and a count within it. A task's last group may be
     smaller; it has at most one window not near full. Null text: empty (the end id alone). Null doc_id: kept.
-    Repeated rows: each packed on its own. Empty table: no rows. Other columns are not read.
+    Repeated rows: each packed on its own. A very long text is tokenized whole; its ids are held while its pieces are
+    cut. Empty table: no rows. Other columns are not read. `end` is the id put after each document.
     """
     ship(docs.sparkSession)
-    return mapped(docs.select("doc_id", "text"), _packer(path or public_tokenizers.path("word_bpe_49k.json"), window, piece, group), SCHEMA)
+    return mapped(docs.select("doc_id", "text"), _packer(path or public_tokenizers.path("word_bpe_49k.json"), window, piece, group, end), SCHEMA)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,16 @@ CACHE = 800_000
 _held: dict[str, Pieces] = {}
 
 
+def check_format(model: bytes) -> None:
+    """Refuse a model whose texts are prepared otherwise than here: not as they are, with spaces as marks and one before."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    m = sentencepiece_model_pb2.ModelProto.FromString(model)
+    n = m.normalizer_spec
+    if n.precompiled_charsmap or n.remove_extra_whitespaces or not n.add_dummy_prefix or not n.escape_whitespaces or m.trainer_spec.treat_whitespace_as_suffix or any(p.type == p.USER_DEFINED for p in m.pieces):
+        raise ValueError("the model normalizes texts, treats spaces in another way, or has pieces of the user's")
+
+
 class Pieces:
     """A vocabulary with scores. Encoding takes the segmentation of the highest total score."""
 
@@ -52,6 +62,7 @@ class Pieces:
             import sentencepiece
 
             m = sentencepiece.SentencePieceProcessor(model_file=path)
+            check_format(m.serialized_model_proto())
             n = m.vocab_size()
             kind = lambda i: "unknown" if m.is_unknown(i) else "byte" if m.is_byte(i) else "other" if m.is_control(i) or m.is_unused(i) else "normal"
             _held[path] = cls([m.id_to_piece(i) for i in range(n)], [m.get_score(i) for i in range(n)], [kind(i) for i in range(n)])
@@ -167,7 +178,8 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, ids (little-endian uint32), n_bytes (ids of the byte fallback), score of `docs` (doc_id, text).
 
     A narrow stage over whole texts. Null and empty texts have no ids. Characters that are no piece become the
-    bytes of their UTF-8. A null doc_id and repeated rows stay. Other columns are not read.
+    bytes of their UTF-8. A null doc_id and repeated rows stay. A very long text takes time and memory in
+    proportion. Empty table: no rows. Other columns are not read. A model that normalizes texts is refused.
     """
     ship(docs.sparkSession)
     return mapped(docs.select("doc_id", "text"), _encoder(path or public_tokenizers.path("piece_bpe_32k.model")), "doc_id long, ids binary, n_bytes long, score double")
@@ -175,7 +187,9 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """`encoded` (doc_id, ids) with its text. Decoding what `encode` gave returns the text, but for U+2581,
-    which stands for a space in this format, and null, which returns empty."""
+    which stands for a space in this format, and null, which returns empty. Null ids give a null text, no ids an
+    empty one; null doc_ids, repeated rows and very long lists stay. Empty table: no rows. Other columns are not read.
+    """
     ship(encoded.sparkSession)
     return mapped(encoded.select("doc_id", "ids"), _decoder(path or public_tokenizers.path("piece_bpe_32k.model")), "doc_id long, ids binary, text string")
 

@@ -24,6 +24,16 @@ def test_encoder_equals_library(tok):
         assert tok.encode(t, add_special_tokens=False).ids == np.frombuffer(ids, "<u4").tolist(), repr(t)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_vocabulary_is_encoded_as_the_library_does(spark, name):
+    path = public_tokenizers.path(name)
+    own, texts = Tokenizer.from_file(path), ["Hello, World! It's 42 x", "", "  two  spaces\n\n", "Ünïcode é😀 <|endoftext|> don't", "a" * 5000]
+    got = K.encoder(path)(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [own.encode(t, add_special_tokens=False).ids for t in texts]
+    rows = K.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, end=7).collect()
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(own.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
 def check(rows, docs, tok):
     by = {}
     for r in rows:

@@ -171,6 +171,32 @@ def test_library_finds_no_better_pieces(spark, sf):
                 assert k.encode(w)[2] >= sum(m.get_score(i) for i in m.encode(w)) - 1e-6
 
 
+def test_models_of_another_format_are_refused():
+    from sentencepiece import sentencepiece_model_pb2
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        raw = f.read()
+    P.check_format(raw)
+    for name, value in (("remove_extra_whitespaces", True), ("add_dummy_prefix", False), ("precompiled_charsmap", b"x")):
+        m = sentencepiece_model_pb2.ModelProto.FromString(raw)
+        setattr(m.normalizer_spec, name, value)
+        with pytest.raises(ValueError):
+            P.check_format(m.SerializeToString())
+
+
+def test_pieces_query(spark, sf):
+    k = P.Pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = P.op4_sentencepiece(spark, sf).collect()
+    assert {r.doc_id for r in rows} == docs.keys() and len(rows) == len(docs)
+    for r in rows:
+        text = docs[r.doc_id]
+        assert r.decoded_crc32 == zlib.crc32(text.replace("▁", " ").encode())
+        if len(text) < 1500:  # the whole text at once, not cut at words
+            ids, score = k.viterbi("▁" + text.replace(" ", "▁")) if text else ([], 0.0)
+            assert (r.n_pieces, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) and r.score == pytest.approx(score)
+
+
 def plain(rows):
     out = {}
     for key, group in itertools.groupby(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")), key=lambda r: r[0]):
