@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -187,40 +190,64 @@ def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
 
     Edited: the last quarter (rounded down) of the code points gives way to the first as many of the next
     document by doc_id (after the last: the first; of one document alone: itself). Rows with one doc_id follow
-    each other by text; a null doc_id comes first; null text is empty. Empty table: no rows.
+    each other by a hash of their text, then the text; a null doc_id comes first; null text is empty. A very long
+    text is parsed whole, alone. Repeated rows each have their row. Empty table: no rows. Other columns are not read.
 
-    Texts move once, into ranges of doc_id whose bounds are approximate quantiles; only the first row of each
-    range (a bounded number) is also sent to the range before. Other columns are not read.
+    Texts move once, into ranges of doc_id of about the same number of bytes: fine ranges by approximate quantiles,
+    a doc_id that fills several of them split by the hash, then neighbours joined. Only the first row of each range
+    (a bounded number) is also sent to the range before.
     """
     spark = docs.sparkSession
     ship(spark)
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
     parts = ranges or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    probes = [(i + 1) / parts for i in range(parts - 1)]
-    bounds = docs.agg(F.percentile_approx("doc_id", F.lit(probes), F.lit(20 * parts))).first()[0] if probes else None
-    docs = docs.withColumn("part", _range_of(sorted(set(bounds or []))))
-    least = F.min(F.struct(F.col("doc_id").isNotNull().alias("there"), "doc_id"))["doc_id"]
-    firsts = sorted(((r["part"], r["doc_id"]) for r in docs.groupBy("part").agg(least.alias("doc_id")).collect()), key=lambda r: r[0])  # a row a range
-    if not firsts:
+    fine = 4 * parts
+    probes = [(i + 1) / fine for i in range(fine - 1)]
+    seen = docs.agg(F.percentile_approx("doc_id", F.lit(probes), F.lit(20 * fine)).alias("bounds"), F.avg(F.col("doc_id").isNull().cast("double")).alias("nulls")).first()
+    if seen["nulls"] is None:
         return spark.createDataFrame([], SCHEMA)
-    # each range's first doc_id and the range before it (the last one's for the first); as many rows as ranges
-    lead = spark.createDataFrame([(p, d, firsts[i - 1][0]) for i, (p, d) in enumerate(firsts)], "own int, lead long, before int")
-    of = (F.col("part") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("lead"))
-    # several rows may have that doc_id: the least text comes first
-    leads = docs.join(F.broadcast(lead), of).groupBy("before", "doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    rows = docs.select("part", "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.lit(False).alias("extra")).unionByName(leads.select(F.col("before").alias("part"), "doc_id", "text", F.lit(True).alias("extra")))
-    return mapped(rows.repartition("part").sortWithinPartitions("part", "extra", F.col("doc_id").asc_nulls_first(), "text"), _rows, SCHEMA)
-
+    docs = docs.withColumn("fine", _range_of(seen["bounds"] or [], math.ceil(seen["nulls"] * fine)))
+    sizes = sorted(docs.groupBy("fine").agg(F.sum(F.octet_length("text") + F.lit(1)).alias("bytes")).collect())  # a row a fine range
+    total, at, coarse = sum(r["bytes"] for r in sizes), 0, [0] * (sizes[-1]["fine"] + 1)
+    for r in sizes:
+        coarse[r["fine"]] = at * parts // total
+        at += r["bytes"]
+    docs = docs.withColumn("part", F.get(F.lit(coarse), F.col("fine"))).drop("fine")
+    first = F.min(F.struct(F.col("doc_id").isNotNull().alias("there"), "doc_id", "hash")).alias("x")
+    firsts = sorted(((r["part"], r["x"]["doc_id"], r["x"]["hash"]) for r in docs.groupBy("part").agg(first).collect()), key=lambda r: r[0])  # a row a range
+    # each range's first row and the range before it (the last one's for the first); as many rows as ranges
+    lead = spark.createDataFrame([(p, d, h, firsts[i - 1][0]) for i, (p, d, h) in enumerate(firsts)], "own int, lead long, lead_hash long, before int")
+    of = (F.col("part") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("lead")) & (F.col("hash") == F.col("lead_hash"))
+    leads = docs.join(F.broadcast(lead), of).groupBy("before", "doc_id", "hash").agg(F.min("text").alias("text"))
+    rows = docs.select("part", "doc_id", "hash", "text", F.lit(False).alias("extra")).unionByName(leads.select(F.col("before").alias("part"), "doc_id", "hash", "text", F.lit(True).alias("extra")))
+    ordered = rows.repartition("part").sortWithinPartitions("part", "extra", F.col("doc_id").asc_nulls_first(), "hash", "text")
+    return mapped(ordered.select("part", "doc_id", "text", "extra"), _rows, SCHEMA)
+
+
+def _range_of(bounds: list[int], nulls: int) -> Column:
+    """The number of a row's range among those between the bounds, in order of (doc_id, hash).
+
+    Nulls fill the first `nulls` ranges; a doc_id that is a bound several times has as many of its own. The bound at
+    or above a doc_id is looked up among every k-th of the different bounds, then among k.
+    """
+    def sub(of: Column) -> Column:
+        """Which of `of` equal ranges of the hash."""
+        return F.floor((F.shiftright("hash", 32).cast("double") + 2.0**31) / 2.0**32 * of).cast("int")
 
-def _range_of(bounds: list[int]) -> Column:
-    """How many bounds lie below doc_id (0 for null), looked up among every k-th bound, then among k."""
+    null = sub(F.lit(max(nulls, 1)))
     if not bounds:
-        return F.lit(0)
-    k = max(1, int(len(bounds) ** 0.5))
+        return null
+    many = Counter(bounds)
+    own = sorted(many)
+    room = [many[b] if many[b] > 1 else 0 for b in own]
+    start = [nulls + i + sum_ for i, sum_ in enumerate(itertools.accumulate([0, *room]))]
+    k = max(1, int(len(own) ** 0.5))
     below = lambda x: x < F.col("doc_id")
-    coarse = F.size(F.filter(F.lit(bounds[k - 1 :: k]), below))
-    fine = F.size(F.filter(F.get(F.lit([bounds[i : i + k] for i in range(0, len(bounds) + k, k)]), coarse), below))
-    return F.when(F.col("doc_id").isNull(), 0).otherwise(coarse * k + fine)
+    coarse = F.size(F.filter(F.lit(own[k - 1 :: k]), below))
+    at = coarse * k + F.size(F.filter(F.get(F.lit([own[i : i + k] for i in range(0, len(own) + k, k)]), coarse), below))
+    hot = F.when(F.get(F.lit(own), at) == F.col("doc_id"), F.get(F.lit(room), at)).otherwise(0)
+    inside = F.when(hot > 0, 1 + sub(hot)).otherwise(0)
+    return F.when(F.col("doc_id").isNull(), null).otherwise(F.get(F.lit(start), at) + inside)
 
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"

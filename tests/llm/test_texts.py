@@ -54,6 +54,22 @@ def test_fingerprint_odd_rows(spark, odd, none):
     assert K.fingerprints(odd.where("doc_id = 3")).first().near_next == 1
 
 
+def test_a_hot_id_and_nulls_are_dealt_to_many_tasks(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text number {i} " * (1 + i % 5)) for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = {r.text: r.h for r in df.selectExpr("text", "xxhash64(text) as h").collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, hashed[r[1]], r[1]))
+    texts = [t for _, t in order]
+    want = sorted((str(d), len(t), hashlib.sha256((t[: len(t) - len(t) // 4] + n[: len(t) // 4]).encode()).hexdigest()) for (d, t), n in zip(order, texts[1:] + texts[:1], strict=True))
+    made = K.fingerprints(df, 16)
+    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in made.collect()) == want
+    tasks = df.withColumn("hash", T.F.xxhash64("text")).select(K._range_of([7] * 20 + [100, 400], 20).alias("range"), "doc_id", "hash").collect()
+    for hot in (None, 7):
+        assert len({r["range"] for r in tasks if r.doc_id == hot}) >= 15
+    ends = [r["range"] for r in sorted(tasks, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.hash))]
+    assert ends == sorted(ends)
+
+
 def test_permutation():
     for n in (1, 2, 3, 5, 17, 1000, 4097):
         x = T.permute(np.arange(n), n)
