@@ -38,16 +38,24 @@ def ship(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH", ""), ROOT) if x)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors see.
+def base_dir(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors see, set as the checkpoint folder.
 
-    Only where the session names none (tests on one machine) a temporary folder is set.
+    Only where the session names none and runs on one machine (tests) it is a temporary one; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
         base = f"file://{tempfile.mkdtemp(prefix='bescheid-')}"
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The path of a new folder below `base_dir`."""
+    return f"{base_dir(spark)}/{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, few: bool = False) -> DataFrame:
@@ -55,11 +63,14 @@ def cut(df: DataFrame, few: bool = False) -> DataFrame:
 
     `few`: at most two files for each core of the cluster, for frames of ids that many shuffle partitions share.
     """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(base or f"file://{tempfile.mkdtemp(prefix='bescheid-')}")
-    return (df.coalesce(2 * spark.sparkContext.defaultParallelism) if few else df).checkpoint()
+    base_dir(df.sparkSession)
+    return (df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism) if few else df).checkpoint()
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to `path` to its end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
 _WHOLE = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}
