@@ -9,13 +9,17 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bescheid.llm import packing, quality, secret_scan, similar, simhash
-from bescheid.llm.common import shared_dir, table
+from bescheid.llm.common import finished, shared_dir, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the quality classifier accepts. It learns from the corpus's labels outside the held-out fold."""
+    """Rows that the quality classifier accepts. It learns from the corpus's labels outside the held-out fold.
+
+    Null and empty texts are scored as one empty line; very long ones whole; repeated rows alike. Columns of any name
+    stay as they are. Empty table: no rows.
+    """
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     # the work columns have names of their own, so that columns of `docs` stay as they are
     marked = quality.score(docs.select(F.struct(*docs.columns).alias("row"), "text"), model)
@@ -42,13 +46,16 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, with secrets in their texts replaced by a mark and n_chars counted anew."""
+    """All rows, with secrets in their texts replaced by a mark and n_chars, if there, counted anew (null for null).
+
+    Empty texts stay, very long ones are scanned whole, repeated rows stay. Empty table: no rows.
+    """
     out = secret_scan.redact(docs)
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all rows in windows of at most 4096 ids."""
+    """The pieces of all rows in windows of at most 4096 ids; see `packing.pack` for nulls, empty, very long and repeated texts."""
     return packing.pack(docs)
 
 
@@ -63,10 +70,15 @@ STAGES: list[tuple[str, Stage]] = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces that all stages leave of the documents of `sf_dir`; stages are kept in the shared folder."""
-    docs, base = table(spark, sf_dir, "documents"), shared_dir(spark)
+def run(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The pieces that all stages leave of the documents of `sf_dir`.
+
+    Stages are written to a new shared folder, or to `folder`: then those that an earlier run over the same tables
+    wrote there to the end are read, not run again. The folder may be removed once the result is used.
+    """
+    docs, base = table(spark, sf_dir, "documents"), folder or shared_dir(spark)
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        if not (folder and finished(spark, f"{base}/{name}")):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
