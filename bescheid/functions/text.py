@@ -132,3 +132,31 @@ def reason_code(seeded: Column, failures: Column) -> Column:
         .when(F.exists(v, lambda x: x.contains("SSL") | x.contains("certificate")), "SSL_BLOCKED")
         .otherwise("NO_MARKERS_FOUND")
     )
+
+
+# The character references by name that German pages use, besides numbers; the ampersand comes last.
+REFERENCES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "shy": "\u00ad", "auml": "ä", "ouml": "ö", "uuml": "ü", "Auml": "Ä", "Ouml": "Ö", "Uuml": "Ü", "szlig": "ß", "eacute": "é", "egrave": "è", "agrave": "à",
+    "ccedil": "ç", "ntilde": "ñ", "sect": "§", "para": "¶", "copy": "©", "reg": "®", "deg": "°", "sup2": "²", "sup3": "³", "middot": "·", "times": "×", "laquo": "«", "raquo": "»", "euro": "€", "ndash": "–", "mdash": "—", "bdquo": "„",
+    "ldquo": "“", "rdquo": "”", "lsquo": "‘", "rsquo": "’", "sbquo": "‚", "hellip": "…", "bull": "•", "amp": "&",
+}
+
+
+def decode_references(x: Column | str) -> Column:
+    """`x` with character references by name (REFERENCES) or number decoded, once; others stay as they are."""
+    x = col(x)
+    parts = F.split(x, "&#(?=[0-9]{1,8};|[xX][0-9a-fA-F]{1,7};)")
+
+    def char(n: Column) -> Column:
+        bad = (n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+        return F.when(bad, "\ufffd").otherwise(F.decode(F.unhex(F.lpad(F.hex(F.when(bad, 65).otherwise(n)), 8, "0")), "UTF-32"))
+
+    def numbered(p: Column, i: Column) -> Column:
+        name = F.substring_index(p, ";", 1)
+        n = F.when(F.lower(name).startswith("x"), F.conv(F.substr(name, F.lit(2)), 16, 10)).otherwise(name).try_cast("long")
+        return F.when(i == 0, p).otherwise(F.concat(char(n), F.substr(p, F.char_length(name) + 2)))
+
+    out = F.array_join(F.transform(parts, numbered), "")
+    for name, value in REFERENCES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(value))
+    return F.when(x.contains("&"), out).otherwise(x)

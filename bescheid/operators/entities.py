@@ -24,35 +24,64 @@ def signatures(df: DataFrame) -> DataFrame:
     })
 
 
+def similar_titles(titles: DataFrame, least: float = 0.5, key: str = "municipality_key") -> DataFrame:
+    """Pairs (key, a, b, similarity) of different signatures `s` of one key with a Jaccard similarity of at least `least`.
+
+    Exact by prefixes: with each title's words in order of rarity, two such titles share one of their first
+    n - ceil(least * n) + 1. So a frequent word, being last, brings no titles together.
+    """
+    w = titles.select(key, "s", F.filter(F.array_distinct(F.split("s", " ")), lambda x: x != "").alias("ws"))
+    words = w.select(key, "s", F.explode("ws").alias("word"))
+    rare = words.join(words.groupBy("word").agg(F.count("*").alias("n")), "word").groupBy(key, "s").agg(F.sort_array(F.collect_list(F.struct("n", "word"))).alias("order"))
+    size = F.size("order")
+    head = rare.select(key, "s", F.transform("order", lambda x: x["word"]).alias("ws"), size.alias("n"), F.explode(F.slice("order", F.lit(1), size - F.ceil(size * least).cast("int") + 1)).alias("x")).select(key, "s", "ws", "n", "x.word")
+    a, b = (head.select(key, "word", F.col("s").alias(x), F.col("ws").alias(f"w{x}"), F.col("n").alias(f"n{x}")) for x in "ab")
+    # sizes alone rule many pairs out
+    met = a.join(b, [key, "word"]).where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= least * F.greatest("na", "nb"))).dropDuplicates([key, "a", "b"])
+    both = F.size(F.array_intersect("wa", "wb"))
+    return met.select(key, "a", "b", (both / (F.col("na") + F.col("nb") - both)).alias("similarity")).where(F.col("similarity") >= least)
+
+
 class Fold:
     """The projects of one municipality so far. `link` takes procedures in order.
 
     A procedure joins the first project whose place contains its parcel, else the first whose name contains its
     plan, else the first of its developer (among fifty with one); else it founds a project. Later links do not
-    change a project, so the state grows with the projects, not with the procedures.
+    change a project, so the state grows with the projects, not with the procedures. A token's first project never
+    changes once found, and a token without one looks only at the projects founded since: work grows with the
+    different tokens, not with the rows.
     """
 
     def __init__(self) -> None:
-        self.projects: list[tuple[str, str | None, str | None]] = []
-        self.developers: list[tuple[str, str]] = []
+        self.projects: list[str] = []
+        self.places: list[str | None] = []
+        self.names: list[str | None] = []
+        self.developers: dict[str, str] = {}
+        self.counted = 0
+        #: (kind, token): (number of its first project or None, projects looked at)
+        self.known: dict[tuple[str, str], tuple[int | None, int]] = {}
+
+    def _first(self, kind: str, token: str, values: list[str | None]) -> int | None:
+        found, seen = self.known.get((kind, token), (None, 0))
+        if found is None:
+            found = next((i for i in range(seen, len(values)) if (v := values[i]) and token in v), None)
+            self.known[kind, token] = found, len(values)
+        return found
 
     def link(self, pid, plan, parcel, developer, words, title, place, company, kind) -> tuple[str, float, str]:
-        if parcel:
-            for p in self.projects:
-                if p[1] and parcel in p[1]:
-                    return p[0], 0.95, "PARCEL_MATCH"
-        if plan:
-            for p in self.projects:
-                if p[2] and plan in p[2]:
-                    return p[0], 0.9, "PLAN_TOKEN_MATCH"
-        if developer and words:
-            for project, name in self.developers:
-                if name == developer:
-                    return project, 0.8, "DEV+TITLE_MATCH"
+        if parcel and (i := self._first("parcel", parcel, self.places)) is not None:
+            return self.projects[i], 0.95, "PARCEL_MATCH"
+        if plan and (i := self._first("plan", plan, self.names)) is not None:
+            return self.projects[i], 0.9, "PLAN_TOKEN_MATCH"
+        if developer and words and developer in self.developers:
+            return self.developers[developer], 0.8, "DEV+TITLE_MATCH"
         project = f"project-{pid}"
-        self.projects.append((project, parcel or place, f"B-Plan {plan}" if plan else title or None))
-        if company and developer and len(self.developers) < 50:
-            self.developers.append((project, developer))
+        self.projects.append(project)
+        self.places.append(parcel or place)
+        self.names.append(f"B-Plan {plan}" if plan else title or None)
+        if company and developer and self.counted < 50:
+            self.counted += 1
+            self.developers.setdefault(developer, project)
         return (project, 0.85, "PERMIT_36_NEW") if kind == "PERMIT_36_EINVERNEHMEN" else (project, 1.0, "NEW_PROJECT")
 
 
@@ -75,7 +104,7 @@ def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if key != at:
                 at, state = key, Fold()
             row = [None if pd.isna(v) else v for v in row]
-            out.append((key, int(row[0]), *state.link(*row)))
+            out.append((key, row[0], *state.link(*row)))
         yield pd.DataFrame(out, columns=["municipality_key", "procedure_id", "project_id", "link_confidence", "link_reason"])
 
 
@@ -83,10 +112,12 @@ def link(procedures: DataFrame) -> DataFrame:
     """Procedure to project links.
 
     The order (seen, doc_id) decides within a municipality, so municipalities run in parallel and each is streamed
-    in order through one task, which keeps its projects and not its rows.
+    in order through one task, which keeps its projects and not its rows. A null doc_id keeps its row.
     """
-    rows = procedures.select("municipality_key", "seen", *_FIELDS).repartition("municipality_key")
-    return rows.sortWithinPartitions("municipality_key", F.col("seen").asc_nulls_first(), "doc_id").mapInPandas(_stream, LINK_SCHEMA)
+    rows = procedures.select("municipality_key", "seen", *_FIELDS).repartition("municipality_key").sortWithinPartitions("municipality_key", F.col("seen").asc_nulls_first(), "doc_id")
+    # ids travel as text: beside nulls Python would see them as floating point
+    linked = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(_stream, LINK_SCHEMA.replace("procedure_id long", "procedure_id string"))
+    return linked.withColumn("procedure_id", F.col("procedure_id").cast("long"))
 
 
 def link_by_key(procedures: DataFrame) -> DataFrame:
@@ -109,23 +140,26 @@ def stage(types: Column) -> Column:
 def rollup(procedures: DataFrame, key: str = "project_id") -> DataFrame:
     """Best values of each project from its procedures, in order of (seen, doc_id).
 
-    Names: the longest title with a plan word, else the longest; the first of equals. Developer: the most
-    frequent, the first seen of equals. Legal basis: §35 before §34 before §36, else the first.
+    Name: the first plan token as "B-Plan token", else the longest title with a plan word, else the longest. Place: the
+    first parcel token, else the longest location. Of equals the first. Developer: the most frequent, the first
+    seen of equals. Legal basis: §35 before §34 before §36, else the first. Dates: `seen`, or the day of
+    `created_at`, if there, where it is null. Aggregations only: a project's rows are combined before they move.
     """
-    place = F.struct(F.coalesce(F.col("seen"), F.lit("1900-01-01").cast("date")).alias("s"), F.col("doc_id").alias("d"))
-    p = procedures.withColumn("_at", F.row_number().over(W.partitionBy(key).orderBy(place)))
+    day = F.coalesce("seen", F.to_date("created_at")) if "created_at" in procedures.columns else F.col("seen")
+    p = procedures.withColumn("_at", F.struct(F.coalesce(F.col("seen"), F.lit("1900-01-01").cast("date")).alias("s"), F.col("doc_id").alias("d")))
     low = F.lower("title")
     plan = low.contains("bebauungsplan") | low.contains("b-plan") | low.contains("plan")
-    longest = lambda c, cond=None: F.max_by(c, F.when((F.col(c) != "") & (cond if cond is not None else F.lit(True)), F.struct(F.char_length(c), -F.col("_at"))))
+    longest = lambda c, cond=None: F.min_by(c, F.when((F.col(c) != "") & (cond if cond is not None else F.lit(True)), F.struct(-F.char_length(c), F.col("_at"))))
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull() & (F.col(c) != ""), F.col("_at")))
     devs = p.where("company is not null and company != ''").groupBy(key, "company").agg(F.count("*").alias("n"), F.min("_at").alias("first"))
-    best_dev = devs.groupBy(key).agg(F.max_by("company", F.struct("n", -F.col("first"))).alias("developer_company_best"))
+    best_dev = devs.groupBy(key).agg(F.min_by("company", F.struct(-F.col("n"), F.col("first"))).alias("developer_company_best"))
     bases = F.collect_set("legal_basis")
     out = p.groupBy(key).agg(
-        F.coalesce(longest("title", plan), longest("title")).alias("canonical_project_name"), longest("location").alias("site_location_best"),
+        F.coalesce(F.concat(F.lit("B-Plan "), first("plan_token")), longest("title", plan), longest("title")).alias("canonical_project_name"),
+        F.coalesce(first("parcel_token"), longest("location")).alias("site_location_best"),
         F.max("capacity_mw").alias("capacity_mw_best"), F.max("capacity_mwh").alias("capacity_mwh_best"), F.max("area_hectares").alias("area_hectares_best"),
-        F.when(F.array_contains(bases, "§35"), "§35").when(F.array_contains(bases, "§34"), "§34").when(F.array_contains(bases, "§36"), "§36")
-        .otherwise(F.min_by("legal_basis", F.when(F.col("legal_basis").isNotNull(), F.col("_at")))).alias("legal_basis_best"),
-        F.min("seen").alias("first_seen_date"), F.max("seen").alias("last_seen_date"), F.greatest(F.lit(0.0), F.max("confidence_score")).alias("max_confidence"),
+        F.when(F.array_contains(bases, "§35"), "§35").when(F.array_contains(bases, "§34"), "§34").when(F.array_contains(bases, "§36"), "§36").otherwise(first("legal_basis")).alias("legal_basis_best"),
+        F.min(day).alias("first_seen_date"), F.max(day).alias("last_seen_date"), F.greatest(F.lit(0.0), F.max("confidence_score")).alias("max_confidence"),
         F.coalesce(F.bool_or("review_recommended"), F.lit(False)).alias("needs_review"), stage(F.collect_set("procedure_type")).alias("maturity_stage"), F.count("*").alias("procedures"),
     )
     return out.join(best_dev, key, "left")

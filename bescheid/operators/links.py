@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-ANCHOR = r"<a\s[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>"
+from ..functions.text import decode_references
+
+#: An anchor with its address in double, single or no quotes (groups 1 to 3), among attributes in any order; group 4
+#: is its inside, up to its end, the next anchor or the page's end.
+ANCHOR = r"""<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))[^>]*>([^<]*+(?:<(?!/a>|a\s)[^<]*+)*+)"""
 
 # Words in link texts and addresses that decide what is harvested, and guessed paths.
 SECTION_TERMS = [
@@ -48,17 +48,22 @@ URL_PATTERNS = {
 def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per link of `pages` (key, url, html): key, url, pos (from 1), href, text without tags.
 
-    Expressions only: all anchors are cut out by one pattern and exploded.
+    Expressions only: all anchors are cut out by one pattern and exploded. Character references are decoded.
     """
     whole = F.regexp_extract_all("html", F.lit("(?is)" + ANCHOR), F.lit(0))
     cut = lambda x, g: F.regexp_extract(x, "(?is)" + ANCHOR, g)
-    out = pages.select(key, "url", F.posexplode(whole).alias("p", "a"))
-    text = F.trim(F.regexp_replace(F.regexp_replace(cut(F.col("a"), 2), "<[^>]*>", " "), r"\s+", " "))
-    return out.select(key, "url", (F.col("p") + 1).alias("pos"), cut(F.col("a"), 1).alias("href"), text.alias("text"))
+    out = pages.select(*dict.fromkeys((key, "url")), F.posexplode(whole).alias("p", "a"))
+    text = F.trim(F.regexp_replace(decode_references(F.regexp_replace(cut(F.col("a"), 4), "<[^>]*>", " ")), r"[\s\u00a0]+", " "))
+    href = decode_references(F.concat(*[cut(F.col("a"), g) for g in (1, 2, 3)]))
+    return out.select(*dict.fromkeys((key, "url")), (F.col("p") + 1).alias("pos"), href.alias("href"), text.alias("text"))
 
 
-LINKS_SQL = """l AS (SELECT page_id, url, pos, regexp_extract(a, '{p}', 1, 'is') AS href, trim(regexp_replace(regexp_replace(regexp_extract(a, '{p}', 2, 'is'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS text
-  FROM (SELECT page_id, url, unnest(x) AS a, generate_subscripts(x, 1) AS pos FROM (SELECT page_id, url, regexp_extract_all(html, '{p}', 0, 'is') AS x FROM pg)))""".replace("{p}", ANCHOR.replace('\\"', '"'))
+#: The same in DuckDB, by splitting at anchors; it decodes the references that the tables hold.
+LINKS_SQL = r"""pieces AS (SELECT page_id, url, unnest(x) AS p, generate_subscripts(x, 1) AS n FROM (SELECT page_id, url, string_split_regex(html, '(?i)<a\s') AS x FROM pg)),
+valued AS (SELECT page_id, url, n, p, regexp_extract(' ' || regexp_extract(p, '^[^>]*'), '(?i)\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"'']+)', 1) AS v FROM pieces WHERE n > 1 AND contains(p, '>')),
+l AS (SELECT page_id, url, row_number() OVER (PARTITION BY page_id, url ORDER BY n) AS pos, replace(CASE WHEN left(v, 1) IN ('"', '''') THEN v[2:-2] ELSE v END, '&amp;', '&') AS href,
+  trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(string_split_regex(regexp_extract(p, '(?s)^[^>]*>(.*)$', 1), '(?i)</a>')[1], '<[^>]*>', ' ', 'g'), '&sect;', '§'), '&#167;', '§'), '&#xA7;', '§'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')) AS text
+  FROM valued WHERE v <> '')"""
 
 
 def any_term(x: Column, terms: list[str]) -> Column:
@@ -68,6 +73,13 @@ def any_term(x: Column, terms: list[str]) -> Column:
     return out
 
 
+def any_end(x: Column, ends: list[str]) -> Column:
+    out = F.lit(False)
+    for e in ends:
+        out = out | x.endswith(e)
+    return out
+
+
 def by_term(found: DataFrame, terms: list[str], where: str = "both") -> DataFrame:
     """Links whose text, address or either holds a term."""
     x = {"text": F.lower("text"), "href": F.lower("href"), "both": F.lower(F.concat_ws(" ", "text", "href"))}[where]
@@ -76,11 +88,7 @@ def by_term(found: DataFrame, terms: list[str], where: str = "both") -> DataFram
 
 def documents(found: DataFrame) -> DataFrame:
     """Links to files, by the ending of their path."""
-    path = F.lower(F.regexp_replace("href", r"[?#].*$", ""))
-    out = F.lit(False)
-    for e in DOCUMENT_ENDS:
-        out = out | path.endswith(e)
-    return found.where(out)
+    return found.where(any_end(F.lower(F.regexp_replace("href", r"[?#].*$", "")), DOCUMENT_ENDS))
 
 
 def first_per_address(found: DataFrame) -> DataFrame:
@@ -90,17 +98,31 @@ def first_per_address(found: DataFrame) -> DataFrame:
     return clean.withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
 
 
-@F.pandas_udf(StringType())
-def absolute(base: pd.Series, href: pd.Series) -> pd.Series:
-    """Addresses made absolute; null where they cannot be."""
-
-    def join(b: str | None, h: str | None) -> str | None:
-        try:
-            return urljoin(b, h) if b is not None and h is not None else None
-        except ValueError:
-            return None
-
-    return pd.Series([join(b, h) for b, h in zip(base, href, strict=True)], dtype=object)
+def _plain(path: Column) -> Column:
+    """A path without its dot segments."""
+    segments = F.split(path, "/")
+    drop = lambda acc: F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))
+    step = lambda acc, s: F.when(s == "..", drop(acc)).when(s == ".", acc).otherwise(F.concat(acc, F.array(s)))
+    kept = F.aggregate(segments, F.array().cast("array<string>"), step)
+    open_end = F.element_at(segments, -1).isin(".", "..")
+    return F.when(path.contains("/."), F.array_join(F.when(open_end, F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")).otherwise(path)
+
+
+def absolute(base: Column | str, href: Column | str) -> Column:
+    """Addresses made absolute against a page's own, without dot segments; null where either is null."""
+    base, h = (F.col(x) if isinstance(x, str) else x for x in (base, href))
+    scheme = r"[A-Za-z][A-Za-z0-9+.-]*:"
+    origin = F.regexp_extract(base, f"^(?:{scheme})?(?://[^/?#]*)?", 0)
+    path = F.regexp_extract(base, f"^(?:{scheme})?(?://[^/?#]*)?([^?#]*)", 1)
+    own, rest = F.regexp_extract(h, "^[^?#]*", 0), F.regexp_extract(h, r"(?s)[?#].*$", 0)
+    folder = F.when(path == "", "/").otherwise(F.regexp_extract(path, "(?s)^(?:.*/)?", 0))
+    return (
+        F.when(base.isNull() | h.isNull(), None).when(h == "", base).when(h.rlike(f"^{scheme}"), h)
+        .when(h.startswith("//"), F.concat(F.regexp_extract(base, f"^{scheme}", 0), h))
+        .when(h.startswith("/"), F.concat(origin, _plain(own), rest))
+        .when(h.startswith("?"), F.concat(origin, path, h)).when(h.startswith("#"), F.concat(F.regexp_extract(base, "^[^#]*", 0), h))
+        .otherwise(F.concat(origin, _plain(F.concat(folder, own)), rest))
+    )
 
 
 def same_host(a: Column, b: Column) -> Column:
@@ -138,17 +160,19 @@ def candidates(seeds: DataFrame, patterns: list[str], pages: DataFrame, marker:
     return tried.join(good, "url").groupBy("key").agg(F.min_by("url", "n").alias("url"))
 
 
-def until_old(rows: DataFrame, key: str, order: str, day: str, cutoff: str, run: int = 3) -> DataFrame:
+def until_old(rows: DataFrame, key: str | list[str], order: str, day: str, cutoff: str, run: int = 3) -> DataFrame:
     """Rows of each key in order, up to the row that completes `run` consecutive days before `cutoff`.
 
-    That row and all later ones go; the first old rows stay; an undated row breaks the run.
+    That row and all later ones go; the first old rows stay; an undated row breaks the run. One window looks at the
+    `run` - 1 rows before each; a key's first stop is then a pre-aggregated minimum.
     """
-    w = W.partitionBy(key).orderBy(order)
+    keys = [key] if isinstance(key, str) else key
+    w = W.partitionBy(*keys).orderBy(order)
     old = F.coalesce(F.col(day) < F.lit(cutoff).cast("date"), F.lit(False))
-    x = rows.withColumn("_old", old).withColumn("_block", F.sum(F.when(F.col("_old"), 0).otherwise(1)).over(w))
-    x = x.withColumn("_run", F.sum(F.col("_old").cast("int")).over(W.partitionBy(key, "_block").orderBy(order)))
-    x = x.withColumn("_stop", F.max((F.col("_run") >= run).cast("int")).over(w))
-    return x.where("_stop = 0").drop("_old", "_block", "_run", "_stop")
+    x = rows.withColumn("_old", old.cast("int"))
+    x = x.withColumn("_run", F.sum("_old").over(w.rowsBetween(1 - run, 0)))
+    stop = F.min(F.when(F.col("_run") == run, F.col(order))).over(W.partitionBy(*keys))
+    return x.withColumn("_stop", stop).where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).drop("_old", "_run", "_stop")
 
 
 def typed_links(found: DataFrame) -> DataFrame:
@@ -190,7 +214,12 @@ def gazette_items(pages: DataFrame, found: DataFrame) -> DataFrame:
     return pdfs.unionByName(own)
 
 
+def heading_of(html: Column | str, tag: str) -> Column:
+    """The text of a page's first element of a kind, references decoded; null if there is none or it is empty."""
+    inside = F.regexp_extract(html, f"(?is)<{tag}[^>]*>(.*?)</{tag}>", 1)
+    return F.nullif(F.trim(decode_references(F.regexp_replace(inside, "<[^>]*>", ""))), F.lit(""))
+
+
 def heading(html: Column | str) -> Column:
     """A page's first heading, else its title."""
-    h = F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<h1[^>]*>(.*?)</h1>", 1), "<[^>]*>", ""))
-    return F.coalesce(F.nullif(h, F.lit("")), F.nullif(F.trim(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)), F.lit("")))
+    return F.coalesce(heading_of(html, "h1"), heading_of(html, "title"))

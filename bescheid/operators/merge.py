@@ -23,6 +23,26 @@ def first_wins(base: DataFrame, delta: DataFrame, key: list[str], order: str) ->
     return base.unionByName(new)
 
 
+# What a procedure seen again replaces, and what stays as it was first seen.
+PROCEDURE_REPLACED = [
+    "title_raw", "title_norm", "status", "grid_score", "bess_score", "confidence", "developer_company", "capacity_mw", "capacity_mwh", "area_hectares", "decision_date", "procedure_type", "legal_basis",
+    "project_components", "ambiguity_flag", "review_recommended", "site_location_raw", "evidence_snippets",
+]
+PROCEDURE_KEPT = ["instrument", "state", "county", "municipality", "municipality_key", "geometry", "bbox"]
+
+
+def upsert(base: DataFrame, delta: DataFrame, key: list[str], order: str, replaced: list[str]) -> DataFrame:
+    """Rows of both by key; where the base has the key, the delta's last row by `order` replaces the named columns only.
+
+    The delta's last row is a pre-aggregated maximum; the base is joined once and not ranked.
+    """
+    rest = [x for x in base.columns if x not in key]
+    last = delta.groupBy(*key).agg(F.max_by(F.struct(*rest), order).alias("_new"))
+    both = base.select(*key, F.struct(*rest).alias("_old")).join(last, key, "full_outer")
+    pick = lambda x: (F.when(F.col("_new").isNotNull(), F.col(f"_new.{x}")).otherwise(F.col(f"_old.{x}")) if x in replaced else F.when(F.col("_old").isNotNull(), F.col(f"_old.{x}")).otherwise(F.col(f"_new.{x}"))).alias(x)
+    return both.select(*key, *[pick(x) for x in rest])
+
+
 NEVER, EVER = "9999-12-31", "1900-01-01"
 
 

@@ -222,17 +222,16 @@ def title_signature(spark: SparkSession, d: str) -> DataFrame:
     return fx(spark, d).select("doc_id", G.title_signature(c("title")).alias("signature"))
 
 
-@query("title_jaccard_pairs", f"""WITH {FX}, t AS (SELECT DISTINCT municipality_key, {G.title_signature_sql()} AS s FROM fx), w AS (SELECT municipality_key, s, list_distinct(list_filter(string_split(s, ' '), lambda x: x <> '')) AS ws FROM t)
-SELECT a.municipality_key, a.s AS a, b.s AS b, round(len(list_intersect(a.ws, b.ws)) / (len(a.ws) + len(b.ws) - len(list_intersect(a.ws, b.ws))), 6) AS similarity FROM w a JOIN w b ON a.municipality_key = b.municipality_key AND a.s < b.s WHERE len(list_intersect(a.ws, b.ws)) / (len(a.ws) + len(b.ws) - len(list_intersect(a.ws, b.ws))) >= 0.2""")
+#: Titles with an ending by doc_id, so that similar ones occur.
+_VARIED = "title || CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN ' Bereich Nord' WHEN 2 THEN ' Bereich Nordost' WHEN 3 THEN ' Teilfläche Nord Bereich' ELSE ' Ergänzung' END"
+
+
+@query("title_jaccard_pairs", f"""WITH {FX}, v AS (SELECT municipality_key, {_VARIED} AS title FROM fx), t AS (SELECT DISTINCT municipality_key, {G.title_signature_sql()} AS s FROM v), w AS (SELECT municipality_key, s, list_distinct(list_filter(string_split(s, ' '), lambda x: x <> '')) AS ws FROM t)
+SELECT a.municipality_key, a.s AS a, b.s AS b, round(len(list_intersect(a.ws, b.ws)) / (len(a.ws) + len(b.ws) - len(list_intersect(a.ws, b.ws))), 6) AS similarity FROM w a JOIN w b ON a.municipality_key = b.municipality_key AND a.s < b.s WHERE len(list_intersect(a.ws, b.ws)) / (len(a.ws) + len(b.ws) - len(list_intersect(a.ws, b.ws))) >= 0.5""")
 def title_jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """Similar distinct titles of a municipality. Pairs meet through a shared word, so unlike titles never do."""
-    t = fx(spark, d).select("municipality_key", G.title_signature(c("title")).alias("s")).distinct()
-    w = t.withColumn("ws", F.filter(F.array_distinct(F.split("s", " ")), lambda x: x != "")).withColumn("word", F.explode("ws"))
-    b = w.select("municipality_key", "word", c("s").alias("b"), F.size("ws").alias("nb"))
-    a = w.select("municipality_key", "word", c("s").alias("a"), F.size("ws").alias("na"))
-    pairs = a.join(b, ["municipality_key", "word"]).where("a < b").groupBy("municipality_key", "a", "b").agg(F.count("*").alias("i"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    sim = c("i") / (c("na") + c("nb") - c("i"))
-    return pairs.where(sim >= 0.2).select("municipality_key", "a", "b", F.round(sim, 6).alias("similarity"))
+    """Similar distinct titles of a municipality."""
+    t = fx(spark, d).select("municipality_key", G.title_signature(F.expr(_VARIED)).alias("s")).distinct()
+    return E.similar_titles(t, 0.5).select("municipality_key", "a", "b", F.round("similarity", 6).alias("similarity"))
 
 
 _PLACE = "CASE n_nationkey % 6 WHEN 0 THEN n_name || ' (Oder)' WHEN 1 THEN 'Bad ' || n_name || '/Mark' WHEN 2 THEN n_name || ', St. Jürgen' WHEN 3 THEN '(' || n_name || ')' WHEN 4 THEN 'Groß_' || n_name || ' . ' ELSE '' END"
@@ -266,7 +265,8 @@ def reason_code(spark: SparkSession, d: str) -> DataFrame:
 
 
 _ADDED = """CASE page_id % 5 WHEN 0 THEN '<a href="/bekanntmachung/ausgabe-7.pdf?x=1">Amtsblatt <b>Ausgabe 7</b></a>' WHEN 1 THEN '<a class="t" href="https://sessionnet.example.org/si0100.asp#a">Sitzung</a><a href="/bekanntmachung/ausgabe-7.pdf#s">Bebauungsplan Nr. 3</a>'
-WHEN 2 THEN '<A HREF="/plan.PDF">B-Plan Auslegung</A><a href="/g1">Bauausschuss</a><a href="/s1">Sitzung am 3.4.2023</a>' WHEN 3 THEN '<a href="/s2">Sitzungstag 2022-12-01</a><a href="/s3">Datum 31-02-2024</a><a href="/vorlage/7">TOP 3 Energie</a><p>Bebauungsplan</p>' ELSE '' END"""
+WHEN 2 THEN '<A HREF="/plan.PDF">B-Plan Auslegung</A><a href="/g1">Bauausschuss</a><a href="/s1">Sitzung am 3.4.2023</a>' WHEN 3 THEN '<a href="/s2">Sitzungstag 2022-12-01</a><a href="/s3">Datum 31-02-2024</a><a href="/vorlage/7">TOP 3 Energie</a><p>Bebauungsplan</p>'
+ELSE '<a class=x href=''/amtsblatt/7?a=1&amp;b=2''>Amtsblatt &sect; 36, &#167; 35 &#xA7; 34 &amp;sect;</a><a href=/frei.html target=_blank>Verfahren &amp; Beteiligung</a><a href="/offen">Satzung <a data-href="/x" href = "/zu">Bebauungsplan</a><a name="kein">Anker</a>' END"""
 PG = f"pg AS (SELECT page_id, url, coalesce(html, '') || {_ADDED} AS html FROM pages)"
 
 
@@ -331,7 +331,7 @@ def gazette_items(spark: SparkSession, d: str) -> DataFrame:
     return L.gazette_items(pages, L.links(pages))
 
 
-@query("absolute_links")
+@query("absolute_links", f"WITH {PG}, {L.LINKS_SQL} SELECT page_id, CAST(pos AS INT) AS pos, CASE WHEN href LIKE '/%' THEN regexp_extract(url, '^[a-z]+://[^/?#]*') || href ELSE href END AS address FROM l")
 def absolute_links(spark: SparkSession, d: str) -> DataFrame:
     return _links(spark, d).select("page_id", "pos", L.absolute("url", "href").alias("address"))
 
@@ -454,14 +454,29 @@ def entity_link_keys(spark: SparkSession, d: str) -> DataFrame:
     return E.link_by_key(_procs(spark, d)).drop("k")
 
 
-@query("project_rollup", f"""WITH {CL}, p AS (SELECT *, municipality_key AS project_id, {G.capacity_sql()} AS capacity_mw, {G.area_sql()} AS area_hectares, row_number() OVER (PARTITION BY municipality_key ORDER BY coalesce(date_hint, DATE '1900-01-01'), doc_id) AS nth,
-contains(lower(title), 'plan') AS planned FROM c WHERE is_relevant)
-SELECT project_id, coalesce(arg_max(title, (length(title), -nth)) FILTER (planned), arg_max(title, (length(title), -nth))) AS canonical_project_name, round(max(capacity_mw), 6) AS capacity_mw_best, round(max(area_hectares), 6) AS area_hectares_best,
-CASE WHEN bool_or(legal_basis = '§35') THEN '§35' WHEN bool_or(legal_basis = '§34') THEN '§34' WHEN bool_or(legal_basis = '§36') THEN '§36' ELSE arg_min(legal_basis, nth) END AS legal_basis_best, min(date_hint) AS first_seen_date, max(date_hint) AS last_seen_date,
+_PLAN = G.plan_token_sql("title", "array_to_string(evidence_snippets[1:3], ' ')")
+
+
+@query("project_rollup", f"""WITH {CL}, q AS (SELECT *, municipality_key AS project_id, {G.capacity_sql()} AS capacity_mw, {G.capacity_sql(unit='MWh')} AS capacity_mwh, {G.area_sql()} AS area_hectares, {G.location_sql()} AS location, {_PLAN} AS plan_token,
+row_number() OVER (PARTITION BY municipality_key ORDER BY coalesce(date_hint, DATE '1900-01-01'), doc_id) AS nth, contains(lower(title), 'plan') AS planned, coalesce(date_hint, DATE '2022-01-01' + CAST(doc_id % 300 AS INT)) AS day FROM c WHERE is_relevant), p AS (SELECT *, {G.parcel_token_sql()} AS parcel_token FROM q)
+SELECT project_id, coalesce('B-Plan ' || arg_min(plan_token, nth) FILTER (plan_token <> ''), arg_max(title, (length(title), -nth)) FILTER (planned), arg_max(title, (length(title), -nth)) FILTER (title <> '')) AS canonical_project_name,
+coalesce(arg_min(parcel_token, nth) FILTER (parcel_token <> ''), arg_max(location, (length(location), -nth)) FILTER (location <> '')) AS site_location_best,
+round(max(capacity_mw), 6) AS capacity_mw_best, round(max(capacity_mwh), 6) AS capacity_mwh_best, round(max(area_hectares), 6) AS area_hectares_best,
+CASE WHEN bool_or(legal_basis = '§35') THEN '§35' WHEN bool_or(legal_basis = '§34') THEN '§34' WHEN bool_or(legal_basis = '§36') THEN '§36' ELSE arg_min(legal_basis, nth) END AS legal_basis_best, min(day) AS first_seen_date, max(day) AS last_seen_date,
+CASE WHEN bool_or(procedure_type = 'PERMIT_BAUGENEHMIGUNG') THEN 'BAUGENEHMIGUNG' WHEN bool_or(procedure_type = 'PERMIT_BAUVORBESCHEID') THEN 'BAUVORBESCHEID' WHEN bool_or(procedure_type = 'PERMIT_36_EINVERNEHMEN') THEN 'PERMIT_36' WHEN bool_or(procedure_type = 'BPLAN_SATZUNG') THEN 'BPLAN_SATZUNG'
+WHEN bool_or(procedure_type = 'BPLAN_AUSLEGUNG_3_2') THEN 'BPLAN_AUSLEGUNG' WHEN bool_or(procedure_type IN ('BPLAN_FRUEHZEITIG_3_1', 'BPLAN_AUFSTELLUNG')) THEN 'BPLAN_AUFSTELLUNG' ELSE 'DISCOVERED' END AS maturity_stage,
 round(max(confidence_score), 6) AS max_confidence, bool_or(review_recommended) AS needs_review, count(*) AS procedures FROM p GROUP BY 1""")
 def project_rollup(spark: SparkSession, d: str) -> DataFrame:
+    p = _procs(spark, d).withColumn("created_at", F.date_add(F.lit("2022-01-01").cast("date"), (c("doc_id") % 300).cast("int")).cast("timestamp"))
+    r = E.rollup(p.withColumn("project_id", c("municipality_key"))).drop("developer_company_best")
+    return r.withColumns({x: F.round(x, 6) for x in ("capacity_mw_best", "capacity_mwh_best", "area_hectares_best", "max_confidence")})
+
+
+@query("project_developers")
+def project_developers(spark: SparkSession, d: str) -> DataFrame:
+    """The developer of each project; company names have no SQL, so a test compares with plain Python."""
     r = E.rollup(_procs(spark, d).withColumn("project_id", c("municipality_key")))
-    return r.select("project_id", "canonical_project_name", F.round("capacity_mw_best", 6).alias("capacity_mw_best"), F.round("area_hectares_best", 6).alias("area_hectares_best"), "legal_basis_best", "first_seen_date", "last_seen_date", F.round("max_confidence", 6).alias("max_confidence"), "needs_review", "procedures")
+    return r.select("project_id", "developer_company_best")
 
 
 @query("maturity_stage", f"""WITH {CL}, g AS (SELECT municipality_key, discovery_source, list(DISTINCT procedure_type) AS t FROM c WHERE is_relevant GROUP BY 1, 2)
@@ -531,12 +546,12 @@ def window_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-@query("page_text", "SELECT page_id, sha256(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', '', 'g'), '<[^>]*>', chr(10), 'g'), '\\s*\\n\\s*', chr(10), 'g'), chr(10) || ' ')) AS text_sha256 FROM pages WHERE html IS NOT NULL")
+@query("page_text", r"SELECT page_id, sha256(trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', '', 'g'), '<[^>]*>', chr(10), 'g'), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s*\n\s*', chr(10), 'g'), chr(10) || ' ')) AS text_sha256 FROM pages WHERE html IS NOT NULL")
 def page_text(spark: SparkSession, d: str) -> DataFrame:
     return B.read(spark, d, "pages").where("html is not null").select("page_id", X.sha256(store.page_text("html")).alias("text_sha256"))
 
 
-@query("page_heads", "SELECT page_id, coalesce(nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')), ''), nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), '')) AS title FROM pages WHERE html IS NOT NULL")
+@query("page_heads", "SELECT page_id, replace(replace(replace(replace(coalesce(nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')), ''), nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), '')), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS title FROM pages WHERE html IS NOT NULL")
 def page_heads(spark: SparkSession, d: str) -> DataFrame:
     return B.read(spark, d, "pages").where("html is not null").select("page_id", L.heading("html").alias("title"))
 

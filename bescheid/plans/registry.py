@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import announcements, reports
+from . import announcements, discovery, reports
 from .base import Query
 
-QUERIES: dict[str, Query] = {**reports.BOOK.queries, **announcements.BOOK.queries}
-SQL: dict[str, str] = {**reports.BOOK.sql, **announcements.BOOK.sql}
+QUERIES: dict[str, Query] = {**reports.BOOK.queries, **announcements.BOOK.queries, **discovery.BOOK.queries}
+SQL: dict[str, str] = {**reports.BOOK.sql, **announcements.BOOK.sql, **discovery.BOOK.sql}

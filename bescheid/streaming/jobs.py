@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import merge, scoring
+from ..operators import scoring
 
 SOURCES = ("RIS", "GAZETTE", "MUNICIPAL_WEBSITE")
 JOB = "source string, municipality_key string, candidate_id string, mode string, title string, url string, discovery_source string"
@@ -42,9 +42,11 @@ def by_host(requests: DataFrame) -> DataFrame:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder that all executors see: below spark.checkpoint.dir, or a local one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='jobs-')}"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder that all executors see: below spark.checkpoint.dir, or a local one where a session on one machine names none."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors see")
+    return f"{(base or 'file://' + tempfile.mkdtemp(prefix='jobs-')).rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def intake(stream: DataFrame, table: str, checkpoint: str, mode: str = "fast"):
@@ -61,9 +63,9 @@ def intake(stream: DataFrame, table: str, checkpoint: str, mode: str = "fast"):
 
 
 def current(spark: SparkSession, table: str) -> DataFrame:
-    """The last state of each candidate."""
-    rows = spark.read.parquet(table).drop("n")
-    return merge.last_wins(rows.limit(0), rows, ["candidate_id"], "batch")
+    """The last state of each candidate: a pre-aggregated maximum over the batches."""
+    rows = spark.read.parquet(table)
+    return rows.groupBy("candidate_id").agg(F.max_by("status", "batch").alias("status"), F.max("batch").alias("batch"))
 
 
 def run_candidates(spark: SparkSession, announcements: DataFrame) -> DataFrame:
@@ -80,7 +82,12 @@ def run_candidates(spark: SparkSession, announcements: DataFrame) -> DataFrame:
 
 
 def daily_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Events by day and type, counted by a stream with a watermark and written in complete mode."""
+    """Events by day and type, counted by a stream in windows.
+
+    Update mode: the watermark frees the state of windows that are over, and a micro-batch writes only the windows
+    that it changed, to a folder of its own that a replay overwrites. A window's last count stands. Events later than
+    the watermark are not counted, as in any such stream; a bounded table read at once has none.
+    """
     base = work_folder(spark)
     folder, _, name = path.rpartition("/")
     schema = spark.read.parquet(path).schema
@@ -89,10 +96,11 @@ def daily_counts(spark: SparkSession, path: str) -> DataFrame:
     out = counts.select(F.col("w.start").alias("start"), "event_type", "n")
 
     def keep(df: DataFrame, number: int) -> None:
-        df.write.mode("overwrite").parquet(f"{base}/counts")
+        df.withColumn("batch", F.lit(number).cast("long")).write.mode("overwrite").parquet(f"{base}/counts/run={number}")
 
-    q = out.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    q = out.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return spark.read.parquet(f"{base}/counts").groupBy(F.col("start").cast("date").alias("day"), "event_type").agg(F.sum("n").alias("n"))
+    last = spark.read.parquet(f"{base}/counts").groupBy("start", "event_type").agg(F.max_by("n", "batch").alias("n"))
+    return last.groupBy(F.col("start").cast("date").alias("day"), "event_type").agg(F.sum("n").alias("n"))
