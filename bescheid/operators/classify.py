@@ -70,6 +70,7 @@ def legal_basis_sql(x: str = "comb") -> str:
     return "CASE " + " ".join(f"WHEN {any_sql(x, t)} THEN '{p}'" for p, t in BASES.items()) + " ELSE 'unknown' END"
 
 
+# Words beside which storage belongs to the grid.
 _GRID_CONTEXT = ("netz", "umspannwerk", "trafostation", "mittelspannung", "hochspannung")
 
 
@@ -83,6 +84,7 @@ def components_sql(x: str = "comb") -> str:
     return f"CASE WHEN {any_sql(x, ['photovoltaik', 'pv', 'solarpark'])} AND {store} THEN 'PV+BESS' WHEN {any_sql(x, ['windenergie', 'windpark'])} AND {store} THEN 'WIND+BESS' WHEN {store} THEN 'BESS_ONLY' ELSE 'OTHER/UNCLEAR' END"
 
 
+# Words that support a storage project; the weights and short lists of the rules below are fixed, too.
 _SUPPORT = ("umspannwerk", "netzanschluss", "trafostation", "mittelspannung", "hochspannung", "netzverknuepfungspunkt", "netzverknüpfungspunkt")
 
 

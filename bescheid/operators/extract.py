@@ -13,6 +13,7 @@ from pyspark.sql.types import DateType
 from ..functions import terms as T
 from ..functions.text import normalize
 
+# Patterns of quantities, areas, dates, companies and street or place words.
 _NUMBER = r"([0-9]+(?:[.,][0-9]+)?)\s*"
 QUANTITIES = {
     "MW": (_NUMBER + r"(?:mw|megawatt|m\.?w\.?)", _NUMBER + r"(?:kw|kilowatt|k\.?w\.?)"),
@@ -81,6 +82,7 @@ def dates_sql(text: str = "text") -> str:
     return f"list_concat(list_concat({out[0]}, {out[1]}), {out[2]})"
 
 
+# How dates near a decision are spelled.
 _SPELLED = [re.compile(p) for p in (r"(\d{1,2})\.\s*(\d{1,2})\.\s*(\d{4})", r"(\d{1,2})\.\s*(\d{1,2})\.\s*(\d{2})\b", r"(\d{1,2})[/-]\s*(\d{1,2})[/-]\s*(\d{4})")]
 
 
@@ -131,6 +133,7 @@ def developer(found: Column) -> Column:
     return F.nullif(F.array_join(F.slice(found, 1, 3), ", "), F.lit(""))
 
 
+# Patterns of parcels, streets and coordinates.
 LOCATION = (("Gemarkung", r"gemarkung\s+" + _WORDS), ("Flur", r"flur\s+([0-9]+)"), ("Flurstück", r"flurst(?:ue|ü)ck\s+([0-9]+[a-z]?)"), ("Straße", r"(?:strasse|straße|str\.)\s+" + _WORDS))
 _COORDINATES = r"([0-9]+[.,][0-9]+)\s*[°]?\s*[NSEW]?\s*[,/]\s*([0-9]+[.,][0-9]+)"
 
@@ -149,6 +152,7 @@ def location_sql(t: str = "nt") -> str:
     return f"nullif(concat_ws('; ', {', '.join(parts)}), '')"
 
 
+# Patterns of plan numbers and quoted names.
 PLAN = r"b(?:ebauungs)?-?plan\s*(?:nr\.?|nummer)?\s*([a-z0-9\-/]+)"
 QUOTED = "[„\"']([^„\"']{5,50})[„\"']"
 
@@ -167,6 +171,7 @@ def plan_token_sql(title: str = "title", text: str = "''") -> str:
     return f"coalesce(nullif(regexp_extract({x}, '{PLAN}', 1), ''), CASE WHEN contains({q}, 'plan') OR contains({q}, 'gebiet') OR contains({q}, 'bereich') OR contains({q}, 'vorhaben') THEN {q} END)"
 
 
+# Patterns of a parcel's parts.
 PARCEL = (("gemarkung", r"gemarkung\s*:?\s*([a-zäöüß\s-]+)"), ("flur", r"flur\s*:?\s*([0-9]+)"), ("flurstueck", r"flurst(?:ue|ü)ck\s*:?\s*([0-9]+[a-z]?)"))
 
 
@@ -181,6 +186,7 @@ def parcel_token_sql(loc: str = "location") -> str:
     return f"nullif(concat_ws(';', {parts}), '')"
 
 
+# Legal forms at a name's end.
 FORMS = r"\s+(gmbh|ag|ug|kg|gbr|e\.v\.|e\.k\.|ohg)\s*$"
 
 

@@ -107,6 +107,7 @@ def storage_plain_sql(text: str = "text") -> str:
     )
 
 
+# The words and weights of the rules below.
 def grid_score(text: Column) -> Column:
     """Sum of word weights, bonuses for a substation with a voltage and for renewables with a connection or
     feed-in; one generic word alone counts nothing."""
