@@ -73,6 +73,8 @@ def finished(spark: SparkSession, path: str) -> bool:
     return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
+#: Bytes of an Arrow batch that a step sees at once, about; so a worker's memory does not follow the batch size.
+PIECE = 2 << 20
 _WHOLE = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}
 
 
@@ -85,9 +87,12 @@ def mapped(df: DataFrame, step: Callable[[Iterator[pd.DataFrame]], Iterator[pd.D
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            holes = {c.type for c in b.columns if c.null_count}
-            yield b.to_pandas(types_mapper=lambda t, holes=holes: _WHOLE.get(t) if t in holes else None)
+        for whole_batch in batches:
+            rows = max(64, whole_batch.num_rows * PIECE // max(whole_batch.nbytes, 1))
+            for at in range(0, whole_batch.num_rows, rows):
+                b = whole_batch.slice(at, rows)
+                holes = {c.type for c in b.columns if c.null_count}
+                yield b.to_pandas(types_mapper=lambda t, holes=holes: _WHOLE.get(t) if t in holes else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in step(frames(batches)):
