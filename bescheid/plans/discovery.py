@@ -268,3 +268,9 @@ def stats_upsert(spark: SparkSession, d: str) -> DataFrame:
     x = B.read(spark, d, "events").select((c("user_id") % 5).alias("run_id"), (c("user_id") % 700).alias("job_id"), F.concat(F.lit("h"), _text(c("event_id"))).alias("domain"), c("event_id").alias("counts"), c("value").alias("timings"), (c("event_id") % 3 == 0).alias("old"), "event_id")
     base = x.where("old").groupBy("run_id", "job_id").agg(*[F.max_by(y, "event_id").alias(y) for y in ("domain", "counts", "timings")])
     return M.upsert(base, x.where("not old").drop("old"), ["run_id", "job_id"], "event_id", ["counts", "timings"])
+
+
+@query("request_schedule", "SELECT event_id AS e, CAST(CASE WHEN user_id % 3 = 0 THEN 10 ELSE 1 END * (row_number() OVER (PARTITION BY user_id % 3 ORDER BY event_id) - 1) AS DOUBLE) AS starts FROM events")
+def request_schedule(spark: SparkSession, d: str) -> DataFrame:
+    host = F.when(c("u") % 3 == 0, "geobasis-bb.de").when(c("u") % 3 == 1, "a.example").otherwise("b.example")
+    return A.paced(_events(spark, d).select("e", F.concat(F.lit("https://"), host, F.lit("/"), _text(c("e"))).alias("url")), "e").select("e", "starts")

@@ -301,3 +301,8 @@ def poll_delta(spark: SparkSession, d: str) -> DataFrame:
 @query("seed_listing", f"WITH {B.SEED_SQL} SELECT municipality_key, name, county, state FROM seed WHERE state = 'BB'")
 def seed_listing(spark: SparkSession, d: str) -> DataFrame:
     return B.seed(spark, d).where("state = 'BB'").select("municipality_key", "name", "county", "state").orderBy("name")
+
+
+@query("high_confidence_procedures", f"SELECT * FROM ({BOOK.sql['export_procedures']}) WHERE confidence = 'high'")
+def high_confidence_procedures(spark: SparkSession, d: str) -> DataFrame:
+    return export_procedures(spark, d).where("confidence = 'high'")

@@ -15,6 +15,8 @@ from ..functions.text import authority
 # Words of which a council system's page holds one; the most features of a layer.
 COUNCIL_MARKERS = ["sitzung", "gremium", "tagesordnung", "beschluss", "sessionnet", "ratsinformationssystem", "ris", "vorlage", "antrag"]
 MOST_FEATURES = 1000
+# Seconds between two requests to a host, and to those that ask for more.
+DELAY, DELAYS = 1.0, {"geobasis-bb.de": 10.0, "www.geobasis-bb.de": 10.0}
 
 
 def is_council_page(body: Column | str) -> Column:
@@ -115,3 +117,11 @@ def paged(batches: DataFrame, most: int = MOST_FEATURES) -> DataFrame:
     # sums and minima run over a layer's pages, at most `most` of which are read
     rows = x.where("whole = 1").select("layer", "start", F.posexplode("features").alias("at", "feature"))
     return rows.select("layer", (F.col("start") + F.col("at")).alias("place"), "feature").where(F.col("place") < most)
+
+
+def paced(requests: DataFrame, order: str = "url") -> DataFrame:
+    """Requests (url) with their host and the seconds after which each may start, one after another within a host."""
+    x = requests.withColumn("host", F.coalesce(authority("url"), F.lit("")))
+    delay = F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for kv in DELAYS.items() for v in kv]), F.col("host")), F.lit(DELAY))
+    place = F.row_number().over(W.partitionBy("host").orderBy(order)) - 1
+    return x.withColumn("starts", place * delay)

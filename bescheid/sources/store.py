@@ -81,6 +81,13 @@ def files(spark, path: str, most_bytes: int | None = None) -> DataFrame:
     return df.select("path", "length", F.sha2("content", 256).alias("sha256"), "content")
 
 
+def seeds(spark, path: str) -> DataFrame:
+    """municipality_key, name, county, state from a CSV list with a header; rows without a key or name are left out, of one key the first name stays."""
+    rows = spark.read.option("header", True).schema("municipality_key string, name string, county string, state string").csv(path)
+    known = rows.where("municipality_key is not null and name is not null")
+    return known.groupBy("municipality_key").agg(F.min(F.struct("name", "county", "state")).alias("x")).select("municipality_key", "x.*")
+
+
 def without_zone(df: DataFrame) -> DataFrame:
     """Timestamps as wall-clock times, for sheets that know no zone."""
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n, t in df.dtypes if t == "timestamp"})

@@ -89,3 +89,17 @@ def test_exports(spark, sf, tmp_path):
     assert spark.read.option("header", True).csv(f"{tmp_path}/coverage/by_county").count() == 5
     if out.endswith(".csv"):
         assert spark.read.option("header", True).csv(f"{out}/all").count() == 1500 and spark.read.option("header", True).csv(f"{other}/diagnostics").count() > 5
+
+
+def test_seeds(spark, tmp_path):
+    (tmp_path / "seeds.csv").write_text("municipality_key,name,county,state\n12051,Brandenburg,,BB\n12052,Cottbus,SPN,BB\n,Nowhere,,BB\n12052,Dorf,X,BB\n")
+    got = sorted(tuple(r) for r in store.seeds(spark, f"file://{tmp_path}/seeds.csv").collect())
+    assert got == [("12051", "Brandenburg", None, "BB"), ("12052", "Cottbus", "SPN", "BB")]
+
+
+def test_console_report(spark, sf):
+    from bescheid.plans import console
+
+    text = console.recall(spark, sf)
+    assert all(x in text for x in ("SKIPPED CANDIDATES BY SOURCE", "TOP SKIPPED TITLES", "PROCEDURES BY SOURCE", "PROJECTS", "SKIPPED SOURCES"))
+    assert len(text.splitlines()) > 40 and max(map(len, text.splitlines())) <= 90
