@@ -18,6 +18,10 @@ from pyspark.sql.types import StructType
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Bytes of an Arrow batch, about; one longer row comes alone.
+BATCH_BYTES = 2 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, deal: bool = False) -> DataFrame:
     """The named Parquet table; only `columns` when given. Workers get the path of this package.
 
@@ -32,7 +36,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str, deal: bool
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package when the driver found it by its working folder only."""
+    """Let Python workers import this package when the driver found it by its working folder only, and bound the bytes
+    of the batches that they get, else bounded by rows only, however long texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH", ""), ROOT) if x)
@@ -73,8 +79,6 @@ def finished(spark: SparkSession, path: str) -> bool:
     return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
 
 
-#: Bytes of an Arrow batch that a step sees at once, about; so a worker's memory does not follow the batch size.
-PIECE = 2 << 20
 _WHOLE = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype()}
 
 
@@ -87,12 +91,9 @@ def mapped(df: DataFrame, step: Callable[[Iterator[pd.DataFrame]], Iterator[pd.D
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
-        for whole_batch in batches:
-            rows = max(64, whole_batch.num_rows * PIECE // max(whole_batch.nbytes, 1))
-            for at in range(0, whole_batch.num_rows, rows):
-                b = whole_batch.slice(at, rows)
-                holes = {c.type for c in b.columns if c.null_count}
-                yield b.to_pandas(types_mapper=lambda t, holes=holes: _WHOLE.get(t) if t in holes else None)
+        for b in batches:
+            holes = {c.type for c in b.columns if c.null_count}
+            yield b.to_pandas(types_mapper=lambda t, holes=holes: _WHOLE.get(t) if t in holes else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in step(frames(batches)):
