@@ -206,24 +206,27 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        out = []
-        for doc, label, text in zip(b["doc_id"].tolist(), b["quality"].tolist(), strings(b["text"]), strict=True):
-            x, _, weight = line_features([text])
-            if len(x) > TRAIN_LINES:
-                # ten runs of neighbouring lines
-                run = TRAIN_LINES // 10
-                keep = np.unique(np.concatenate([np.arange(s, s + run) for s in np.linspace(0, len(x) - run, 10).astype(int)]))
-                x, weight = x[keep], weight[keep]
-            out.append((doc, label, x.astype("<f4").tobytes(), weight.astype("<f8").tobytes()))
-        yield pd.DataFrame(out, columns=["doc_id", "quality", "x", "weight"])
-
-
-def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
+def _sampled(most: int):
+    def sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for doc, label, text in zip(b["doc_id"].tolist(), b["quality"].tolist(), strings(b["text"]), strict=True):
+                x, _, weight = line_features([text])
+                if len(x) > most:
+                    # ten runs of neighbouring lines
+                    run = most // 10
+                    keep = np.unique(np.concatenate([np.arange(s, s + run) for s in np.linspace(0, len(x) - run, 10).astype(int)]))
+                    x, weight = x[keep], weight[keep]
+                out.append((doc, label, x.astype("<f4").tobytes(), weight.astype("<f8").tobytes()))
+            yield pd.DataFrame(out, columns=["doc_id", "quality", "x", "weight"])
+
+    return sampled
+
+
+def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_lines: int = TRAIN_LINES) -> Model:
     """Fit on at most `train_docs` labelled documents outside the held-out fold, chosen by hash of their id.
 
-    Only features of this bounded sample reach the driver: at most TRAIN_LINES lines of each. Labels other than 0 and
+    Only features of this bounded sample reach the driver: at most `train_lines` lines of each. Labels other than 0 and
     1, null ids and labels without a document are not used; of several labels of one document the best counts, of
     several texts the least; null and empty texts are one empty line. Without both labels the score is the share
     of good documents, or a half without any. Empty tables: a half.
@@ -234,7 +237,7 @@ def train(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> M
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_docs)
     )
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # `train_docs` rows at most
-    rows = mapped(found, _sampled, "doc_id long, quality int, x binary, weight binary").collect()
+    rows = mapped(found, _sampled(train_lines), "doc_id long, quality int, x binary, weight binary").collect()
     rows.sort(key=lambda r: r["doc_id"])
     return fit([(r["quality"], np.frombuffer(r["x"], "<f4").reshape(-1, WIDTH), np.frombuffer(r["weight"], "<f8")) for r in rows])
 
