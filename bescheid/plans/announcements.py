@@ -12,7 +12,7 @@ from ..operators import extract as G
 from ..operators import links as L
 from ..operators import merge as M
 from ..operators import scoring as S
-from ..sources import store
+from ..sources import answers, store
 from ..streaming import jobs
 from . import bindings as B
 from . import fixture
@@ -358,7 +358,7 @@ def first_candidate_page(spark: SparkSession, d: str) -> DataFrame:
     paths = ["/ris", "/sessionnet", "/bi"]
     n = B.read(spark, d, "nation").select(c("n_nationkey").alias("key"), F.concat(F.lit("https://n"), c("n_nationkey").cast("string")).alias("base"))
     pages = n.select("key", "base", F.posexplode(F.array(*[F.lit(p) for p in paths])).alias("i", "p")).select(F.concat("base", "p").alias("url"), F.when((c("key") + c("i")) % 3 == 1, "Gremien und Sitzungskalender").otherwise("nichts").alias("body"))
-    return L.candidates(n, paths, pages, ["sitzungskalender"])
+    return L.candidates(n, paths, pages, answers.COUNCIL_MARKERS)
 
 
 _UP = "SELECT o_orderkey AS k, o_custkey AS v, o_orderdate AS day_, o_totalprice AS p, o_orderstatus AS s FROM orders"

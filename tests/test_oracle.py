@@ -25,7 +25,8 @@ def cell(v):
     if isinstance(v, str):
         return v
     if hasattr(v, "isoformat"):
-        return v.isoformat()[:10]
+        day, _, time = v.isoformat().partition("T")
+        return day if time in ("", "00:00:00") else f"{day}T{time}"
     if type(v).__name__ in ("bool", "bool_"):
         return str(bool(v))
     return repr(round(float(v), 6))
