@@ -19,6 +19,8 @@ from .common import chunks, mapped, ship, strings, table, whole
 ROUNDS, FIRST = 6, 2
 #: Slots of a fingerprint, each with the 16 bits of its least name; 0 is an empty slot.
 SLOTS = 128
+#: Characters that are parsed together, in whole-array steps of some hundred bytes a character.
+CHUNK = 250_000
 _SEP = 0xFF  # never a byte of UTF-8
 
 
@@ -120,7 +122,7 @@ def sketches(texts: list[str], slots: int = SLOTS, rounds: int = ROUNDS, first:
     """(texts x slots) of 16 bits: in each slot the least name that falls there, 0 if none. Empty text: all 0."""
     out = np.zeros((len(texts), slots), np.uint16)
     full = [i for i, t in enumerate(texts) if t]
-    for part in chunks([texts[i] for i in full]):
+    for part in chunks([texts[i] for i in full], CHUNK):
         own = full[part]
         found = names([texts[i] for i in own], rounds, first)
         doc, name = np.concatenate([d for d, _ in found]), _mix(np.concatenate([n for _, n in found]))
@@ -177,7 +179,7 @@ def _rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if held is not None and held[0] == part:
                 rows.append((held[1], held[2], text))
                 size += len(held[2])
-                if size > 4_000_000:
+                if size > 1_000_000:
                     yield done(rows)
                     rows, size = [], 0
             held = None if extra else (part, whole(doc), text)
@@ -200,8 +202,8 @@ def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
-    parts = ranges or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    fine = 4 * parts
+    parts = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fine = 2 * parts
     probes = [(i + 1) / fine for i in range(fine - 1)]
     seen = docs.agg(F.percentile_approx("doc_id", F.lit(probes), F.lit(20 * fine)).alias("bounds"), F.avg(F.col("doc_id").isNull().cast("double")).alias("nulls")).first()
     if seen["nulls"] is None:
