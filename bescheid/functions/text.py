@@ -157,6 +157,7 @@ def decode_references(x: Column | str) -> Column:
         return F.when(i == 0, p).otherwise(F.concat(char(n), F.substr(p, F.char_length(name) + 2)))
 
     out = F.array_join(F.transform(parts, numbered), "")
-    for name, value in REFERENCES.items():
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(value))
+    # one literal and one step, not a node of the plan for each name
+    named = F.split(F.lit("\n".join(f"&{name};\t{value}" for name, value in REFERENCES.items())), "\n")
+    out = F.aggregate(named, out, lambda acc, r: F.replace(acc, F.substring_index(r, "\t", 1), F.substring_index(r, "\t", -1)))
     return F.when(x.contains("&"), out).otherwise(x)

@@ -44,10 +44,16 @@ def entry_page(official: DataFrame, guessed: DataFrame, seeds: DataFrame, answer
 
 
 def _from(pages: DataFrame, answers: DataFrame) -> DataFrame:
-    """Links of the good answers to `pages` (any columns, url): those columns, pos, address, text."""
+    """Links of the good answers to `pages` (any columns, url): those columns, url, pos, href, text, address.
+
+    `pages` stands once in the plan, and addresses are joined to the answer's own, a plain column; else each step of a
+    walk would repeat all steps before it.
+    """
+    own = [x for x in pages.columns if x != "url"]
+    asked = pages.select(F.struct(*own).alias("_row"), F.col("url").alias("_asked"))
     html = answers.where("status = 200").select("url", "html")
-    found = L.links(html.join(pages.select("url").distinct(), "url", "left_semi"), "url")
-    return pages.join(found, "url").withColumn("address", L.absolute("url", "href"))
+    found = L.links(asked.join(html, F.col("_asked") == F.col("url")).select("_row", "url", "html"), "_row")
+    return found.select("_row.*", "url", "pos", "href", "text", L.absolute("url", "href").alias("address"))
 
 
 def council_items(roots: DataFrame, answers: DataFrame) -> DataFrame:
@@ -80,7 +86,7 @@ def gazette_items(feeds: DataFrame, answers: DataFrame) -> DataFrame:
     old = L.by_term(all_, OLD_ISSUE_TERMS, "text").join(new.select("key").distinct(), "key", "left_anti")
     issues = new.unionByName(old).select("key", F.col("address").alias("url")).distinct()
     pages = answers.where("status = 200").select("url", "html")
-    read = issues.join(pages, "url").withColumn("telling", L.any_term(F.lower("html"), L.GAZETTE_TERMS))
+    read = issues.withColumnRenamed("url", "_asked").join(pages, F.col("_asked") == F.col("url")).drop("_asked").withColumn("telling", L.any_term(F.lower("html"), L.GAZETTE_TERMS))
     found = _from(read.select("key", "url", "telling"), answers)
     pdf = F.lower("href").endswith(".pdf")
     files = found.where(F.when(F.col("telling"), pdf).otherwise(L.any_end(F.lower("href"), L.DOCUMENT_ENDS)))

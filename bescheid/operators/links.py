@@ -52,10 +52,12 @@ def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """
     whole = F.regexp_extract_all("html", F.lit("(?is)" + ANCHOR), F.lit(0))
     cut = lambda x, g: F.regexp_extract(x, "(?is)" + ANCHOR, g)
-    out = pages.select(*dict.fromkeys((key, "url")), F.posexplode(whole).alias("p", "a"))
-    text = F.trim(F.regexp_replace(decode_references(F.regexp_replace(cut(F.col("a"), 4), "<[^>]*>", " ")), r"[\s\u00a0]+", " "))
-    href = decode_references(F.concat(*[cut(F.col("a"), g) for g in (1, 2, 3)]))
-    return out.select(*dict.fromkeys((key, "url")), (F.col("p") + 1).alias("pos"), href.alias("href"), text.alias("text"))
+    text = lambda x: F.trim(F.regexp_replace(decode_references(F.regexp_replace(cut(x, 4), "<[^>]*>", " ")), r"[\s\u00a0]+", " "))
+    href = lambda x: decode_references(F.concat(*[cut(x, g) for g in (1, 2, 3)]))
+    # read before they are exploded: filters by many words then look at a column, not each at the whole expression
+    read = F.transform(whole, lambda x: F.struct(href(x).alias("href"), text(x).alias("text")))
+    own = list(dict.fromkeys((key, "url")))
+    return pages.select(*own, F.posexplode(read).alias("p", "a")).select(*own, (F.col("p") + 1).alias("pos"), "a.href", "a.text")
 
 
 #: The same in DuckDB, by splitting at anchors; it decodes the references that the tables hold.
