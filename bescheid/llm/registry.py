@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat
+from . import chat, merkle
 from .chat import op6_chat
 from .common import Query
 from .embeddings import op10_embedding_dedup
 from .fingerprint import op1_fingerprints
 from .html_text import op3_html
+from .merkle import op13_merkle
 from .packing import op5_packing
 from .pieces import op4_sentencepiece
 from .quality import op7_quality
@@ -26,6 +27,7 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_simhash": op9_simhash,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op13_merkle": op13_merkle,
 }
 
-SQL: dict[str, str] = {"op6_chat": chat.SQL}
+SQL: dict[str, str] = {"op6_chat": chat.SQL, "op13_merkle": merkle.SQL}
