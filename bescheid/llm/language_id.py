@@ -114,7 +114,7 @@ def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             names, group = np.unique(np.array(langs[s], dtype=object).astype(str), return_inverse=True)
             for lang, v in zip(names.tolist(), bundles(texts[s], group, len(names)), strict=True):
                 held[lang] = held[lang] + v if lang in held else v
-    yield pd.DataFrame({"lang": list(held), "v": [x.astype(np.int64) for x in held.values()]})
+    yield pd.DataFrame({"lang": list(held), "v": pd.Series([x.astype(np.int64) for x in held.values()], dtype=object)})
 
 
 @dataclass
