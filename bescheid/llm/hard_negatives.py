@@ -29,11 +29,14 @@ PIVOTS = 256
 GROUP, SHARE = 4096, 100_000
 #: Products held at once in a task.
 CELLS = 1 << 20
+#: Rows of one cell and label that travel together, at most.
+BLOCK = 256
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 #: Rows that take part, as SQL; never null.
 VALID = "coalesce(vec_id is not null and label is not null and embedding is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('inf')), false)"
 _ROW = "row long, vec_id long, label string, anchor boolean, dim int, square double, width int, raw binary"
+_BLOCK = "cell long, label string, nearest double, farthest double, block long, held int, ids binary, width int, raw binary"
 
 
 def quantized(v: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -120,6 +123,19 @@ def _assign(pivots: Pivots):
     return assign
 
 
+def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by cell, label and distance as blocks of at most BLOCK: their ids and vectors, and the distances they span."""
+    for b in batches:
+        out = []
+        for (cell, label), g in b.groupby(["cell", "label"], sort=False):
+            for k in range(0, len(g), BLOCK):
+                x = g.iloc[k : k + BLOCK]
+                width, raw = int(x["width"].max()), x["raw"].tolist()
+                packed = b"".join(raw) if (x["width"] == width).all() else unpacked(raw, x["width"].tolist()).astype(f"<i{width}").tobytes()
+                out.append((cell, label, x["away"].min(), x["away"].max(), x["row"].iloc[0], len(x), x["vec_id"].to_numpy("<i8").tobytes(), width, packed))
+        yield pd.DataFrame(out, columns=["cell", "label", "nearest", "farthest", "block", "held", "ids", "width", "raw"])
+
+
 def _routes(pivots: Pivots):
     """For each group of anchors and each cell the distances from its pivot at which a row can serve the group."""
 
@@ -150,23 +166,23 @@ class _Task:
         n = [len(x) for x in anchors["tags"]]
         self.at = np.repeat(np.arange(len(n)), n)
         self.tag, self.low, self.high = (np.concatenate([np.asarray(x, np.int64) for x in anchors[c]]) for c in ("tags", "lows", "highs"))
-        self.full = np.zeros(len(self.at), bool)
+        #: The id with which a full window's last score is held; before that any id may enter at its lower bound.
+        self.last = np.full(len(self.at), MOST)
         self.best = np.zeros((0, 3), np.int64)  # window, score, vec_id
 
     def take(self, ids: np.ndarray, labels: list[str], v: np.ndarray) -> None:
-        """Look at further candidates, in ascending order of vec_id over all calls."""
+        """Look at further candidates."""
         codes: dict[str, int] = {}
         mine = np.array([codes.setdefault(x, len(codes)) for x in self.label])
         theirs = np.array([codes.setdefault(x, len(codes)) for x in labels])
-        step = max(1, min(256, CELLS // max(1, len(self.at))))
+        step = max(1, min(BLOCK, CELLS // max(1, len(self.at))))
         for s in range(0, len(ids), step):
-            score = products(self.v, v[s : s + step])
-            fit = self.own[:, None] != ids[None, s : s + step]
+            score, own = products(self.v, v[s : s + step]), ids[None, s : s + step]
+            fit = self.own[:, None] != own
             if not self.same:
                 fit &= mine[:, None] != theirs[None, s : s + step]
             x = score[self.at]
-            # once a window is full a later candidate with the same score cannot enter
-            hit = fit[self.at] & (x <= self.high[:, None]) & np.where(self.full[:, None], x > self.low[:, None], x >= self.low[:, None])
+            hit = fit[self.at] & (x <= self.high[:, None]) & ((x > self.low[:, None]) | ((x == self.low[:, None]) & (own <= self.last[:, None])))
             w, j = np.nonzero(hit)
             if len(w):
                 self._merge(np.stack([w, x[w, j], ids[s + j]], axis=1))
@@ -182,7 +198,7 @@ class _Task:
         place = np.arange(len(b)) - np.repeat(first, np.diff(np.append(first, len(b))))
         b = b[place < self.keep]
         last = b[place[place < self.keep] == self.keep - 1]
-        self.full[last[:, 0]], self.low[last[:, 0]] = True, last[:, 1]
+        self.low[last[:, 0]], self.last[last[:, 0]] = last[:, 1], last[:, 2]
         self.best = np.concatenate((self.best[~old], b))
 
     def found(self) -> pd.DataFrame:
@@ -191,7 +207,7 @@ class _Task:
 
 
 def _search(same: bool, keep: int):
-    """Rows sorted by group, share and kind: the anchors of a group, then the candidates that serve it, by vec_id."""
+    """Rows sorted by group, share and kind: the anchors of a group, then blocks of candidates that serve it."""
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, anchors, task = None, [], None
@@ -206,7 +222,10 @@ def _search(same: bool, keep: int):
                 elif anchors or task is not None:
                     if task is None:
                         task, anchors = _Task(pd.concat(anchors), same, keep), []
-                    task.take(g["vec_id"].to_numpy(np.int64), g["label"].tolist(), unpacked(g["raw"].tolist(), g["width"].tolist()))
+                    ids = [np.frombuffer(x, "<i8") for x in g["ids"]]
+                    labels = [x for x, n in zip(g["label"].tolist(), g["held"].tolist(), strict=True) for _ in range(n)]
+                    v = [np.frombuffer(r, f"<i{w}").reshape(len(i), -1).astype(np.int64) for r, w, i in zip(g["raw"], g["width"], ids, strict=True)]
+                    task.take(np.concatenate(ids), labels, np.concatenate(v))
         if task is not None:
             yield task.found()
 
@@ -216,42 +235,42 @@ def _search(same: bool, keep: int):
 _FOUND = "row long, tag long, score long, found long"
 
 
-def _joined(rows: DataFrame, anchors: DataFrame, routes: DataFrame, same: bool, keep: int, share: int) -> DataFrame:
-    """The best `keep` candidates (row, tag, score, found) of each window of the anchors among the rows on the routes."""
+def _joined(blocks: DataFrame, anchors: DataFrame, routes: DataFrame, same: bool, keep: int, share: int) -> DataFrame:
+    """The best `keep` candidates (row, tag, score, found) of each window of the anchors among the blocks on the routes."""
     on = ["cell", "label"] if same else ["cell"]
-    held = rows.groupBy(*on).agg(F.count("*").alias("held"))
-    shares = routes.join(held, on).groupBy("group").agg(F.greatest(F.lit(1), F.ceil(F.sum("held") / share)).cast("int").alias("shares"))
-    cands = rows.join(routes.join(shares, "group"), on).where("away between near and far")
-    cands = cands.select("group", F.pmod(F.xxhash64("row"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("kind"), "row", "vec_id", "label", "width", "raw")
+    held = blocks.groupBy(*on).agg(F.sum("held").alias("rows"))
+    shares = routes.join(held, on).groupBy("group").agg(F.greatest(F.lit(1), F.ceil(F.sum("rows") / share)).cast("int").alias("shares"))
+    cands = blocks.join(routes.join(shares, "group"), on).where("farthest >= near and nearest <= far")
+    cands = cands.select("group", F.pmod(F.xxhash64("block"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("kind"), "label", "held", "ids", "width", "raw")
     asked = anchors.join(shares, "group").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
     asked = asked.select("group", "share", F.lit(0).alias("kind"), "row", "vec_id", "label", "width", "raw", "tags", "lows", "highs")
-    both = asked.unionByName(cands, allowMissingColumns=True).repartition("group", "share").sortWithinPartitions("group", "share", "kind", "vec_id")
+    both = asked.unionByName(cands, allowMissingColumns=True).repartition("group", "share").sortWithinPartitions("group", "share", "kind")
     got = mapped(both, _search(same, keep), _FOUND)
     first = F.row_number().over(W.partitionBy("row", "tag").orderBy(F.desc("score"), "found"))
     return got.withColumn("place", first).where(F.col("place") <= keep)
 
 
-def best_in_windows(rows: DataFrame, anchors: DataFrame, pivots: Pivots, same: bool, keep: int, group: int = GROUP, share: int = SHARE) -> DataFrame:
+def best_in_windows(blocks: DataFrame, anchors: DataFrame, pivots: Pivots, same: bool, keep: int, group: int = GROUP, share: int = SHARE) -> DataFrame:
     """(row, tag, score, found, place): for each window (tags, lows, highs) of each anchor the `keep` rows of its own label
     (`same`) or another with the highest scores within it, ties by the smaller vec_id.
 
-    Anchors of one cell (and label) form groups of about `group`. First each group meets the rows of its own cell, which
-    gives every window a lower bound of its last score; then all rows whose distance from their pivot lies within the
-    bounds of the group. Groups that many rows serve are read in shares, and what the shares found is merged.
+    Rows come in blocks of one cell and label, by their distance from the pivot. Anchors of one cell (and label) form
+    groups of about `group`. First each group meets the blocks of its own cell, which gives every window a lower bound of
+    its last score; then all blocks whose distances from their pivot reach into the bounds of the group. Groups that many rows serve are read in shares, and what the shares found is merged.
     """
     by = ["home", "label"] if same else ["home"]
-    blocks = anchors.groupBy(*by).agg(F.ceil(F.count("*") / group).alias("blocks"))
-    named = anchors.join(blocks, by).withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks"))).drop("blocks")
-    named = cut(named.withColumn("group", F.xxhash64(*by, "block")), few=True)
+    parts = anchors.groupBy(*by).agg(F.ceil(F.count("*") / group).alias("parts"))
+    named = anchors.join(parts, by).withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts"))).drop("parts")
+    named = cut(named.withColumn("group", F.xxhash64(*by, "part")), few=True)
     keys = ["group", *by]
     own = named.select(*keys).distinct().withColumns({"near": F.lit(0.0), "far": F.lit(float("inf"))}).withColumnRenamed("home", "cell")
-    first = _joined(rows, named, own, same, keep, share).where(F.col("place") == keep).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("tag", "score"))).alias("least"))
+    first = _joined(blocks, named, own, same, keep, share).where(F.col("place") == keep).groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("tag", "score"))).alias("least"))
     known = named.join(first, "row", "left").withColumn("lows", F.expr("transform(tags, (t, i) -> greatest(lows[i], coalesce(try_element_at(least, t), lows[i])))")).drop("least")
     known = cut(known, few=True)
     away = lambda s: F.sqrt(F.greatest(F.lit(0.0), F.col("square") + F.lit(pivots.most) - 2 * s.cast("double")))
     bounds = known.groupBy(*keys).agg(F.max("reach").alias("reach"), F.min(away(F.array_max("highs"))).alias("inner"), F.max(away(F.array_min("lows"))).alias("outer"))
     kind = "group long, cell long, label string, near double, far double" if same else "group long, cell long, near double, far double"
-    return _joined(rows, known, mapped(bounds, _routes(pivots), kind), same, keep, share)
+    return _joined(blocks, known, mapped(bounds, _routes(pivots), kind), same, keep, share)
 
 
 def mine(vectors: DataFrame, anchor: Column, positives: int = POSITIVES, negatives: int = NEGATIVES, low: int = LOW, high: int = HIGH, scale: int = SCALE, pivots: int = PIVOTS, group: int = GROUP, share: int = SHARE) -> DataFrame:
@@ -279,15 +298,17 @@ def mine(vectors: DataFrame, anchor: Column, positives: int = POSITIVES, negativ
         by.setdefault(r.dim, []).append(np.frombuffer(r.raw, f"<i{r.width}").astype(np.float64))
     chosen = Pivots(most or 0.0, {d: np.array(v) for d, v in by.items()})
     rows = cut(mapped(coded, _assign(chosen), f"{_ROW}, cell long, away double, home long, reach double"))
+    # in ranges, so that a cell with most rows is spread, too
+    blocks = cut(mapped(rows.select("cell", "label", "away", "row", "vec_id", "width", "raw").repartitionByRange("cell", "label", "away", "row").sortWithinPartitions("cell", "label", "away"), _pack, _BLOCK))
     asked = rows.where("anchor").drop("cell", "away", "anchor")
     all_ = {"tags": F.array(F.lit(0).cast("long")), "lows": F.array(F.lit(LEAST)), "highs": F.array(F.lit(MOST))}
-    good = cut(best_in_windows(rows, asked.withColumns(all_), chosen, True, positives, group, share).select("row", "score", "found"), few=True)
+    good = cut(best_in_windows(blocks, asked.withColumns(all_), chosen, True, positives, group, share).select("row", "score", "found"), few=True)
     part = lambda x, p, how: how(x.cast("decimal(20,0)") * p / 100).cast("long")
     tags = good.groupBy("row").agg(F.array_sort(F.collect_set("score")).alias("tags"))
     # a negative score has no window
     tags = tags.withColumn("tags", F.filter("tags", lambda s: s >= 0)).where(F.size("tags") > 0)
     windows = tags.withColumns({"lows": F.transform("tags", lambda s: part(s, low, F.ceil)), "highs": F.transform("tags", lambda s: part(s, high, F.floor))})
-    bad = best_in_windows(rows, asked.join(windows, "row"), chosen, False, negatives, group, share)
+    bad = best_in_windows(blocks, asked.join(windows, "row"), chosen, False, negatives, group, share)
     bad = bad.select("row", F.col("tag").alias("score"), F.col("place").cast("int").alias("rank"), F.col("found").alias("negative_id"), F.col("score").alias("negative_score"))
     ids = asked.select("row", F.col("vec_id").alias("anchor_id"))
     return good.join(ids, "row").join(bad, ["row", "score"]).select("anchor_id", F.col("found").alias("positive_id"), "rank", "negative_id", F.col("score").alias("positive_score"), "negative_score")

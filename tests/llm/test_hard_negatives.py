@@ -98,10 +98,10 @@ def test_bounds_rule_rows_out(spark):
     seen = []
     kept = hn._joined
 
-    def counted(rows_, anchors, routes, same, keep, share):
-        cells = rows_.join(routes, ["cell", "label"] if same else ["cell"])
-        seen.append((cells.where("away between near and far").count(), anchors.select("group").distinct().count() * rows_.count()))
-        return kept(rows_, anchors, routes, same, keep, share)
+    def counted(blocks, anchors, routes, same, keep, share):
+        met = blocks.join(routes, ["cell", "label"] if same else ["cell"]).where("farthest >= near and nearest <= far")
+        seen.append((met.agg(F.sum("held")).first()[0], anchors.select("group").distinct().count() * len(rows)))
+        return kept(blocks, anchors, routes, same, keep, share)
 
     hn._joined = counted
     try:
