@@ -92,14 +92,14 @@ def fold(rows: list[tuple]) -> Iterator[tuple]:
         yield r[0], *state.link(*r)
 
 
-_FIELDS = ["doc_id", "plan_token", "parcel_token", "developer_token", "title_signature", "title", "location", "company", "procedure_type"]
+FIELDS = ["doc_id", "plan_token", "parcel_token", "developer_token", "title_signature", "title", "location", "company", "procedure_type"]
 
 
 def _stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     at, state = None, Fold()
     for b in batches:
         out = []
-        for key, *row in b[["municipality_key", *_FIELDS]].itertuples(index=False, name=None):
+        for key, *row in b[["municipality_key", *FIELDS]].itertuples(index=False, name=None):
             key = None if pd.isna(key) else key
             if key != at:
                 at, state = key, Fold()
@@ -114,7 +114,7 @@ def link(procedures: DataFrame) -> DataFrame:
     The order (seen, doc_id) decides within a municipality, so municipalities run in parallel and each is streamed
     in order through one task, which keeps its projects and not its rows. A null doc_id keeps its row.
     """
-    rows = procedures.select("municipality_key", "seen", *_FIELDS).repartition("municipality_key").sortWithinPartitions("municipality_key", F.col("seen").asc_nulls_first(), "doc_id")
+    rows = procedures.select("municipality_key", "seen", *FIELDS).repartition("municipality_key").sortWithinPartitions("municipality_key", F.col("seen").asc_nulls_first(), "doc_id")
     # ids travel as text: beside nulls Python would see them as floating point
     linked = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(_stream, LINK_SCHEMA.replace("procedure_id long", "procedure_id string"))
     return linked.withColumn("procedure_id", F.col("procedure_id").cast("long"))

@@ -128,6 +128,21 @@ def companies(text: Column) -> Column:
     return F.regexp_extract_all(head, F.lit("(?U)" + COMPANY), F.lit(0))
 
 
+def companies_sql(text: str = "text") -> str:
+    """The same in DuckDB, whose word edges know ASCII only: umlauts stand as letters of their own, other letters as `_`."""
+    marks = [(u, f"{'ZQX' if u.isupper() else 'zqx'}{i}q") for i, u in enumerate("ÄÖÜäöüß")]
+    plain, back = text, "x"
+    for u, m in marks:
+        plain, back = f"replace({plain}, '{u}', '{m}')", f"replace({back}, '{m}', '{u}')"
+    plain = f"regexp_replace({plain}, '[^\x00-\x7F]', '_', 'g')"
+    pattern = COMPANY.replace("ÄÖÜäöüß", "").replace("ÄÖÜ", "")
+    return f"list_transform(regexp_extract_all({plain}, '{pattern}'), lambda x: {back})"
+
+
+def developer_sql(found: str) -> str:
+    return f"nullif(array_to_string(({found})[1:3], ', '), '')"
+
+
 def developer(found: Column) -> Column:
     """One company as it is, several as the first three."""
     return F.nullif(F.array_join(F.slice(found, 1, 3), ", "), F.lit(""))

@@ -9,11 +9,12 @@ from ..functions import text as X
 from ..operators import classify as C
 from ..operators import entities as E
 from ..operators import extract as G
+from ..operators import founders
 from ..operators import links as L
 from ..operators import merge as M
 from ..operators import scoring as S
-from ..sources import answers, store
-from ..streaming import jobs
+from ..sources import answers, shared, store
+from ..streaming import jobs, linking
 from . import bindings as B
 from . import fixture
 from .base import Book
@@ -193,7 +194,7 @@ def decision_date(spark: SparkSession, d: str) -> DataFrame:
     return fx(spark, d).select("doc_id", G.decision_date("text").alias("decision_date"))
 
 
-@query("companies")
+@query("companies", f"WITH {FX} SELECT doc_id, len(x) AS n, {G.developer_sql('x')} AS developer FROM (SELECT doc_id, {G.companies_sql()} AS x FROM fx)")
 def companies(spark: SparkSession, d: str) -> DataFrame:
     return fx(spark, d).select("doc_id", G.companies(c("text")).alias("x")).select("doc_id", F.size("x").alias("n"), G.developer(c("x")).alias("developer"))
 
@@ -444,9 +445,30 @@ def _procs(spark: SparkSession, d: str) -> DataFrame:
     return E.signatures(x)
 
 
-@query("entity_link_fold")
+_PLAN = G.plan_token_sql("title", "array_to_string(evidence_snippets[1:3], ' ')")
+_FOUNDED = f"""{CL}, q AS (SELECT doc_id, municipality_key AS m, procedure_type AS kind, title, date_hint, {G.location_sql()} AS location, {_PLAN} AS plan, {G.developer_sql(G.companies_sql())} AS company, {G.title_signature_sql()} AS words FROM c WHERE is_relevant),
+r AS MATERIALIZED (SELECT *, {G.parcel_token_sql()} AS parcel, {G.company_name_sql("company")} AS dev, row_number() OVER (PARTITION BY m ORDER BY date_hint NULLS FIRST, doc_id) AS nth FROM q),"""
+#: Procedure by procedure, the projects of a municipality in a list.
+_FOLD = """fold AS (SELECT m, 0::BIGINT AS nth, []::STRUCT(project VARCHAR, place VARCHAR, name VARCHAR, dev VARCHAR)[] AS ps, NULL::BIGINT AS procedure_id, NULL::VARCHAR AS project_id, NULL::DOUBLE AS link_confidence, NULL::VARCHAR AS link_reason FROM (SELECT DISTINCT m FROM r)
+  UNION ALL SELECT m, nth, CASE WHEN coalesce(pa, pl, de) IS NULL THEN list_append(ps, {'project': own, 'place': coalesce(parcel, location), 'name': coalesce('B-Plan ' || plan, nullif(title, '')), 'dev': dev}) ELSE ps END, doc_id, coalesce(pa, pl, de, own),
+    CASE WHEN pa IS NOT NULL THEN 0.95 WHEN pl IS NOT NULL THEN 0.9 WHEN de IS NOT NULL THEN 0.8 WHEN kind = 'PERMIT_36_EINVERNEHMEN' THEN 0.85 ELSE 1.0 END::DOUBLE,
+    CASE WHEN pa IS NOT NULL THEN 'PARCEL_MATCH' WHEN pl IS NOT NULL THEN 'PLAN_TOKEN_MATCH' WHEN de IS NOT NULL THEN 'DEV+TITLE_MATCH' WHEN kind = 'PERMIT_36_EINVERNEHMEN' THEN 'PERMIT_36_NEW' ELSE 'NEW_PROJECT' END
+  FROM (SELECT r.*, f.ps, 'project-' || r.doc_id AS own, list_filter(f.ps, lambda x: contains(x.place, r.parcel))[1].project AS pa, list_filter(f.ps, lambda x: contains(x.name, r.plan))[1].project AS pl,
+      CASE WHEN r.words <> '' THEN list_filter(list_filter(f.ps, lambda x: x.dev IS NOT NULL)[1:50], lambda x: x.dev = r.dev)[1].project END AS de FROM fold f JOIN r ON r.m = f.m AND r.nth = f.nth + 1))
+SELECT m AS municipality_key, procedure_id, project_id, link_confidence, link_reason FROM fold WHERE nth > 0"""
+_LINKS = f"WITH RECURSIVE {_FOUNDED} {_FOLD}"
+
+
+@query("entity_link_fold", _LINKS)
 def entity_link_fold(spark: SparkSession, d: str) -> DataFrame:
-    return E.link(_procs(spark, d))
+    """Links of all procedures, settled in rounds over tokens."""
+    return founders.linked(_procs(spark, d))
+
+
+@query("entity_link_stream", _LINKS)
+def entity_link_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The same links by a stream with keyed state that is stopped and restarted twice."""
+    return linking.run(_procs(spark, d), shared.work_folder(spark), 3)
 
 
 @query("entity_link_keys")
@@ -454,9 +476,6 @@ def entity_link_keys(spark: SparkSession, d: str) -> DataFrame:
     return E.link_by_key(_procs(spark, d)).drop("k")
 
 
-_PLAN = G.plan_token_sql("title", "array_to_string(evidence_snippets[1:3], ' ')")
-
-
 @query("project_rollup", f"""WITH {CL}, q AS (SELECT *, municipality_key AS project_id, {G.capacity_sql()} AS capacity_mw, {G.capacity_sql(unit='MWh')} AS capacity_mwh, {G.area_sql()} AS area_hectares, {G.location_sql()} AS location, {_PLAN} AS plan_token,
 row_number() OVER (PARTITION BY municipality_key ORDER BY coalesce(date_hint, DATE '1900-01-01'), doc_id) AS nth, contains(lower(title), 'plan') AS planned, coalesce(date_hint, DATE '2022-01-01' + CAST(doc_id % 300 AS INT)) AS day FROM c WHERE is_relevant), p AS (SELECT *, {G.parcel_token_sql()} AS parcel_token FROM q)
 SELECT project_id, coalesce('B-Plan ' || arg_min(plan_token, nth) FILTER (plan_token <> ''), arg_max(title, (length(title), -nth)) FILTER (planned), arg_max(title, (length(title), -nth)) FILTER (title <> '')) AS canonical_project_name,
@@ -472,9 +491,9 @@ def project_rollup(spark: SparkSession, d: str) -> DataFrame:
     return r.withColumns({x: F.round(x, 6) for x in ("capacity_mw_best", "capacity_mwh_best", "area_hectares_best", "max_confidence")})
 
 
-@query("project_developers")
+@query("project_developers", f"WITH {CL}, q AS (SELECT municipality_key AS project_id, {G.developer_sql(G.companies_sql())} AS company, row_number() OVER (PARTITION BY municipality_key ORDER BY coalesce(date_hint, DATE '1900-01-01'), doc_id) AS nth FROM c WHERE is_relevant), k AS (SELECT project_id, company, count(*) AS n, min(nth) AS first FROM q GROUP BY 1, 2) SELECT project_id, arg_max(company, (n, -first)) FILTER (company IS NOT NULL) AS developer_company_best FROM k GROUP BY 1")
 def project_developers(spark: SparkSession, d: str) -> DataFrame:
-    """The developer of each project; company names have no SQL, so a test compares with plain Python."""
+    """The developer of each project."""
     r = E.rollup(_procs(spark, d).withColumn("project_id", c("municipality_key")))
     return r.select("project_id", "developer_company_best")
 
