@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import markup
 from ..functions import text as X
 from . import links as L
 
@@ -100,8 +101,7 @@ def gazette_items(feeds: DataFrame, answers: DataFrame) -> DataFrame:
 
 def iframe_files(html: Column | str) -> Column:
     """Addresses of embedded PDFs, in order."""
-    found = F.regexp_extract_all(html, F.lit(r"""(?is)<iframe\s(?:[^>]*?\s)?src\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""), F.lit(1))
-    return F.filter(F.transform(found, lambda x: F.btrim(x, F.lit("\"'"))), lambda x: F.lower(x).contains(".pdf"))
+    return F.filter(F.transform(markup.tags(html, "iframe", "src"), lambda x: x["value"]), lambda x: F.lower(x).contains(".pdf"))
 
 
 def sections(homes: DataFrame, answers: DataFrame) -> DataFrame:

@@ -6,12 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import markup
 from ..functions.text import decode_references
 
-#: An anchor with its address in double, single or no quotes (groups 1 to 3), among attributes in any order; group 4
-#: is its inside, up to its end, the next anchor or the page's end.
-ANCHOR = r"""<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))[^>]*>([^<]*+(?:<(?!/a>|a\s)[^<]*+)*+)"""
-
 # Words in link texts and addresses that decide what is harvested, and guessed paths.
 SECTION_TERMS = [
     "bauen", "planung", "bebauungsplan", "bauleitplanung", "b-plan", "stadtplanung", "flaechennutzungsplan", "fnp", "bekanntmachung", "bekanntmachungen", "amtliche", "öffentlich", "oeffentlich",
@@ -48,14 +45,11 @@ URL_PATTERNS = {
 def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per link of `pages` (key, url, html): key, url, pos (from 1), href, text without tags.
 
-    Expressions only: all anchors are cut out by one pattern and exploded. Character references are decoded.
+    Expressions only, in one pass: the page is split at its anchors. Character references are decoded.
     """
-    whole = F.regexp_extract_all("html", F.lit("(?is)" + ANCHOR), F.lit(0))
-    cut = lambda x, g: F.regexp_extract(x, "(?is)" + ANCHOR, g)
-    text = lambda x: F.trim(F.regexp_replace(decode_references(F.regexp_replace(cut(x, 4), "<[^>]*>", " ")), r"[\s\u00a0]+", " "))
-    href = lambda x: decode_references(F.concat(*[cut(x, g) for g in (1, 2, 3)]))
+    text = lambda x: F.trim(F.regexp_replace(decode_references(markup.without_tags(F.get(F.split(x, "(?i)</a>", 2), 0), " ")), r"[\s\u00a0]+", " "))
     # read before they are exploded: filters by many words then look at a column, not each at the whole expression
-    read = F.transform(whole, lambda x: F.struct(href(x).alias("href"), text(x).alias("text")))
+    read = F.transform(markup.tags("html", "a", "href"), lambda x: F.struct(decode_references(x["value"]).alias("href"), text(x["inside"]).alias("text")))
     own = list(dict.fromkeys((key, "url")))
     return pages.select(*own, F.posexplode(read).alias("p", "a")).select(*own, (F.col("p") + 1).alias("pos"), "a.href", "a.text")
 
@@ -218,8 +212,7 @@ def gazette_items(pages: DataFrame, found: DataFrame) -> DataFrame:
 
 def heading_of(html: Column | str, tag: str) -> Column:
     """The text of a page's first element of a kind, references decoded; null if there is none or it is empty."""
-    inside = F.regexp_extract(html, f"(?is)<{tag}[^>]*>(.*?)</{tag}>", 1)
-    return F.nullif(F.trim(decode_references(F.regexp_replace(inside, "<[^>]*>", ""))), F.lit(""))
+    return F.nullif(F.trim(decode_references(markup.without_tags(markup.inside_first(html, tag), ""))), F.lit(""))
 
 
 def heading(html: Column | str) -> Column:

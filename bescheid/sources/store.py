@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import markup
 from ..functions.text import authority, decode_references
 
 #: Words that make the whole file worth reading.
@@ -64,8 +65,7 @@ def features(answers: DataFrame) -> DataFrame:
 
 def page_text(html: Column | str) -> Column:
     """A page's text, a line for each stretch between tags, its character references decoded; scripts, styles and comments give nothing."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->", "")
-    return F.btrim(F.regexp_replace(decode_references(F.regexp_replace(bare, "<[^>]*>", "\n")), r"\s*\n\s*", "\n"), F.lit("\n "))
+    return F.btrim(markup.lines(decode_references(markup.text_of(html))), F.lit("\n "))
 
 
 def text_cache_key(url: Column, size: Column) -> Column:
