@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col
+from .text import col, let
 
 #: Scripts, styles and comments, to the page's end where nothing closes them, as browsers read them.
 SILENT = r"(?is)<(?:script|style)[^>]*+(?:>.*?(?:</(?:script|style)>|\z)|\z)|<!--.*?(?:-->|\z)"
@@ -52,10 +52,10 @@ def tags(html: Column | str, name: str, attribute: str) -> Column:
 
 def without_tags(x: Column | str, mark: str) -> Column:
     """A text with `mark` in place of each tag. What follows the last `>` can hold none and is not searched."""
-    x = col(x)
-    tail = F.substring_index(x, ">", -1)
-    head = F.left(x, F.char_length(x) - F.char_length(tail))
-    return F.when(F.contains(x, F.lit(">")), F.concat(F.regexp_replace(head, "<[^>]*+>", mark), tail)).otherwise(x)
+    def cut(x: Column, tail: Column) -> Column:
+        return F.concat(F.regexp_replace(F.left(x, F.char_length(x) - F.char_length(tail)), "<[^>]*+>", mark), tail)
+
+    return let(col(x), lambda x: F.when(F.contains(x, F.lit(">")), let(F.substring_index(x, ">", -1), lambda tail: cut(x, tail))).otherwise(x))
 
 
 def inside_first(html: Column | str, name: str) -> Column:
@@ -64,12 +64,10 @@ def inside_first(html: Column | str, name: str) -> Column:
     Only the first start tag is looked at: where none of its kind is closed behind it, none is behind a later one.
     """
     html = col(html)
-    at = F.position(F.lit(f"<{name}"), F.lower(html))
-    rest = F.when(at > 0, F.substr(html, at))
-    close = F.position(F.lit(">"), rest)
-    inside = F.when(close > 0, F.substr(rest, close + 1))
-    parts = F.split(inside, f"(?i)</{name}>", 2)
-    return F.when(F.size(parts) > 1, F.get(parts, 0))
+    after = lambda x, mark: let(F.position(F.lit(mark), x), lambda at: F.when(at > 0, at))
+    rest = let(after(F.lower(html), f"<{name}"), lambda at: F.substr(html, at))
+    inside = let(rest, lambda x: F.substr(x, after(x, ">") + 1))
+    return let(F.split(inside, f"(?i)</{name}>", 2), lambda parts: F.when(F.size(parts) > 1, F.get(parts, 0)))
 
 
 def text_of(html: Column | str) -> Column:

@@ -17,6 +17,11 @@ def col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(x: Column, f) -> Column:
+    """f(x) with x computed once, however often f names it."""
+    return F.get(F.transform(F.array(x), f), 0)
+
+
 def replace_all(x: Column | str, pairs) -> Column:
     x = col(x)
     for a, b in pairs:
@@ -144,7 +149,14 @@ REFERENCES = {
 
 def decode_references(x: Column | str) -> Column:
     """`x` with character references by name (REFERENCES) or number decoded, once; others stay as they are."""
-    x = col(x)
+    return let(col(x), _decoded)
+
+
+#: One literal and one step, not a node of the plan for each name.
+_NAMED = "\n".join(f"&{name};\t{value}" for name, value in REFERENCES.items())
+
+
+def _decoded(x: Column) -> Column:
     parts = F.split(x, "&#(?=[0-9]{1,8};|[xX][0-9a-fA-F]{1,7};)")
 
     def char(n: Column) -> Column:
@@ -157,7 +169,6 @@ def decode_references(x: Column | str) -> Column:
         return F.when(i == 0, p).otherwise(F.concat(char(n), F.substr(p, F.char_length(name) + 2)))
 
     out = F.array_join(F.transform(parts, numbered), "")
-    # one literal and one step, not a node of the plan for each name
-    named = F.split(F.lit("\n".join(f"&{name};\t{value}" for name, value in REFERENCES.items())), "\n")
+    named = F.split(F.lit(_NAMED), "\n")
     out = F.aggregate(named, out, lambda acc, r: F.replace(acc, F.substring_index(r, "\t", 1), F.substring_index(r, "\t", -1)))
     return F.when(x.contains("&"), out).otherwise(x)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup
 from ..functions import text as X
+from ..sources.shared import cut
 from . import links as L
 
 # Entry points and markers of council systems and gazettes, the age limit of sessions, words of issues and portals.
@@ -14,6 +15,7 @@ COUNCIL_ENTRIES = ["", "/si0100.asp", "/si0100.php", "/index.php"]
 COUNCIL_SIGNS = ["sitzung", "gremium", "tagesordnung", "beschluss"]
 GAZETTE_SIGNS = ["amtsblatt", "bekanntmachung", "veröffentlichung", "ausgabe"]
 CUTOFF, OLD_RUN = "2023-01-01", 3
+FALLBACK_PATHS = ["si0100.asp", "si0100.php", "index.php"]
 OLD_ISSUE_TERMS = ["amtsblatt", "bekanntmachung", "ausgabe", "nummer"]
 PORTAL_TERMS = ["verfahren", "participation"]
 JOB_PATTERNS = {
@@ -47,8 +49,7 @@ def entry_page(official: DataFrame, guessed: DataFrame, seeds: DataFrame, answer
 def _from(pages: DataFrame, answers: DataFrame) -> DataFrame:
     """Links of the good answers to `pages` (any columns, url): those columns, url, pos, href, text, address.
 
-    `pages` stands once in the plan, and addresses are joined to the answer's own, a plain column; else each step of a
-    walk would repeat all steps before it.
+    Addresses are joined to the answer's own, a plain column.
     """
     own = [x for x in pages.columns if x != "url"]
     asked = pages.select(F.struct(*own).alias("_row"), F.col("url").alias("_asked"))
@@ -57,46 +58,60 @@ def _from(pages: DataFrame, answers: DataFrame) -> DataFrame:
     return found.select("_row.*", "url", "pos", "href", "text", L.absolute("url", "href").alias("address"))
 
 
-def council_items(roots: DataFrame, answers: DataFrame) -> DataFrame:
+def council_items(roots: DataFrame, answers: DataFrame, unfound: DataFrame | None = None) -> DataFrame:
     """Items of council systems: key, url, title, day, path, method, by way of committees and their sessions.
 
     From a root (key, url) the pages of committees follow, of those the sessions in order until OLD_RUN in a row are
     older than CUTOFF, of those the items with a telling word. Where a root names no committee its sessions are taken
-    directly. `answers` (url, status, html) are the recorded pages.
+    directly. `answers` (url, status, html) are the recorded pages. Municipalities of which no system was found
+    (`unfound`: key, url of the site) give the links with an item's marker on the fixed pages below a valid address.
+
+    What each step finds is written once, so the recorded pages are read once for each step: the fixed pages, the
+    committees' and lone roots', the sessions'.
     """
-    first = roots.select("key", "url", F.explode(F.array(*[F.lit(p) for p in L.COMMITTEE_PATHS])).alias("p")).select("key", F.col("url").alias("root"), L.absolute("url", "p").alias("url")).distinct()
-    committees = L.by_term(_from(first, answers), L.COMMITTEES, "text").select("key", F.col("address").alias("url")).distinct()
-    named = L.by_term(_from(committees, answers), L.SESSION_TERMS, "text").withColumn("day", L.dated(F.col("text")))
-    kept = L.until_old(named, ["key", "url"], "pos", "day", CUTOFF, OLD_RUN)
-    sessions = kept.select("key", F.col("url").alias("path"), F.col("address").alias("url"), "day", F.lit("committees").alias("method"))
-    lone = roots.join(committees.select("key").distinct(), "key", "left_anti").select("key", "url")
-    direct = L.by_term(_from(lone, answers), L.DIRECT_SESSION_TERMS, "text")
-    direct = direct.select("key", F.col("url").alias("path"), F.col("address").alias("url"), F.lit(None).cast("date").alias("day"), F.lit("direct_fallback").alias("method"))
-    items = L.by_term(_from(sessions.unionByName(direct), answers), L.ITEM_TERMS, "text")
-    return items.select("key", F.col("address").alias("url"), F.col("text").alias("title"), "day", "path", "method")
+    below = F.transform(F.array(*[F.lit(p) for p in L.COMMITTEE_PATHS]), lambda p: F.struct(p.alias("path"), F.lit(False).alias("lost")))
+    first = roots.select("key", F.col("url").alias("root"), F.explode(below).alias("p"))
+    if unfound is not None:
+        valid = unfound.where("url like 'http://%' or url like 'https://%'")
+        first = first.unionByName(valid.select("key", F.col("url").alias("root"), F.explode(F.transform(F.array(*[F.lit(p) for p in FALLBACK_PATHS]), lambda p: F.struct(p.alias("path"), F.lit(True).alias("lost")))).alias("p")))
+    first = first.select("key", "root", F.col("p.lost").alias("lost"), L.absolute("root", "p.path").alias("url")).distinct()
+    found = _from(first, answers).where(F.when(F.col("lost"), L.any_term(F.lower("href"), L.ITEM_MARKERS)).otherwise(L.any_term(F.lower("text"), L.COMMITTEES)))
+    found = cut(found.select("key", "root", "lost", "pos", "text", "address"))
+    committees = found.where("not lost").select("key", F.col("address").alias("url"), F.lit("committees").alias("method")).distinct()
+    lone = roots.join(committees.select("key").distinct(), "key", "left_anti").select("key", "url", F.lit("direct_fallback").alias("method"))
+    named = _from(committees.unionByName(lone), answers)
+    named = named.where(F.when(F.col("method") == "committees", L.any_term(F.lower("text"), L.SESSION_TERMS)).otherwise(L.any_term(F.lower("text"), L.DIRECT_SESSION_TERMS)))
+    named = cut(named.select("key", "url", "method", "pos", "address", F.when(F.col("method") == "committees", L.dated(F.col("text"))).alias("day")))
+    kept = L.until_old(named.where("method = 'committees'"), ["key", "url"], "pos", "day", CUTOFF, OLD_RUN).unionByName(named.where("method != 'committees'"))
+    items = L.by_term(_from(kept.select("key", F.col("url").alias("path"), F.col("address").alias("url"), "day", "method"), answers), L.ITEM_TERMS, "text")
+    out = items.select("key", F.col("address").alias("url"), F.col("text").alias("title"), "day", "path", "method")
+    lost = found.where("lost").select("key", F.col("address").alias("url"), F.col("text").alias("title"), F.lit(None).cast("date").alias("day"), F.col("root").alias("path"), F.lit("pattern_fallback").alias("method"))
+    return out if unfound is None else out.unionByName(lost)
 
 
 def gazette_items(feeds: DataFrame, answers: DataFrame) -> DataFrame:
     """Items of gazettes: key, url, title, kind, path. From a feed (key, url) the issues follow, of those with a planning
     word the PDF files, or the issue itself without any; other issues give their files and embedded PDFs.
 
-    A feed without issue links is read by the older, wider words.
+    A feed without issue links is read by the older, wider words. The issues found are written once; each issue's page
+    gives all its items in one look.
     """
-    all_ = _from(feeds.select("key", "url"), answers)
-    new = L.by_term(all_, L.ISSUE_TERMS, "text")
-    old = L.by_term(all_, OLD_ISSUE_TERMS, "text").join(new.select("key").distinct(), "key", "left_anti")
-    issues = new.unionByName(old).select("key", F.col("address").alias("url")).distinct()
+    telling = lambda x, terms: L.any_term(F.lower(x), terms)
+    all_ = _from(feeds.select("key", "url"), answers).where(telling(F.col("text"), [*L.ISSUE_TERMS, *OLD_ISSUE_TERMS]))
+    all_ = cut(all_.select("key", F.col("address").alias("url"), telling(F.col("text"), L.ISSUE_TERMS).alias("new")))
+    newer = all_.where("new").select("key").distinct()
+    issues = all_.where("new").unionByName(all_.where("not new").join(newer, "key", "left_anti")).select("key", F.col("url").alias("_asked")).distinct()
     pages = answers.where("status = 200").select("url", "html")
-    read = issues.withColumnRenamed("url", "_asked").join(pages, F.col("_asked") == F.col("url")).drop("_asked").withColumn("telling", L.any_term(F.lower("html"), L.GAZETTE_TERMS))
-    found = _from(read.select("key", "url", "telling"), answers)
-    pdf = F.lower("href").endswith(".pdf")
-    files = found.where(F.when(F.col("telling"), pdf).otherwise(L.any_end(F.lower("href"), L.DOCUMENT_ENDS)))
-    files = files.select("key", F.col("address").alias("url"), F.when(F.col("telling") & (F.col("text") == ""), "Amtsblatt PDF").otherwise(F.col("text")).alias("title"), F.lit("document").alias("kind"), F.col("url").alias("path"))
-    frames = read.where("not telling").select("key", "url", F.explode(iframe_files("html")).alias("src"))
-    frames = frames.select("key", L.absolute("url", "src").alias("item"), F.lit("Embedded PDF").alias("title"), F.lit("document").alias("kind"), F.col("url").alias("path")).withColumnRenamed("item", "url")
-    own = read.where("telling").join(files.select(F.col("path").alias("url"), "key").distinct(), ["key", "url"], "left_anti")
-    own = own.select("key", "url", F.coalesce(L.heading_of("html", "title"), F.lit("Amtsblatt Issue")).alias("title"), F.lit("issue").alias("kind"), F.col("url").alias("path"))
-    return files.unionByName(frames).unionByName(own)
+    read = issues.join(pages, F.col("_asked") == F.col("url")).select("key", "url", "html", telling(F.col("html"), L.GAZETTE_TERMS).alias("telling"))
+    found = read.withColumn("links", L.read_links("html"))
+    ends = lambda x: F.when(F.col("telling"), F.lower(x["href"]).endswith(".pdf")).otherwise(L.any_end(F.lower(x["href"]), L.DOCUMENT_ENDS))
+    item = lambda href, title, kind: F.struct(href.alias("href"), title.alias("title"), F.lit(kind).alias("kind"))
+    files = F.transform(F.filter("links", ends), lambda x: item(x["href"], F.when(F.col("telling") & (x["text"] == ""), "Amtsblatt PDF").otherwise(x["text"]), "document"))
+    frames = F.transform(iframe_files("html"), lambda x: item(x, F.lit("Embedded PDF"), "document"))
+    itself = F.array(item(F.lit(""), F.coalesce(L.heading_of("html", "title"), F.lit("Amtsblatt Issue")), "issue"))
+    given = X.let(files, lambda f: F.when(~F.col("telling"), F.concat(f, frames)).when(F.size(f) > 0, f).otherwise(itself))
+    out = found.select("key", F.col("url").alias("path"), F.explode(given).alias("x"))
+    return out.select("key", L.absolute("path", "x.href").alias("url"), "x.title", "x.kind", "path")
 
 
 def iframe_files(html: Column | str) -> Column:
@@ -107,7 +122,7 @@ def iframe_files(html: Column | str) -> Column:
 def sections(homes: DataFrame, answers: DataFrame) -> DataFrame:
     """Addresses (key, url, method) of the sections of municipal sites (key, url): links with a telling word on the home
     page, else those of the fixed paths that answer with status 200."""
-    linked = L.by_term(_from(homes, answers), L.SECTION_TERMS, "both").select("key", F.col("address").alias("url"), F.lit("links").alias("method")).distinct()
+    linked = cut(L.by_term(_from(homes, answers), L.SECTION_TERMS, "both").select("key", F.col("address").alias("url"), F.lit("links").alias("method")).distinct())
     rest = homes.join(linked.select("key").distinct(), "key", "left_anti").select("key", F.regexp_replace("url", "/+$", "").alias("base"))
     fixed = L.section_paths(rest, answers.where("status = 200").select("url")).select("key", "url", F.lit("paths").alias("method"))
     return linked.unionByName(fixed)

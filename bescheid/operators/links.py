@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup
 from ..functions.text import decode_references
+from ..sources.shared import cut
 
 # Words in link texts and addresses that decide what is harvested, and guessed paths.
 SECTION_TERMS = [
@@ -45,13 +46,17 @@ URL_PATTERNS = {
 def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per link of `pages` (key, url, html): key, url, pos (from 1), href, text without tags.
 
-    Expressions only, in one pass: the page is split at its anchors. Character references are decoded.
+    Read before they are exploded: filters by many words then look at a column, not each at the whole expression.
     """
-    text = lambda x: F.trim(F.regexp_replace(decode_references(markup.without_tags(F.get(F.split(x, "(?i)</a>", 2), 0), " ")), r"[\s\u00a0]+", " "))
-    # read before they are exploded: filters by many words then look at a column, not each at the whole expression
-    read = F.transform(markup.tags("html", "a", "href"), lambda x: F.struct(decode_references(x["value"]).alias("href"), text(x["inside"]).alias("text")))
     own = list(dict.fromkeys((key, "url")))
-    return pages.select(*own, F.posexplode(read).alias("p", "a")).select(*own, (F.col("p") + 1).alias("pos"), "a.href", "a.text")
+    return pages.select(*own, F.posexplode(read_links("html")).alias("p", "a")).select(*own, (F.col("p") + 1).alias("pos"), "a.href", "a.text")
+
+
+def read_links(html: Column | str) -> Column:
+    """The links of a page in order, as structs of href and text: expressions only, in one pass over the page split at its
+    anchors, with character references decoded."""
+    text = lambda x: F.trim(F.regexp_replace(decode_references(markup.without_tags(F.get(F.split(x, "(?i)</a>", 2), 0), " ")), r"[\s\u00a0]+", " "))
+    return F.transform(markup.tags(html, "a", "href"), lambda x: F.struct(decode_references(x["value"]).alias("href"), text(x["inside"]).alias("text")))
 
 
 #: The same in DuckDB, by splitting at anchors; it decodes the references that the tables hold.
@@ -138,13 +143,17 @@ def gazette_rank(url: Column) -> Column:
 def reach(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
     """Addresses that links (src, dst) lead to from `seeds` (url) in at most `depth` steps, with their distance.
 
-    A bounded number of joins; visited addresses are left out by anti joins, so cycles end.
+    Each step's new addresses are written once and are all that the next step joins, so a step's work follows its
+    frontier, plans do not grow with the depth, and visited addresses are left out, so cycles end. It ends early when a
+    step finds nothing new.
     """
-    seen = seeds.select("url", F.lit(0).alias("depth")).distinct()
-    front = seen
+    front = cut(seeds.select("url", F.lit(0).alias("depth")).distinct())
+    seen = front
     for d in range(1, depth + 1):
         new = edges.join(front.select(F.col("url").alias("src")), "src").select(F.col("dst").alias("url")).distinct()
-        front = new.join(seen.select("url"), "url", "left_anti").select("url", F.lit(d).alias("depth"))
+        front = cut(new.join(seen.select("url"), "url", "left_anti").select("url", F.lit(d).alias("depth")))
+        if front.isEmpty():
+            break
         seen = seen.unionByName(front)
     return seen
 

@@ -246,7 +246,7 @@ def url_slug(spark: SparkSession, d: str) -> DataFrame:
 
 @query("url_authority", "SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS authority, sha256(url) AS url_sha256 FROM pages WHERE url IS NOT NULL")
 def url_authority(spark: SparkSession, d: str) -> DataFrame:
-    return B.read(spark, d, "pages").where("url is not null").select("page_id", X.authority("url").alias("authority"), X.sha256("url").alias("url_sha256"))
+    return B.pages(spark, d).where("url is not null").select("page_id", X.authority("url").alias("authority"), X.sha256("url").alias("url_sha256"))
 
 
 _MESSAGE = "CASE event_id % 5 WHEN 0 THEN 'SSL handshake' WHEN 1 THEN 'bad Certificate' WHEN 2 THEN 'Connection refused' WHEN 3 THEN 'read TimeOut' ELSE 'not found' END"
@@ -272,7 +272,7 @@ PG = f"pg AS (SELECT page_id, url, coalesce(html, '') || {_ADDED} AS html FROM p
 
 
 def _links(spark: SparkSession, d: str) -> DataFrame:
-    return L.links(B.read(spark, d, "pages").select("page_id", "url", F.expr(f"coalesce(html, '') || {_ADDED}").alias("html")))
+    return L.links(B.pages(spark, d).select("page_id", "url", F.expr(f"coalesce(html, '') || {_ADDED}").alias("html")))
 
 
 @query("html_links", f"WITH {PG}, {L.LINKS_SQL} SELECT page_id, CAST(pos AS INT) AS pos, href, text FROM l")
@@ -328,7 +328,7 @@ def session_links(spark: SparkSession, d: str) -> DataFrame:
 
 @query("gazette_items", f"WITH {PG}, {L.LINKS_SQL}, h AS (SELECT page_id, url FROM pg WHERE {S.any_sql('lower(html)', L.GAZETTE_TERMS)}), p AS (SELECT page_id, href AS item, 'document' AS kind FROM l WHERE lower(href) LIKE '%.pdf' AND page_id IN (SELECT page_id FROM h)) SELECT * FROM p UNION ALL SELECT page_id, url, 'issue' FROM h WHERE page_id NOT IN (SELECT page_id FROM p)")
 def gazette_items(spark: SparkSession, d: str) -> DataFrame:
-    pages = B.read(spark, d, "pages").select("page_id", "url", F.expr(f"coalesce(html, '') || {_ADDED}").alias("html"))
+    pages = B.pages(spark, d).select("page_id", "url", F.expr(f"coalesce(html, '') || {_ADDED}").alias("html"))
     return L.gazette_items(pages, L.links(pages))
 
 
@@ -521,7 +521,7 @@ def progressive_text(spark: SparkSession, d: str) -> DataFrame:
 
 @query("cache_misses", "SELECT page_id, sha256(url) AS key FROM pages WHERE url IS NOT NULL AND sha256(url) NOT IN (SELECT sha256(url) FROM pages WHERE url IS NOT NULL AND page_id % 3 <> 0 AND page_id % 5 <> 0)")
 def cache_misses(spark: SparkSession, d: str) -> DataFrame:
-    pages = B.read(spark, d, "pages").where("url is not null")
+    pages = B.pages(spark, d).where("url is not null")
     at = F.when(c("page_id") % 5 == 0, "2024-01-01 00:00:00").otherwise("2024-01-30 00:00:00").cast("timestamp_ntz")
     cache = pages.where("page_id % 3 != 0").select(store.cache_key("url").alias("key"), at.alias("cached_at"))
     return store.misses(pages, cache, F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"), days=7).select("page_id", "key")
@@ -529,7 +529,7 @@ def cache_misses(spark: SparkSession, d: str) -> DataFrame:
 
 @query("robots_allowed", "SELECT page_id, NOT coalesce((SELECT bool_or(starts_with(regexp_replace(url, '^[a-z]+://[^/?#]*', ''), p)) FROM (VALUES ('/fr/'), ('/de/1')) AS r(p)), FALSE) AS allowed FROM pages WHERE url IS NOT NULL")
 def robots_allowed(spark: SparkSession, d: str) -> DataFrame:
-    pages = B.read(spark, d, "pages").where("url is not null").select("page_id", "url")
+    pages = B.pages(spark, d).where("url is not null").select("page_id", "url")
     hosts = pages.select(X.authority("url").alias("host")).distinct()
     rules = hosts.select("host", F.explode(F.array(F.lit("/fr/"), F.lit("/de/1"))).alias("prefix"))
     return store.allowed(pages, rules).select("page_id", "allowed")
@@ -567,12 +567,12 @@ def window_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("page_text", r"SELECT page_id, sha256(trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!--.*?-->', '', 'g'), '<[^>]*>', chr(10), 'g'), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s*\n\s*', chr(10), 'g'), chr(10) || ' ')) AS text_sha256 FROM pages WHERE html IS NOT NULL")
 def page_text(spark: SparkSession, d: str) -> DataFrame:
-    return B.read(spark, d, "pages").where("html is not null").select("page_id", X.sha256(store.page_text("html")).alias("text_sha256"))
+    return B.pages(spark, d).where("html is not null").select("page_id", X.sha256(store.page_text("html")).alias("text_sha256"))
 
 
 @query("page_heads", "SELECT page_id, replace(replace(replace(replace(coalesce(nullif(trim(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', '', 'g')), ''), nullif(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), '')), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&') AS title FROM pages WHERE html IS NOT NULL")
 def page_heads(spark: SparkSession, d: str) -> DataFrame:
-    return B.read(spark, d, "pages").where("html is not null").select("page_id", L.heading("html").alias("title"))
+    return B.pages(spark, d).where("html is not null").select("page_id", L.heading("html").alias("title"))
 
 
 @query("url_patterns", "SELECT n_nationkey, k AS kind, replace(p, '{}', s) AS url FROM (SELECT n_nationkey, " + X.slug_sql("n_name", "D") + " AS s FROM nation), (VALUES " + ", ".join(f"('{k}', '{p}')" for k, ps in L.URL_PATTERNS.items() for p in ps) + ") AS t(k, p)")

@@ -11,6 +11,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.store import dealt
+
 #: The reports' present moment; never the clock.
 AS_OF = datetime(2024, 1, 31)
 
@@ -19,6 +21,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded pages, dealt out over the cores if they come in fewer files than those."""
+    return dealt(read(spark, sf_dir, "pages"))
+
+
 def seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """municipality_key, name, county, state: nations and their regions. 25 rows: a side that may be broadcast."""
     r = read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("county"))

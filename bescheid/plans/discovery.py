@@ -65,6 +65,17 @@ def council_items(spark: SparkSession, d: str) -> DataFrame:
     return D.council_items(*_council(spark, d))
 
 
+@query("council_fallback", """WITH e AS (SELECT event_id AS e, user_id % 50 AS k, 'https://ort' || (user_id % 50) || '.example/' AS base FROM events)
+SELECT CAST(k AS VARCHAR) AS key, base || 'Vorlage.asp?id=' || e AS url, 'Antrag ' || e AS title, CAST(NULL AS DATE) AS day, base AS path, 'pattern_fallback' AS method FROM e WHERE e % 2 = 0 AND k % 3 > 0 AND k % 5 > 0""")
+def council_fallback(spark: SparkSession, d: str) -> DataFrame:
+    """Municipalities without a council system: the fixed pages of valid addresses are searched for items."""
+    e = _events(spark, d).select("e", (c("u") % 50).alias("k")).withColumn("base", F.concat(F.when(c("k") % 5 == 0, "ftp").otherwise("https"), F.lit("://ort"), _text(c("k")), F.lit(".example/")))
+    link = F.when(c("e") % 2 == 0, F.concat(F.lit("<a href='Vorlage.asp?id="), _text(c("e")), F.lit("'>Antrag "), _text(c("e")), F.lit("</a>"))).otherwise("<a href='/kontakt'>Kontakt</a>")
+    pages = e.withColumn("a", link).groupBy("base", "k").agg(_joined("e", "a").alias("html")).select(F.concat("base", F.lit("si0100.php")).alias("url"), F.when(c("k") % 3 > 0, 200).otherwise(404).alias("status"), "html")
+    sites = e.select(_text(c("k")).alias("key"), c("base").alias("url")).distinct()
+    return D.council_items(sites.where("false"), pages, sites)
+
+
 # gazettes: 40 feeds with seven issues each; every third issue has files, tells without files, or has an embedded file
 def _gazette(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     e = _events(spark, d).select("e", (c("u") % 40).alias("k"), (c("e") % 7).alias("m"))
