@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import html
 import random
 import re
@@ -20,16 +21,13 @@ from .common import mapped, ship, strings, table
 PATH, WORDS, EXTRA, HIDDEN = 512, 128, 10, 12
 WIDTH = PATH + WORDS + EXTRA
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"""|<svg\b(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?<=/)>"""  # closed by itself: nothing is in it
-    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"""|<(?P<end>/?)(?P<tag>[a-z][a-z0-9-]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-    r"|<(?P<end2>/?)(?P<tag2>[a-z][a-z0-9-]*)[^>]*>"
-    r"|<[!?/][^>]*>?"
-    r"|(?P<text>[^<]+|<)",
-    re.IGNORECASE | re.DOTALL,
-)
+_NAME = re.compile(r"[a-z][a-z0-9-]*", re.IGNORECASE)
+#: Elements whose inside is no text of the page.
+_SILENT = "script style noscript template textarea iframe svg".split()
+_RAW = re.compile(rf"(?:{'|'.join(_SILENT)})\b", re.IGNORECASE)
+_CLOSE = {x: re.compile(rf"</{x}\s*>", re.IGNORECASE) for x in _SILENT}
+_ATTRIBUTES = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+_SPECIAL = re.compile("[\"'>]")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark picture q s samp small source span strike strong sub sup time tt u var wbr".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -48,6 +46,83 @@ def _bucket(word: str, size: int) -> int:
     return got % size
 
 
+class _Ends:
+    """Where tags of a page end: at the first `>` outside quotes.
+
+    A tag is read ahead. If that reads the page several times over, as quotes that close nowhere make it, the ends are worked
+    out once for all places, from the back: behind a quote the end is that behind its partner.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.left, self.spots, self.ends = page, 8 * len(page) + 1000, None, []
+
+    def after(self, at: int) -> int:
+        """The place behind the tag whose attributes begin at `at`; -1 if it has no end outside quotes."""
+        if self.spots is None:
+            m = _ATTRIBUTES.match(self.page, at)
+            end = m.end() if m else -1
+            self.left -= (end if m else len(self.page)) - at
+            if self.left < 0:
+                self._all()
+            return end
+        return self.ends[bisect.bisect_left(self.spots, at)]
+
+    def _all(self) -> None:
+        self.spots = [m.start() for m in _SPECIAL.finditer(self.page)]
+        self.ends = [-1] * (len(self.spots) + 1)
+        partner: dict[str, int] = {}
+        for k in range(len(self.spots) - 1, -1, -1):
+            at = self.spots[k]
+            c = self.page[at]
+            if c == ">":
+                self.ends[k] = at + 1
+            else:
+                j = partner.get(c)
+                self.ends[k] = -1 if j is None else self.ends[j + 1]
+                partner[c] = k
+
+
+def _tokens(page: str) -> Iterator[tuple[str | None, str, bool, str | None]]:
+    """(text or None, tag, whether it ends one, attributes or None) in order, in time that grows with the page.
+
+    Comments, declarations and elements without text are left out, to the page's end if nothing closes them.
+    """
+    ends, last, n, at = _Ends(page), page.rfind(">"), len(page), 0
+    while at < n:
+        lt = page.find("<", at)
+        if lt < 0:
+            yield page[at:], "", False, None
+            return
+        if lt > at:
+            yield page[at:lt], "", False, None
+        if page.startswith("<!--", lt):
+            end = page.find("-->", lt + 4)
+            at = n if end < 0 else end + 3
+            continue
+        sign = page[lt + 1 : lt + 2]
+        m = _NAME.match(page, lt + 2 if sign == "/" else lt + 1) if lt < last else None
+        if m:
+            if sign != "/" and (raw := _RAW.match(page, lt + 1)):
+                name, end = raw[0].lower(), -1
+                if name == "svg":  # closed by itself: nothing is in it
+                    end = ends.after(raw.end())
+                    end = end if end > 0 and page[end - 2] == "/" else -1
+                if end < 0:
+                    close = _CLOSE[name].search(page, page.find(">", raw.end()) + 1)
+                    end = close.end() if close else n
+                at = end
+                continue
+            end = ends.after(m.end())
+            yield None, m[0], sign == "/", page[m.end() : end - 1] if end > 0 else None
+            at = end if end > 0 else page.find(">", m.end()) + 1
+        elif sign and sign in "!?/":
+            end = page.find(">", lt + 2)
+            at = n if end < 0 else end + 1
+        else:
+            yield "<", "", False, None
+            at = lt + 1
+
+
 class Block:
     """A text with the hashed names of all its open elements, the innermost tag, whether a title is open, and its share in links."""
 
@@ -99,8 +174,7 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
         linked = total = 0
 
-    for m in _TOKEN.finditer(page):
-        text = m["text"]
+    for text, tag, ended, attrs in _tokens(page):
         if text is not None:
             if parts or not text.isspace():
                 parts.append(html.unescape(text) if "&" in text else text)
@@ -108,14 +182,11 @@ def blocks(page: str) -> list[Block]:
                 if tags["a"] > 0:
                     linked += len(text)
             continue
-        tag = m["tag"] or m["tag2"]
-        if tag is None:
-            continue
         tag = tag.lower()
         inline = tag in _INLINE
         if not inline:
             flush()
-        if m["end"] or m["end2"]:
+        if ended:
             if tags[tag] > 0:
                 i = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag)
                 # an inline element that ends below open blocks ends alone
@@ -134,7 +205,6 @@ def blocks(page: str) -> list[Block]:
         if tag == "a" and tags["a"] > 0:  # links do not nest: the next one ends one left open
             unlink()
         own = [_bucket("<" + tag, PATH)]
-        attrs = m["attrs"]
         if attrs and "=" in attrs:
             for x in _NAMES.findall(attrs):
                 own += [_bucket("." + w, PATH) for w in re.findall(r"[a-z]+", "".join(x).lower())]
