@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import markup
 from ..functions.text import decode_references
 from ..sources.shared import cut
+from .running import running
 
 # Words in link texts and addresses that decide what is harvested, and guessed paths.
 SECTION_TERMS = [
@@ -168,16 +169,17 @@ def candidates(seeds: DataFrame, patterns: list[str], pages: DataFrame, marker:
 def until_old(rows: DataFrame, key: str | list[str], order: str, day: str, cutoff: str, run: int = 3) -> DataFrame:
     """Rows of each key in order, up to the row that completes `run` consecutive days before `cutoff`.
 
-    That row and all later ones go; the first old rows stay; an undated row breaks the run. One window looks at the
-    `run` - 1 rows before each; a key's first stop is then a pre-aggregated minimum.
+    That row and all later ones go; the first old rows stay; an undated row breaks the run. Numbers of rows and of old
+    rows so far tell the runs: within one their difference stays. They run over ranges (`running`), so a key with most
+    rows is no single task; a key's first stop is a pre-aggregated minimum.
     """
     keys = [key] if isinstance(key, str) else key
-    w = W.partitionBy(*keys).orderBy(order)
     old = F.coalesce(F.col(day) < F.lit(cutoff).cast("date"), F.lit(False))
-    x = rows.withColumn("_old", old.cast("int"))
-    x = x.withColumn("_run", F.sum("_old").over(w.rowsBetween(1 - run, 0)))
-    stop = F.min(F.when(F.col("_run") == run, F.col(order))).over(W.partitionBy(*keys))
-    return x.withColumn("_stop", stop).where(F.col("_stop").isNull() | (F.col(order) < F.col("_stop"))).drop("_old", "_run", "_stop")
+    x = running(rows.withColumn("_old", old), keys, [order], {"_n": F.lit(1), "_c": F.col("_old").cast("int")})
+    x = x.withColumns({"_key": F.xxhash64(*keys), "_more": F.xxhash64(F.lit(1), *keys)})
+    runs = x.where("_old").groupBy("_key", "_more", F.expr("_n - _c").alias("_run")).agg(F.min("_n").alias("_first"), F.count("*").alias("_held")).where(F.col("_held") >= run)
+    stop = runs.groupBy("_key", "_more").agg((F.min("_first") + (run - 1)).alias("_stop"))
+    return x.join(stop, ["_key", "_more"], "left").where("_stop is null or _n < _stop").select(*rows.columns)
 
 
 def typed_links(found: DataFrame) -> DataFrame:

@@ -544,6 +544,20 @@ def wfs_features(spark: SparkSession, d: str) -> DataFrame:
     return store.features(B.read(spark, d, "events").select(doc.alias("body"))).select(c("id").cast("int").alias("feature"), "name", c("planart").alias("kind"))
 
 
+@query("wfs_members", "SELECT CASE WHEN e % 3 > 0 THEN 'a' || e WHEN i = 0 THEN 'a' || e || ' & b' ELSE 'b' || e END AS name, CASE WHEN i = 0 THEN 'BP' ELSE '' END AS kind, CASE WHEN e % 3 = 0 AND i = 1 THEN 'Seedorf' ELSE '' END AS gemeinde FROM (SELECT CAST(event_id AS INT) AS e FROM events), range(2) AS t(i) WHERE e % 3 = 0 OR i = 0")
+def wfs_members(spark: SparkSession, d: str) -> DataFrame:
+    """Answers in two formats: every third is XML with two members."""
+    num = c("event_id").cast("string")
+    part = lambda *x: F.concat(F.lit("<wfs:member><xp:BP gml:id='i'>"), *x, F.lit("</xp:BP></wfs:member>"))
+    xml = F.concat(
+        F.lit('<?xml version="1.0"?><wfs:FeatureCollection xmlns:wfs="http://www.opengis.net/wfs/2.0" xmlns:xp="http://www.xplanung.de/xplangml/6/0">'), part(F.lit("<xp:name>a"), num, F.lit(" &amp; b</xp:name><xp:planArt>BP</xp:planArt>")),
+        part(F.lit("<xp:name/><xp:name></xp:name><xp:bezeichnung>b"), num, F.lit("</xp:bezeichnung><xp:ort><xp:gemeinde x='1'>Seedorf</xp:gemeinde></xp:ort>")), F.lit("</wfs:FeatureCollection>"),
+    )
+    json = F.concat(F.lit('{"features":[{"id":"'), num, F.lit('","properties":{"name":"a'), num, F.lit('","planart":"BP"}}]}'))
+    body = F.when(c("event_id") % 3 == 0, xml).otherwise(json)
+    return store.features(B.read(spark, d, "events").select(body.alias("body"))).select("name", c("planart").alias("kind"), "gemeinde")
+
+
 @query("procedure_records")
 def procedure_records(spark: SparkSession, d: str) -> DataFrame:
     """The whole record of each valid announcement: scores, tags, extracted fields."""

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import authority
+from ..operators.running import running
 
 # Words of which a council system's page holds one; the most features of a layer.
 COUNCIL_MARKERS = ["sitzung", "gremium", "tagesordnung", "beschluss", "sessionnet", "ratsinformationssystem", "ris", "vorlage", "antrag"]
@@ -119,9 +120,10 @@ def paged(batches: DataFrame, most: int = MOST_FEATURES) -> DataFrame:
     return rows.select("layer", (F.col("start") + F.col("at")).alias("place"), "feature").where(F.col("place") < most)
 
 
-def paced(requests: DataFrame, order: str = "url") -> DataFrame:
-    """Requests (url) with their host and the seconds after which each may start, one after another within a host."""
+def paced(requests: DataFrame, order: str = "url", lanes: int = 1) -> DataFrame:
+    """Requests (url) with their host and the seconds after which each may start: `lanes` at once within a host, one after
+    another in each lane. A host with most requests is numbered in ranges, not in one task."""
     x = requests.withColumn("host", F.coalesce(authority("url"), F.lit("")))
     delay = F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for kv in DELAYS.items() for v in kv]), F.col("host")), F.lit(DELAY))
-    place = F.row_number().over(W.partitionBy("host").orderBy(order)) - 1
-    return x.withColumn("starts", place * delay)
+    x = running(x, ["host"], [order], {"_place": F.lit(1)})
+    return x.withColumn("starts", F.floor((F.col("_place") - 1) / lanes) * delay).drop("_place")

@@ -53,14 +53,31 @@ def progressive(df: DataFrame, pages: str, first: int) -> DataFrame:
 
 
 def features(answers: DataFrame) -> DataFrame:
-    """One row per feature of GeoJSON answers (body): id, name, planart, gemeinde, each from either spelling.
+    """One row per feature of a map service's answers (body): id, name, planart, gemeinde, each from either spelling.
 
-    An empty value counts as missing; what is missing on both sides is empty.
+    An answer is GeoJSON, else XML, whose members are cut apart (`members`). An empty value counts as missing; what is
+    missing on both sides is empty. Members have no id.
     """
     schema = "struct<features:array<struct<id:string,properties:map<string,string>>>>"
-    f = answers.select(F.explode(F.from_json("body", schema)["features"]).alias("f")).select("f.id", F.col("f.properties").alias("p"))
+    is_json = F.get_json_object("body", "$").isNotNull()
+    f = answers.where(is_json).select(F.explode(F.from_json("body", schema)["features"]).alias("f")).select("f.id", F.col("f.properties").alias("p"))
+    m = answers.where(~F.coalesce(is_json, F.lit(True))).select(F.explode(members("body")).alias("p")).select(F.lit(None).cast("string").alias("id"), "p")
     either = lambda *names: F.coalesce(*[F.nullif(F.try_element_at("p", F.lit(n)), F.lit("")) for n in names], F.lit(""))
-    return f.select("id", either("name", "bezeichnung").alias("name"), either("planart", "planArt").alias("planart"), either("gemeinde", "gemeindename").alias("gemeinde"))
+    return f.unionByName(m).select("id", either("name", "bezeichnung").alias("name"), either("planart", "planArt").alias("planart"), either("gemeinde", "gemeindename").alias("gemeinde"))
+
+
+#: The names that are read of a member.
+MEMBER_FIELDS = ["name", "bezeichnung", "planart", "planArt", "gemeinde", "gemeindename", "status"]
+
+
+def members(body: Column | str) -> Column:
+    """The feature members of an XML answer in order: maps from the names of their elements, without prefix, to the last
+    text that stands under each. The answer is cut at its members, so each is read once."""
+    parts = F.split(F.col(body) if isinstance(body, str) else body, r"<(?:[\w.-]+:)?member(?=[\s>])[^>]*>", -1)
+    inside = lambda p: F.get(F.split(p, r"</(?:[\w.-]+:)?member\s*>", 2), 0)
+    last = lambda p, n: F.try_element_at(F.regexp_extract_all(p, F.lit(rf"<(?:[\w.-]+:)?{n}(?:\s[^<>]*)?(?<!/)>([^<]*)<"), F.lit(1)), F.lit(-1))
+    fields = lambda p: F.create_map(*[x for n in MEMBER_FIELDS for x in (F.lit(n), decode_references(last(p, n)))])
+    return F.transform(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), inside), fields)
 
 
 def page_text(html: Column | str) -> Column:
