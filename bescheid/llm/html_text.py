@@ -340,8 +340,9 @@ _BOILER = "home about contact login register subscribe newsletter privacy cookie
 
 
 #: Layouts of invented pages and their weights: telling names or elements; names that say nothing; nested divs without
-#: names; text and little else; a table as frame; lines parted by <br>.
-FAMILIES = {"named": 10, "utility": 3, "divs": 3, "plain": 3, "table": 2, "breaks": 1}
+#: names; text and little else; a table as frame; lines parted by <br>; few paragraphs, some of them links, beside forms and
+#: readers' comments.
+FAMILIES = {"named": 10, "utility": 3, "divs": 3, "plain": 3, "table": 2, "breaks": 1, "sparse": 3}
 
 
 def _page(r: random.Random, family: str = "named") -> tuple[str, set[str]]:
@@ -400,7 +401,7 @@ def _page(r: random.Random, family: str = "named") -> tuple[str, set[str]]:
     side = lambda: box(r.choice(("aside", "aside", "div")), ["sidebar", "side", "widget", "related", "aside", "rail"], r.choice((lambda: links(2, 8), lambda: f"<h3>{boiler(1, 4)}</h3>" + paras(r.randint(1, 3), False)))())
     notice = lambda: box("div", ["cookie", "cookie-notice", "notice", "consent", "banner", "gdpr", "alert", "popup", "modal", "cookie-banner"], f"<p>{boiler(5, 40)}</p><button>{boiler(1, 2)}</button>")
     form = lambda: f"<form action=x>{r.choice(('', '<label>' + boiler(1, 3) + '</label>', '<p>' + boiler(4, 20) + '</p>'))}<input name=q><select><option>{boiler(1, 2)}<option>{boiler(1, 2)}</select><button>{boiler(1, 2)}</button></form>"
-    remarks = lambda: box(r.choice(("div", "section", "ol", "ul")), ["comments", "comment-list", "commentlist", "discussion", "responses", "user-comments", "reader-comments"], "".join(box(r.choice(("div", "li", "article")), ["comment", "reply", "comment-body", ""], (f"<b>{boiler(1, 2)}</b>" if r.random() < 0.5 else "") + f"<p>{words(3, 70)}</p>") for _ in range(r.randint(1, 6))))
+    remarks = lambda: box(r.choice(("div", "section", "ol", "ul")), ["comments", "comment-list", "commentlist", "discussion", "responses", "user-comments", "reader-comments", "disqus_thread", "comments-area", "comment-section", "fb-comments", "respond"], "".join(box(r.choice(("div", "li", "article")), ["comment", "reply", "comment-body", "", "post", "media-body", "comment-content"], (f"<b>{boiler(1, 2)}</b>" if r.random() < 0.5 else "") + f"<p>{words(3, 70)}</p>") for _ in range(r.randint(1, 6))))
     footer = lambda: r.choice((lambda: f"<footer>&copy; {word()}.example.com &middot; {boiler(3, 20)}</footer>", lambda: f"<footer><p>{boiler(3, 20)}</p>{links(1, 5)}</footer>", lambda: box("div", ["footer", "site-footer", "copyright", "bottom", "foot"], f"<p>{boiler(2, 20)}</p>")))()
 
     title = words(2, 8)
@@ -419,6 +420,13 @@ def _page(r: random.Random, family: str = "named") -> tuple[str, set[str]]:
         top = [f() for f in (header, nav, ad, notice, form, side) if r.random() < 0.4]
         r.shuffle(top)
         low = [f() for f in (remarks, side, ad, form, notice, nav, footer) if r.random() < 0.4]
+    elif family == "sparse":
+        paragraph = lambda: r.choice(("<p>{}</p>", "<p>{}</p>", '<p><a href="/{1}">{0}</a></p>', "<p>{} <a href=x>{1}</a></p>")[: 2 if r.random() < 0.5 else 3]).format(keep(words(6, 45)), word())
+        ask = lambda: f"<form{r.choice(('', ' action=/x', ' method=post'))}>{r.choice(('', '<label>' + boiler(1, 3) + '</label>', '<p>' + boiler(2, 6) + '</p>'))}{r.choice(('<textarea>', '<textarea name=t>', '<textarea rows=4>')) + boiler(0, 6) + '</textarea>' if r.random() < 0.6 else '<input name=q>'}<button>{boiler(1, 2)}</button></form>"
+        body = (body if r.random() < 0.4 else "") + "".join(paragraph() for _ in range(r.choice((1, 1, 1, 2, 2, 3, 5))))
+        article = r.choice(("{}", "{}", "<div>{}</div>", "<article>{}</article>", "<article>{}</article>", "<main>{}</main>")).format(body)
+        top = [f() for f in (nav, ask, header) if r.random() < 0.15]
+        low = [f() for f in (ask, remarks, footer) if r.random() < 0.45]
     else:
         # nothing but links, forms, elements and words tells the rest of such a page from its text
         own = lambda k: " ".join(r.choice(_BOILER.split()) for _ in range(k))

@@ -16,6 +16,14 @@ PLAIN = {
     "<b>one<p>two</b> three</p><p>&lt;b&gt; four": "one\ntwo three\n<b> four",
 }
 
+STORY = "The town council met on Tuesday and agreed to rebuild the old bridge over the river before winter comes, as many people had asked for."
+#: One paragraph beside a form, a paragraph that is a link, comments under a common name.
+PLAIN |= {
+    f"<body><p>{STORY}</p><form><textarea>draft</textarea><button>Send</button></form></body>": STORY,
+    f"<article><p><a href=/x>{STORY}</a></p><p>{STORY}</p></article>": f"{STORY}\n{STORY}",
+    f'<article><p>{STORY}</p></article><div id="disqus_thread"><div class="post"><p>Great article, thanks!</p></div></div>': STORY,
+}
+
 
 @pytest.mark.parametrize("page", PLAIN)
 def test_plain_pages(page):
