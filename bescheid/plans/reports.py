@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators import distinct
 from . import bindings as B
 from .base import Book
 
@@ -102,6 +103,26 @@ def coverage_top_municipalities(spark: SparkSession, d: str) -> DataFrame:
     return B.seed(spark, d).where("state = 'BB'").join(n, "municipality_key").join(m, "municipality_key", "left").select("name", "county", "procedures", F.coalesce("sources", F.lit(0)).alias("sources"), F.coalesce("documents", F.lit(0)).alias("documents")).orderBy(F.desc("procedures"), "name").limit(50)
 
 
+_LEVELS = [[], ["county"], ["county", "name"]]
+_SETS = "CAST(2 - grouping(county) - grouping(name) AS INTEGER) AS level, county, name"
+
+
+def _by_delta(rows: DataFrame, by: list[str], key: str, counted: dict) -> DataFrame:
+    """States of the rows with even keys, and of the others as a delta that merges with them."""
+    return distinct.merged(*[distinct.states(rows.where(F.col(key) % 2 == k), by, counted) for k in (0, 1)])
+
+
+@query("coverage_levels", f"""WITH {B.SEED_SQL}, {_PS}, j AS (SELECT s.county, s.name, s.municipality_key, p.procedure_id, p.procedure_type, x.source_id, x.document_id FROM procedures p JOIN seed s ON s.municipality_key = p.municipality_key AND s.state = 'BB' AND p.state = 'BB' LEFT JOIN sources x ON x.procedure_id = p.procedure_id)
+SELECT {_SETS}, count(DISTINCT municipality_key) AS municipalities, count(DISTINCT procedure_id) AS procedures, count(DISTINCT CASE WHEN procedure_type <> 'UNKNOWN' THEN procedure_id END) AS known_procedures, count(DISTINCT source_id) AS sources, count(DISTINCT document_id) AS documents FROM j GROUP BY GROUPING SETS ((), (county), (county, name))""")
+def coverage_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Coverage of the state, its counties and municipalities from one scan of the sources, by bitmaps."""
+    p = B.procedures(spark, d).where("state = 'BB'").select("procedure_id", "municipality_key", "procedure_type")
+    s = B.sources(spark, d).where("procedure_id is not null").select("procedure_id", "source_id", "document_id")
+    rows = p.join(s, "procedure_id", "left").join(B.seed(spark, d).where("state = 'BB'").select("municipality_key", "county", "name"), "municipality_key")
+    counted = {"municipalities": F.col("municipality_key"), "procedures": F.col("procedure_id"), "known_procedures": F.when(known(), F.col("procedure_id")), "sources": F.col("source_id"), "documents": F.col("document_id")}
+    return distinct.counts(_by_delta(rows, ["county", "name"], "procedure_id", counted), _LEVELS, list(counted))
+
+
 @query("coverage_by_source", f"WITH {_PS} SELECT coalesce(discovery_source, 'UNKNOWN') AS source, count(DISTINCT p.procedure_id) AS procedures, count(DISTINCT CASE WHEN procedure_type <> 'UNKNOWN' THEN p.procedure_id END) AS known_procedures FROM procedures p LEFT JOIN sources s ON s.procedure_id = p.procedure_id GROUP BY discovery_source")
 def coverage_by_source(spark: SparkSession, d: str) -> DataFrame:
     pairs = B.sources(spark, d).where("procedure_id is not null").select("procedure_id", "discovery_source").distinct()
@@ -133,6 +154,14 @@ def project_coverage_by_county(spark: SparkSession, d: str) -> DataFrame:
     return _projects(spark, d).groupBy("county").agg(*_pcounts())
 
 
+@query("project_coverage_levels", f"WITH {_PROJ} SELECT {_SETS}, {_PCOUNTS} FROM j WHERE project_id IS NOT NULL GROUP BY GROUPING SETS ((), (county), (county, name))")
+def project_coverage_levels(spark: SparkSession, d: str) -> DataFrame:
+    """Projects at all three levels from one scan, by bitmaps."""
+    rows = B.projects(B.procedures(spark, d)).where("state = 'BB'").join(B.seed(spark, d).where("state = 'BB'").select("municipality_key", "county", "name"), "municipality_key")
+    counted = {"covered": F.col("municipality_key"), "projects": F.col("project_id"), "privileged": F.when(F.col("legal_basis_best").isin("§35", "§36"), F.col("project_id")), "plans": F.when(F.col("maturity_stage").startswith("BPLAN"), F.col("project_id"))}
+    return distinct.counts(_by_delta(rows, ["county", "name"], "project_id", counted), _LEVELS, list(counted))
+
+
 @query("project_coverage_top", f"WITH {_PROJ} SELECT name, county, count(DISTINCT project_id) AS projects FROM j GROUP BY name, county HAVING count(DISTINCT project_id) > 0 ORDER BY projects DESC, name LIMIT 50")
 def project_coverage_top(spark: SparkSession, d: str) -> DataFrame:
     return _projects(spark, d).where("n > 0").select("name", "county", F.col("n").alias("projects")).orderBy(F.desc("projects"), "name").limit(50)
