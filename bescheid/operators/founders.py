@@ -135,7 +135,7 @@ def settled(rows: DataFrame) -> DataFrame:
             break
         possible = cut(possible.join(open_.select("unit", "tail"), ["unit", "tail"], "left_semi"))
     final = _first(givers).groupBy("m", "token").agg(F.min("at").alias("at")).select(F.lit("developer").alias("kind"), "m", "token", "at")
-    return cut(founded.unionByName(final))
+    return founded.unionByName(final)
 
 
 def linked(procedures: DataFrame) -> DataFrame:
