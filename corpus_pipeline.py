@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from bescheid.llm import packing, quality, secret_scan, similar, simhash
+from bescheid.llm import packing, quality, secret_scan, similar
 from bescheid.llm.common import finished, shared_dir, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -26,15 +25,6 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return marked.where("predicted = 1").select("row.*")
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group by op9's contract: that of its smallest doc_id. Rows without a doc_id all stay."""
-    grouped = simhash.near_duplicates(docs)
-    kept = grouped.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    first = named.withColumn("place", F.row_number().over(W.partitionBy("doc_id").orderBy("text"))).where("place = 1")
-    return first.select("row.*").unionByName(docs.where("doc_id is null"))
-
-
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of texts whose five-word shingles have a Jaccard similarity of at least 0.8, links followed.
 

@@ -94,3 +94,62 @@ def test_repeated_rows_count_once(spark):
     df = spark.createDataFrame([(5, texts[0])] * 300 + [(6, texts[1]), (7, texts[2]), (8, "other")], "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in similar.near_duplicates(df, block=2).collect()} == {5: 5, 6: 5, 7: 5, 8: 8}
     assert sorted(r.doc_id for r in similar.one_of_each(df).collect()) == [5, 8]
+
+
+def shared_half(n, r):
+    """`n` texts of 400 shared and 400 own words each, of any two a similarity of 0.33; the last two are near copies."""
+    common = " ".join(f"c{r.randrange(10**6)}" for _ in range(400))
+    texts = [f"{common} " + " ".join(f"w{r.randrange(10**6)}" for _ in range(400)) for _ in range(n - 1)]
+    return list(enumerate([*texts, texts[-1].replace(" ", " new ", 1)]))
+
+
+def coded(spark, rows):
+    sets = [similar.shingles(t) for _, t in rows]
+    least = [similar.least_hashes(s) for s in sets]
+    data = [(d, similar.majority(s) - (1 << 63), similar.bands(m), bytearray(similar.sketch(m))) for (d, _), s, m in zip(rows, sets, least, strict=True)]
+    return spark.createDataFrame(data, "node long, fp long, bands array<long>, sketch binary")
+
+
+def test_shared_passages_form_no_group(spark):
+    """Many texts meet in a band by their shared half, yet only the near copies become candidates, however blocks are cut."""
+    rows = shared_half(300, random.Random(5))
+    nodes = coded(spark, rows).cache()
+    met = nodes.selectExpr("explode(bands) as value").groupBy("value").count().where("count > 3").count()
+    assert met
+    for cell in (4, 2048):
+        assert {tuple(sorted(r)) for r in similar._candidates(nodes, cell=cell).collect()} == {(298, 299)}
+
+
+def test_hot_bucket_keeps_pairs_beside_its_head(spark):
+    """Pairs far from the head of their only bucket, and pairs of one far and one near node, are found in small blocks."""
+    r = np.random.default_rng(2)
+    base = [r.integers(0, 1 << 63, similar.BANDS * similar.ROWS).astype(np.uint64) for _ in range(3)]
+
+    def mixed(k, other, part):
+        out = base[k].copy()
+        out[: int(part * len(out))] = base[other][: int(part * len(out))]
+        return similar.sketch(out)
+
+    # 0-9 near the first, 10-19 near the second, 20 between both, 30-34 near the third
+    rows = [(i, mixed(0, 2, 0.01 * i)) for i in range(10)] + [(10 + i, mixed(1, 2, 0.01 * i)) for i in range(10)] + [(20, mixed(1, 0, 0.25))] + [(30 + i, mixed(2, 0, 0.02 * i)) for i in range(5)]
+    nodes = spark.createDataFrame([(i, [7], bytearray(s)) for i, s in rows], "node long, bands array<long>, sketch binary")
+    words = np.array([np.frombuffer(s, np.uint64) for _, s in rows])
+    limit = similar.sketch_limit()
+    close = similar.differing(words[:, None], words[None]) <= limit
+    want = similar.forest(*([rows[i][0] for i in x.tolist()] for x in np.nonzero(np.triu(close, 1))))
+    assert len({b for _, b in want}) == 3
+    for cell in (2, 3, 2048):
+        got = [tuple(x) for x in similar._banded(nodes, limit, cell).collect()]
+        assert sorted(similar.forest(*zip(*got, strict=True))) == sorted(want)
+
+
+def test_sketch_limit():
+    """Pairs at the least similarity differ less often than the limit; pairs with a shared third hardly ever do."""
+    r = random.Random(3)
+    limit = similar.sketch_limit()
+    for own, like in ((50, True), (400, False)):
+        for _ in range(20):
+            common = [f"c{r.random()}" for _ in range(400)]
+            a, b = (similar.least_hashes(similar.shingles(" ".join(common + [f"{x}{r.random()}" for _ in range(own)]))) for x in "ab")
+            d = similar.differing(*(np.frombuffer(similar.sketch(x), np.uint64) for x in (a, b)))
+            assert (d <= limit) == like
