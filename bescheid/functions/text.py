@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import json
 import re
+import sys
 import unicodedata
+from collections.abc import Iterable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 UMLAUTS = (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("Ä", "Ae"), ("Ö", "Oe"), ("Ü", "Ue"), ("ß", "ss"))
 
@@ -53,23 +55,48 @@ def text_variants(x: Column | str) -> Column:
     return F.array_distinct(F.array(normalize(x), F.lower(col(x))))
 
 
+def _letters(text: str) -> str:
+    return re.sub(r"[^a-z0-9äöüß\s]", " ", unicodedata.normalize("NFKD", text).lower())
+
+
 def title_key(title: str | None) -> str | None:
     """NFKD, lower case, everything but letters, digits and spaces to spaces, collapsed. A combining mark, too,
     becomes a space, so that "ä" decomposes to "a" and a space."""
-    if title is None:
-        return None
-    t = unicodedata.normalize("NFKD", title).lower()
-    return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9äöüß\s]", " ", t)).strip()
+    return None if title is None else re.sub(r"\s+", " ", _letters(title)).strip()
+
+
+@functools.cache
+def _decomposed() -> dict[str, str]:
+    """What each character beyond ASCII gives in a title key, where that has letters or digits; in order of code points."""
+    every = (chr(x) for x in range(0x80, sys.maxunicode + 1) if not 0xD800 <= x < 0xE000)
+    return {x: key for x in every if x != "ß" and (key := _letters(x)).strip()}
 
 
-@F.pandas_udf(StringType())
-def _title_key(x: pd.Series) -> pd.Series:
-    return x.map(title_key)
+def _character_class(chars: Iterable[str]) -> str:
+    """A pattern of any of the characters, neighbours as ranges."""
+    spans: list[list[int]] = []
+    for x in sorted(map(ord, chars)):
+        if spans and spans[-1][1] == x - 1:
+            spans[-1][1] = x
+        else:
+            spans.append([x, x])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in spans) + "]"
 
 
 def normalize_title(x: Column | str) -> Column:
-    """`title_key` of a column, in Arrow batches: no built-in decomposes."""
-    return _title_key(x)
+    """`title_key` of a column, in built-in functions: what a character decomposes to does not hang on its neighbours, so
+    each different character of a title that decomposes to letters or digits is replaced at once."""
+    table = _decomposed()
+    parts = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+    found = F.array_distinct(F.regexp_extract_all(col(x), F.lit(f"({_character_class(table)})")))
+    plain = F.aggregate(found, col(x), lambda text, char: F.replace(text, char, F.element_at(parts, char)))
+    return F.trim(F.regexp_replace(F.lower(plain), "[^a-z0-9ß]+", " "))
+
+
+def normalize_title_sql(x: str) -> str:
+    """For Latin letters: the mark that an accented letter loses leaves a space behind it."""
+    spaced = f"regexp_replace({x}, '([À-ÖØ-Þà-öø-ÿĀ-ſ])', '\\1 ', 'g')"
+    return f"trim(regexp_replace(lower(strip_accents({spaced})), '[^a-z0-9ß]+', ' ', 'g'))"
 
 
 def procedure_hash(title: Column | str, key: Column | str) -> Column:

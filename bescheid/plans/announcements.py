@@ -38,7 +38,7 @@ def text_variants(spark: SparkSession, d: str) -> DataFrame:
     return fx(spark, d).select("doc_id", F.array_join(X.text_variants("title"), "|").alias("variants"))
 
 
-@query("normalize_title_hash")
+@query("normalize_title_hash", f"WITH {FX} SELECT doc_id, municipality_key || ':' || {X.normalize_title_sql('title')} AS procedure_hash FROM fx")
 def normalize_title_hash(spark: SparkSession, d: str) -> DataFrame:
     return fx(spark, d).select("doc_id", X.procedure_hash("title", "municipality_key").alias("procedure_hash"))
 

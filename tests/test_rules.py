@@ -149,3 +149,14 @@ def test_companies_equal_the_pattern(spark, sf):
     df = fixture.announcements(spark, sf).select("text").unionByName(spark.createDataFrame([("ÄHRE AG. BLAG!! Ümit UGX, Kern KG",), ("",), ("GmbH",)], "text string"))
     for t, got in df.select("text", extract.companies(F.col("text"))).collect():
         assert got == re.findall(extract.COMPANY, t)
+
+
+def test_title_key_of_every_character(spark):
+    """The built-in expression equals `title_key` for each code point, alone between letters and beside a mark."""
+    points = [x for x in range(1, 0x110000) if not 0xD800 <= x < 0xE000]
+    titles = ["A" + "b".join(map(chr, points[k : k + 64])) + "Z" for k in range(0, len(points), 64)]
+    titles += [f"x{chr(x)}\u0323\u0307y" for x in range(0x80, 0x250)] + ["", "  ", None, "ß ẞ Äö ﬁ ½ 𝐁㎏ Ⅷ\u00a0\u2003Z"]
+    rows = spark.createDataFrame(list(enumerate(titles)), "n int, title string").select("n", text.normalize_title("title").alias("key")).collect()
+    assert {r.n: r.key for r in rows} == {n: text.title_key(t) for n, t in enumerate(titles)}
+    plan = spark.range(1).select(text.normalize_title(F.col("id").cast("string")))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
