@@ -14,6 +14,7 @@ from ..operators import links as L
 from ..operators import merge as M
 from ..operators import scoring as S
 from ..sources import answers, shared, store
+from ..sources.keyed import KeyedTable
 from ..streaming import jobs, linking
 from . import bindings as B
 from . import fixture
@@ -383,6 +384,17 @@ def upsert_last_wins(spark: SparkSession, d: str) -> DataFrame:
     return M.last_wins(base.withColumn("order", F.lit(None).cast(delta.schema["order"].dataType)), delta, ["key"], "order").select("key", "v")
 
 
+@query("stored_upsert", f"WITH {_BASE} SELECT key, v FROM n WHERE desc_n = 1 UNION ALL SELECT key, v FROM b WHERE key NOT IN (SELECT key FROM n)")
+def stored_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """`upsert_last_wins` over a written table; the delta comes twice."""
+    base, delta = _split(spark, d)
+    table = KeyedTable(f"{shared.work_folder(spark)}/upsert", ("key",), 16)
+    how = lambda old, new: M.last_wins(old, new, ["key"], "order")
+    for rows in (base.select("key", "v", F.lit(None).cast(delta.schema["order"].dataType).alias("order")), delta, delta):
+        table.merge(rows, how)
+    return table.read(spark).select("key", "v")
+
+
 @query("insert_ignore", f"WITH {_BASE} SELECT key, v FROM b UNION ALL SELECT key, v FROM n WHERE asc_n = 1 AND key NOT IN (SELECT key FROM b)")
 def insert_ignore(spark: SparkSession, d: str) -> DataFrame:
     base, delta = _split(spark, d)
