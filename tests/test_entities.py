@@ -4,6 +4,7 @@ import datetime
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from bescheid.operators import containment, entities, founders
 from bescheid.streaming import linking
@@ -101,3 +102,16 @@ def test_stream_with_restarts_equals_batch(spark, tmp_path):
     again.awaitTermination()
     assert again.lastProgress is None or again.lastProgress["numInputRows"] == 0
     assert spark.read.schema(linking.LINK_SCHEMA).option("recursiveFileLookup", "true").parquet(f"file://{tmp_path}/links").count() == 400
+
+
+def test_stream_computes_procedures_once(spark, tmp_path):
+    """Bounds and parts are taken from what was written, also where filters do not pass what gives the procedures."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(x):
+        seen.add(1)
+        return x
+
+    rows = [("m", datetime.date(2024, 1, 1 + i % 20), i, f"{i % 7}", None, None, "w", "t", None, None, "X") for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("plan_token", F.udf(read).asNondeterministic()("plan_token"))
+    assert linking.run(df, f"file://{tmp_path}", 3).count() == 60 and seen.value == 60
