@@ -2,6 +2,7 @@
 
 import datetime
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,3 +161,34 @@ def test_title_key_of_every_character(spark):
     assert {r.n: r.key for r in rows} == {n: text.title_key(t) for n, t in enumerate(titles)}
     plan = spark.range(1).select(text.normalize_title(F.col("id").cast("string")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_companies_beside_odd_stretches(spark):
+    """Forms at the edges of what a name may hold, letters outside it, and stretches without a form."""
+    import random
+
+    rng, parts = random.Random(3), ["A", "a", "Ä", "é", "É", "_", " ", "\n", "&", ".", ":", "AG", "KG", "GmbH", "GmbH & Co. KG", "UG", "7", "$1", "\\", "\u0001", "x" * 5, "Nord", "日"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(4000)]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    for t, got in df.select("x", extract.companies(F.col("x"))).collect():
+        assert got == re.findall(extract.COMPANY, t), t
+
+
+def test_companies_of_a_long_stretch_without_a_form(spark):
+    """Each of 120,000 capitals would walk to the colon: half a minute and more where that is tried."""
+    at = time.perf_counter()
+    row = spark.range(1).select(F.concat(F.repeat(F.lit("Aa "), F.col("id").cast("int") + 120_000), F.lit(": Nord AG")).alias("x")).select(extract.companies(F.col("x")).alias("f")).first()
+    assert row.f == ["Nord AG"] and time.perf_counter() - at < 10
+
+
+def test_developers_look_at_each_company_once(spark):
+    rows = [("p", 1, "A"), ("p", 2, "B"), ("p", 3, "B"), ("p", 4, None), ("q", 5, None), ("q", 6, ""), ("r", 7, "C"), ("r", 8, "D")]
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(x):
+        seen.add(1)
+        return x
+
+    df = spark.createDataFrame([(*r, None) for r in rows], "project_id string, doc_id long, c string, seen date").withColumn("company", F.udf(read)("c"))
+    best = {r.project_id: r.developer_company_best for r in entities.developers(df).collect()}
+    assert best == {"p": "B", "q": None, "r": "C"} and seen.value == len(rows)
