@@ -1,5 +1,6 @@
 """Sources and sinks."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from bescheid.functions import text
@@ -103,3 +104,11 @@ def test_console_report(spark, sf):
     text = console.recall(spark, sf)
     assert all(x in text for x in ("SKIPPED CANDIDATES BY SOURCE", "TOP SKIPPED TITLES", "PROCEDURES BY SOURCE", "PROJECTS", "SKIPPED SOURCES"))
     assert len(text.splitlines()) > 40 and max(map(len, text.splitlines())) <= 90
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    """Python gets long texts in batches of about 2 MB, however many rows a table has."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    size = F.pandas_udf(lambda x: pd.Series([int(x.str.len().sum())] * len(x)), "long")
+    texts = spark.range(6000).select(F.concat(F.repeat(F.lit("x"), 10_000), F.col("id").cast("string")).alias("x"))
+    assert store.dealt(texts).select(size("x").alias("n")).agg(F.max("n")).first()[0] < 2 * store.BATCH_BYTES
