@@ -228,3 +228,8 @@ def test_similar_titles_against_all_pairs(spark):
         assert got == want
 
 
+
+
+def test_pdf_files_are_dealt_out(spark, sf):
+    """Files made from a table of one file are read on all cores, not in one task."""
+    assert registry.QUERIES["pdf_texts"](spark, sf).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
