@@ -244,10 +244,13 @@ def _export(spark: SparkSession, d: str, high: bool) -> DataFrame:
     if high:
         p = p.where("max_confidence >= 0.6").join(linked.where(known()), "project_id", "left_semi")
     src = B.sources(spark, d).where("procedure_id is not null")
+    # only what belongs to a listed project is counted, and each distinct count has a pass of its own: together they hold each row twice
+    listed = links.join(p.select("project_id"), "project_id", "left_semi")
+    of = src.join(listed, "procedure_id").select("project_id", "source_id", "document_id")
+    distinct = lambda x, a: of.groupBy("project_id").agg(F.count_distinct(x).alias(a))
     n = linked.groupBy("project_id").agg(F.count("*").alias("procedures"), F.count_if(known()).alias("known"))
-    docs = src.join(links, "procedure_id").groupBy("project_id").agg(F.count_distinct("source_id").alias("sources"), F.count_distinct("document_id").alias("documents"))
     z = lambda c, a: F.coalesce(c, F.lit(0)).alias(a)
-    return p.join(n, "project_id", "left").join(docs, "project_id", "left").select(
+    return p.join(n, "project_id", "left").join(distinct("source_id", "sources"), "project_id", "left").join(distinct("document_id", "documents"), "project_id", "left").select(
         "project_id", "municipality_key", "canonical_project_name", "maturity_stage", "legal_basis_best", "capacity_mw_best", "first_seen_date", F.round("max_confidence", 6).alias("max_confidence"), "needs_review",
         z("procedures", "number_of_procedures"), z("known", "number_of_known_procedures"), z("sources", "number_of_sources"), z("documents", "number_of_documents"),
     )
