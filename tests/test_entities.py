@@ -2,6 +2,7 @@
 
 import datetime
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,3 +116,59 @@ def test_stream_computes_procedures_once(spark, tmp_path):
     rows = [("m", datetime.date(2024, 1, 1 + i % 20), i, f"{i % 7}", None, None, "w", "t", None, None, "X") for i in range(60)]
     df = spark.createDataFrame(rows, SCHEMA).withColumn("plan_token", F.udf(read).asNondeterministic()("plan_token"))
     assert linking.run(df, f"file://{tmp_path}", 3).count() == 60 and seen.value == 60
+
+
+def rolled(rows):
+    """The best values of each project in plain Python, from rows (project, seen, doc_id, ..)."""
+    by, out = {}, []
+    for x in rows:
+        by.setdefault(x[0], []).append(x)
+    for key, own in by.items():
+        own.sort(key=lambda x: (x[1] or datetime.date(1900, 1, 1), x[2]))
+        plans, parcels, titles, places, companies, bases = ([x[i] for x in own if x[i]] for i in (3, 4, 5, 6, 7, 8))
+        planned = [t for t in titles if "plan" in t.lower()]
+        of = lambda values, best: best(values) if values else None
+        longest = lambda values: of(values, lambda v: max(v, key=len))
+        days, mw, types = [x[1] for x in own if x[1]], [x[10] for x in own if x[10] is not None], {x[9] for x in own}
+        stage = next((s for t, s in (("PERMIT_BAUGENEHMIGUNG", "BAUGENEHMIGUNG"), ("PERMIT_36_EINVERNEHMEN", "PERMIT_36")) if t in types), "DISCOVERED")
+        out.append((
+            key, f"B-Plan {plans[0]}" if plans else longest(planned or titles), parcels[0] if parcels else longest(places), of(companies, lambda v: Counter(v).most_common(1)[0][0]),
+            next((b for b in ("§35", "§34", "§36") if b in bases), bases[0] if bases else None), of(mw, max), of(days, min), of(days, max), stage, any(x[11] for x in own), max([0.0, *[x[12] for x in own if x[12]]]), len(own),
+        ))
+    return sorted(out, key=str)
+
+
+ROLLED = "project_id string, seen date, doc_id long, plan_token string, parcel_token string, title string, location string, company string, legal_basis string, procedure_type string, capacity_mw double, review_recommended boolean, confidence_score double, capacity_mwh double, area_hectares double"
+BEST = "project_id canonical_project_name site_location_best developer_company_best legal_basis_best capacity_mw_best first_seen_date last_seen_date maturity_stage needs_review max_confidence procedures".split()
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rollup_equals_plain_python(spark, seed):
+    """Values of all companies meet again, those without a project keep theirs, and each row is computed once."""
+    r, rows = random.Random(seed), []
+    for i in range(500):
+        few = i % 60
+        rows.append((
+            r.choice([None, *(f"p{k}" for k in range(40))]), r.choice([None, *(datetime.date(2024, 1, d) for d in range(1, 20))]), i, r.choice([None, "", "", "12"] if few < 9 else [None, ""]), r.choice([None, "", "flur=3", "g=x"] if few < 9 else [None, ""]),
+            r.choice([None, "", "Antrag", "Lage", "Plan a", "B-Plan", "Halle 7"]), r.choice([None, "", "Seedorf", "Altfeld", "am Markt"]), r.choice([None, "", "A GmbH", "B AG", "C KG", "D UG"]), r.choice([None, "", "§9", "§8", *["§34", "§36", "§35"][: seed - 1]]),
+            r.choice([None, "X", "Y", "PERMIT_36_EINVERNEHMEN"] + ["PERMIT_BAUGENEHMIGUNG"] * (few < 5)), r.choice([None, 1.5, float(i)]), r.choice([None, False, False, i % 7 == 0]), r.choice([None, 0.25, 0.5, i / 1000]), None, None,
+        ))
+    rows += [("none", None, 500 + i, None, None, "", None, (None, "")[i % 2], None, None, None, None, None, None, None) for i in range(4)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def read(x):
+        seen.add(1)
+        return x
+
+    df = spark.createDataFrame(rows, ROLLED).repartition(3).withColumn("company", F.udf(read).asNondeterministic()("company"))
+    got = sorted(map(tuple, entities.rollup(df).select(*BEST).collect()), key=str)
+    assert got == rolled(rows) and len({x[3] for x in got}) == 5 and any(x[0] is None and x[3] for x in got)
+    assert seen.value == len(rows)
+    assert entities.rollup(spark.createDataFrame([], ROLLED)).count() == 0
+
+
+def test_project_rollup_keeps_the_developers(spark, sf):
+    from bescheid.plans import registry
+
+    got, want = (registry.QUERIES[n](spark, sf).select("project_id", "developer_company_best").collect() for n in ("project_rollup", "project_developers"))
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and any(x[1] for x in got)
